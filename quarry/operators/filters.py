@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quarry.functions.columns import let, ngrams, token_count, words
+from quarry.functions.columns import let, token_count, windows, words
 from quarry.plans.prefix import position
 
 # Patterns for personal data, valid in both Java and RE2.
@@ -80,7 +80,7 @@ def row_modulus(df, modulus, remainder, order, by=()):
 def repetition_share(text="text", n=4):
     """1 - distinct / all word n-grams; 0 for texts with fewer than n words."""
     return let(
-        ngrams(words(text), n),
+        windows(words(text), n, lambda run: F.array_join(run, " ")),
         lambda g: F.when(F.size(g) > 0, 1 - F.size(F.array_distinct(g)) / F.size(g)).otherwise(0.0),
     )
 

@@ -5,6 +5,8 @@ from importlib import import_module
 MODULES = (
     "records",
     "curation",
+    "tokens",
+    "chat",
 )
 
 

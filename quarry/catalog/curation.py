@@ -8,6 +8,7 @@ from quarry.catalog.base import Catalog, hash_sql, table
 from quarry.operators import exact_dedup, extraction, minhash, quality, spans
 from quarry.operators.filters import keep_languages, min_chars
 from quarry.plans.prefix import quantile_bucket, running_total
+from quarry.sources.readers import spread
 
 CATALOG = Catalog()
 
@@ -16,6 +17,11 @@ def documents(spark, folder):
     return table(spark, folder, "documents")
 
 
+def heavy(spark, folder):
+    """Documents for CPU-heavy row work; see readers.spread."""
+    return spread(documents(spark, folder), "doc_id")
+
+
 # --- exact duplicates --------------------------------------------------------
 
 DUPS = "dups AS (SELECT doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) > 1)"
@@ -48,11 +54,13 @@ def _(spark, folder):
 
 # --- near duplicates ---------------------------------------------------------
 
+POWERS = minhash.gram_powers(minhash.SHINGLE)
+GRAM_HASH = " + ".join(f"coalesce(c[i + {j}], 0) * {p}" for j, p in enumerate(POWERS))
 BASE = f"""
-grams AS (SELECT doc_id, unnest(CASE WHEN length(text) < 24 THEN [text]
-                  ELSE list_transform(range(1, length(text) - 22), lambda i: substr(text, i, 24)) END) AS g
-          FROM documents WHERE length(text) > 0),
-base AS (SELECT DISTINCT doc_id, {hash_sql("g")} AS h FROM grams)"""
+points AS (SELECT doc_id, list_transform(string_split(text, ''), lambda x: unicode(x)::BIGINT) AS c
+           FROM documents WHERE length(text) > 0),
+base AS (SELECT DISTINCT doc_id, ({GRAM_HASH}) % 2147483647 AS h
+         FROM (SELECT doc_id, c, unnest(range(1, greatest(len(c) - 22, 2))) AS i FROM points))"""
 FAMILY = minhash.hash_family(minhash.BANDS * minhash.ROWS)
 SIGNATURES = BASE + ", sig AS (SELECT doc_id, [" + ", ".join(
     f"min(({a} * h + {b}) % 2147483647)" for a, b in FAMILY
@@ -76,35 +84,36 @@ parts AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)"""
     " FROM documents WHERE length(text) > 0) SELECT doc_id, count(*) AS n, min(md5(shingle)) AS lowest FROM g GROUP BY doc_id",
 )
 def _(spark, folder):
-    grams = minhash.shingles(documents(spark, folder))
+    grams = minhash.shingles(heavy(spark, folder))
     return grams.groupBy("doc_id").agg(F.count("*").alias("n"), F.min(F.md5("shingle")).alias("lowest"))
 
 
 @CATALOG.add("minhash_signatures", f"WITH {SIGNATURES} SELECT doc_id, array_to_string(s, ',') AS signature FROM sig")
 def _(spark, folder):
-    return minhash.minhash(documents(spark, folder)).select(
+    return minhash.minhash(heavy(spark, folder)).select(
         "doc_id", F.array_join(F.col("signature").cast("array<string>"), ",").alias("signature")
     )
 
 
 @CATALOG.add("lsh_buckets", f"WITH {BUCKETS} SELECT doc_id, band, key FROM buckets")
 def _(spark, folder):
-    return minhash.lsh_buckets(minhash.minhash(documents(spark, folder)))
+    keys = minhash.lsh_keys(minhash.minhash(heavy(spark, folder)))
+    return minhash.lsh_buckets(keys).withColumn("key", F.lower(F.hex("key")))
 
 
 @CATALOG.add("lsh_edges", f"WITH {EDGES} SELECT src, dst FROM edges")
 def _(spark, folder):
-    return minhash.lsh_edges(minhash.lsh_buckets(minhash.minhash(documents(spark, folder))))
+    return minhash.lsh_edges(minhash.stored_buckets(heavy(spark, folder)))
 
 
 @CATALOG.add("fuzzy_components", f"WITH RECURSIVE {PARTS} SELECT node, component FROM parts")
 def _(spark, folder):
-    return minhash.fuzzy_components(documents(spark, folder))
+    return minhash.fuzzy_components(heavy(spark, folder))
 
 
 @CATALOG.add("fuzzy_duplicates", f"WITH RECURSIVE {PARTS} SELECT node AS doc_id FROM parts WHERE node <> component")
 def _(spark, folder):
-    return minhash.fuzzy_duplicates(documents(spark, folder))
+    return minhash.fuzzy_duplicates(heavy(spark, folder))
 
 
 @CATALOG.add(
@@ -113,7 +122,7 @@ def _(spark, folder):
     " WHERE doc_id NOT IN (SELECT node FROM parts WHERE node <> component)",
 )
 def _(spark, folder):
-    return minhash.fuzzy_dedup(documents(spark, folder)).select("doc_id", "lang", "n_chars")
+    return minhash.fuzzy_dedup(heavy(spark, folder)).select("doc_id", "lang", "n_chars")
 
 
 # --- repeated spans ----------------------------------------------------------
@@ -133,7 +142,7 @@ kept AS (SELECT f.doc_id, f.piece, f.i FROM flat f
 
 
 def piece_table(spark, folder):
-    return documents(spark, folder).select("doc_id", spans.pieces().alias("tokens"))
+    return heavy(spark, folder).select("doc_id", spans.pieces().alias("tokens"))
 
 
 @CATALOG.add("repeated_spans", f'WITH {SPAN_PARTS} SELECT doc_id, s AS "start", e AS "end" FROM spans')
@@ -157,7 +166,7 @@ def _(spark, folder):
     " SELECT d.doc_id, d.lang, coalesce(done.text, '') AS text FROM documents d LEFT JOIN done USING (doc_id)",
 )
 def _(spark, folder):
-    return spans.substring_dedup(documents(spark, folder)).select("doc_id", "lang", "text")
+    return spans.substring_dedup(heavy(spark, folder)).select("doc_id", "lang", "text")
 
 
 @CATALOG.add(
@@ -189,7 +198,7 @@ def _(spark, folder):
 @CATALOG.add("extract_html")
 def _(spark, folder):
     stops = extraction.stop_words(documents(spark, folder))
-    return extraction.extract_html(table(spark, folder, "pages"), stops)
+    return extraction.extract_html(spread(table(spark, folder, "pages"), "page_id"), stops)
 
 
 @CATALOG.add(
@@ -223,7 +232,7 @@ best AS (SELECT doc_id, lang, s / sum(s) OVER (PARTITION BY doc_id) AS share FRO
     " FROM documents d LEFT JOIN best b USING (doc_id)",
 )
 def _(spark, folder):
-    docs = documents(spark, folder)
+    docs = heavy(spark, folder)
     found = extraction.language_id(docs.select("doc_id", "text"), extraction.trigram_profiles(docs))
     return found.select("doc_id", "language", F.round("language_score", 6).alias("language_score"))
 

@@ -68,10 +68,13 @@ def ngrams(array, n):
 
 
 def char_ngrams(c, n):
-    """Character n-grams of a text; a shorter text is its own single n-gram."""
-    chars = F.split(col(c), "")
-    grams = windows(chars, n, lambda run: F.array_join(run, ""))
-    return F.when(F.char_length(col(c)) < n, F.array(col(c))).otherwise(grams)
+    """Character n-grams of a text; a shorter text is its own single n-gram.
+
+    The look-ahead captures n characters at every position in one pass.
+    """
+    c = col(c)
+    grams = F.regexp_extract_all(c, F.lit(rf"(?s)(?=(.{{{n}}}))."), F.lit(1))
+    return F.when(F.char_length(c) < n, F.array(c)).otherwise(grams)
 
 
 def hash_fraction(key, seed):

@@ -3,7 +3,7 @@
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from quarry.functions.columns import col, strip
 
@@ -51,7 +51,7 @@ def split_thinking(c):
     return F.struct(reasoning.alias("reasoning"), F.when(has, strip(tail)).otherwise(c).alias("answer"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fix_unicode(texts: pd.Series) -> pd.Series:
     """Undo UTF-8 read as Latin-1, compose characters, drop control characters."""
 

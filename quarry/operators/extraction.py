@@ -3,7 +3,7 @@
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Window, functions as F
+from pyspark.sql import Window, functions as F, types as T
 
 from quarry.functions.columns import char_ngrams, words
 
@@ -14,7 +14,9 @@ LENGTH_LOW, LENGTH_HIGH = 70, 200
 STOPWORDS_LOW, STOPWORDS_HIGH = 0.30, 0.32
 MAX_LINK_DENSITY = 0.2
 
-PARAGRAPHS = "array<struct<text:string,link_chars:int>>"
+PARAGRAPHS = T.ArrayType(
+    T.StructType([T.StructField("text", T.StringType()), T.StructField("link_chars", T.IntegerType())])
+)
 
 
 class _Paragraphs(HTMLParser):

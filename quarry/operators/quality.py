@@ -85,14 +85,18 @@ def thresholds(df, scores, weight, percents=PERCENTS):
     return weighted_percentiles(unpivot_scores(df, scores, weight), percents)
 
 
-def digitize(df, score, table, out=None):
-    """Bin = number of thresholds <= score. Thresholds may repeat."""
+def digitize(df, score, table, out=None, count=len(PERCENTS)):
+    """Bin = number of thresholds <= score. Thresholds may repeat.
+
+    The thresholds (at most `count` numbers) are read once as a scalar subquery.
+    """
     values = (
         table.filter(F.col("score_column") == score)
         .agg(F.array_sort(F.collect_list("value")).alias("v"))
         .scalar()
     )
-    return df.withColumn(out or f"{score}-int", F.size(F.filter(values, lambda t: t <= F.col(score))))
+    passed = [F.coalesce((F.get(values, F.lit(i)) <= F.col(score)).cast("int"), F.lit(0)) for i in range(count)]
+    return df.withColumn(out or f"{score}-int", reduce(lambda x, y: x + y, passed))
 
 
 def ensemble_max(df, columns, out="ensemble-max-int"):

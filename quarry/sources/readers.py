@@ -68,6 +68,16 @@ def files_for_subset(inventory, subset, path="path"):
     return inventory.filter(folder_or_prefix | stem)
 
 
+def spread(df, key):
+    """Hash-partition a scan that has fewer splits than the session has cores.
+
+    For CPU-heavy row work on inputs of few, large row groups. A scan that fills
+    the cluster is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_buckets(spark, path, buckets, column="ensemble-max-int"):
     """Read quality buckets only; the filter prunes partition folders."""
     return spark.read.parquet(path).filter(F.col(f"`{column}`").isin(*buckets))

@@ -95,7 +95,7 @@ def _(spark, folder):
 @CATALOG.add("role_chunks", f"WITH {CHUNKS} SELECT conv_id, i AS pos, role, content FROM c")
 def _(spark, folder):
     df = chat.role_chunks(kept(spark, folder))
-    return df.select("conv_id", F.posexplode("chunks").alias("pos", "c")).select(
+    return df.select("conv_id", F.posexplode_outer("chunks").alias("pos", "c")).select(
         "conv_id", F.col("pos").cast("bigint").alias("pos"), "c.role", "c.content"
     )
 
@@ -112,7 +112,7 @@ s AS (SELECT conv_id, i * 2 AS i, role, CASE WHEN i = 0 AND role = 'user'
 )
 def _(spark, folder):
     df = chat.split_system_user(chat.role_chunks(kept(spark, folder)))
-    return df.select("conv_id", F.posexplode("chunks").alias("pos", "c")).select(
+    return df.select("conv_id", F.posexplode_outer("chunks").alias("pos", "c")).select(
         "conv_id", F.col("pos").cast("bigint").alias("pos"), "c.role", "c.content"
     )
 
@@ -133,13 +133,20 @@ def _(spark, folder):
     )
 
 
-@CATALOG.add("thinking_chunks")
+@CATALOG.add(
+    "thinking_chunks",
+    f"""
+    WITH {TURNS}, th AS (SELECT conv_id, max(i) AS last_i FROM x GROUP BY conv_id HAVING bool_or(reason IS NOT NULL)),
+    u AS (SELECT conv_id, i, row_number() OVER w - 1 AS part, coalesce(lead(i) OVER w, last_i + 1) AS stop FROM x JOIN th USING (conv_id, last_i)
+          WHERE role = 'user' WINDOW w AS (PARTITION BY conv_id ORDER BY i))
+    SELECT conv_id, part, stop - i + 1 AS n, true AS same FROM u WHERE stop > i + 1""",
+)
 def _(spark, folder):
     """Chunks of reasoning conversations; their join must equal the rendered text."""
     df = chat.droppable(chat.expand_turns(thinking_chats(spark, folder))).filter("not droppable and thinking")
     both = chat.role_chunks(chat.render_chat(df))
     text = F.array_join("chunks.content", "")
-    return both.select("conv_id", "part", F.size("chunks").alias("n"), (text == F.col("rendered")).alias("same"))
+    return both.select("conv_id", "part", F.size("chunks").cast("bigint").alias("n"), (text == F.col("rendered")).alias("same"))
 
 
 @CATALOG.add(

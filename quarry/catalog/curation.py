@@ -249,7 +249,7 @@ SCORES = ["alpha_share", "distinct_word_share", "mean_word_length"]
 
 
 def scored(spark, folder, docs=None):
-    docs = documents(spark, folder) if docs is None else docs
+    docs = heavy(spark, folder) if docs is None else docs
     from quarry.functions.columns import WORD, words
 
     n_words = F.regexp_count("text", F.lit(WORD))
@@ -347,7 +347,7 @@ def _(spark, folder):
 def _(spark, folder):
     df = scored(spark, folder)
     limits = quality.thresholds(df, ["alpha_share"], "token_length")
-    return quality.digitize(df, "alpha_share", limits).select("doc_id", F.col("alpha_share-int").cast("bigint").alias("alpha_share-int"))
+    return quality.digitize(df, ["alpha_share"], limits).select("doc_id", F.col("alpha_share-int").cast("bigint").alias("alpha_share-int"))
 
 
 @CATALOG.add("ensemble_max", f'WITH {scored_sql()}, {BINS} SELECT doc_id, {BUCKET} AS "ensemble-max-int" FROM bins')

@@ -7,7 +7,7 @@ column expression on the row, so nothing is shuffled.
 
 from pyspark.sql import functions as F
 
-from quarry.functions.columns import let, strip, token_ids
+from quarry.functions.columns import strip, token_ids
 
 # Markers of the chat format and the tool instructions.
 START, END = "<|im_start|>", "<|im_end|>\n"
@@ -251,7 +251,8 @@ def expand_turns(df, messages="messages"):
     )
     ends = F.transform(users, lambda u, i: F.coalesce(F.get(users, i + 1), n))
     rows = marked.withColumn("_ends", F.when(F.col("thinking"), ends).otherwise(F.array(n)))
-    exploded = rows.select("*", F.posexplode("_ends").alias("part", "_end"))
+    # The outer form keeps Spark from pushing a copy of the computed array into a filter.
+    exploded = rows.select("*", F.posexplode_outer("_ends").alias("part", "_end")).filter("part is not null")
     return exploded.withColumn(messages, F.slice(messages, F.lit(1), F.col("_end"))).drop("_ends", "_end")
 
 
@@ -311,20 +312,6 @@ def role_chunks(df, messages="messages", tools=None, out="chunks"):
         "_prompts",
         F.transform(messages, lambda m, i: _prompt(m, F.get(messages, i + 1), F.col("thinking"))),
     )
-    # Own text of a message: its segment without the prompt moved to the chunk before, plus its own prompt.
-    done = done.withColumn(
-        "_own",
-        F.transform(
-            "segments",
-            lambda s, i: let(
-                F.when(i > 0, F.get("_prompts", i - 1)).otherwise(""),
-                lambda p: F.concat(
-                    F.when(F.length(p) > 0, F.substring(s, F.length(p) + F.lit(1), F.length(s))).otherwise(s),
-                    F.get("_prompts", i),
-                ),
-            ),
-        ),
-    )
     joins_next = lambda m, i: (m["role"] == "tool") & F.coalesce(
         F.get(messages, i + 1)["role"] == "tool", F.lit(False)
     )
@@ -343,7 +330,9 @@ def role_chunks(df, messages="messages", tools=None, out="chunks"):
 
     def chunk(end, j):
         start = F.when(j > 0, F.get("_ends", j - 1) + 1).otherwise(0)
-        text = F.array_join(F.slice("_own", start + 1, end - start + 1), "")
+        moved = F.when(j > 0, F.length(F.get("_prompts", start - 1))).otherwise(0)
+        text = F.array_join(F.slice("segments", start + 1, end - start + 1), "")
+        text = F.concat(F.substring(text, moved + 1, F.length(text)), F.get("_prompts", end))
         # The first chunk of a thinking row goes without the system block, which is its own chunk.
         text = F.when(
             F.col("thinking") & (j == 0),
@@ -356,7 +345,7 @@ def role_chunks(df, messages="messages", tools=None, out="chunks"):
     done = done.withColumn(
         out, F.when(F.col("thinking"), F.concat(system, chunks)).otherwise(chunks)
     )
-    return done.drop("segments", "_prompts", "_own", "_ends", "_leads", "_last_user", "_system")
+    return done.drop("segments", "_prompts", "_ends", "_leads", "_last_user", "_system")
 
 
 def split_system_user(df, chunks="chunks"):

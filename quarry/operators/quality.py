@@ -1,7 +1,5 @@
 """Quality scores, weighted percentile thresholds, integer bins and buckets."""
 
-from functools import reduce
-
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, RegexTokenizer
@@ -9,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import WORD, hash_fraction, words
+from quarry.plans.checkpoints import cut_lineage
 from quarry.plans.prefix import quantile_bucket, running_total
 
 PERCENTS = tuple(range(5, 100, 5))
@@ -85,18 +84,19 @@ def thresholds(df, scores, weight, percents=PERCENTS):
     return weighted_percentiles(unpivot_scores(df, scores, weight), percents)
 
 
-def digitize(df, score, table, out=None, count=len(PERCENTS)):
-    """Bin = number of thresholds <= score. Thresholds may repeat.
+def digitize(df, scores, table):
+    """`<score>-int` = number of thresholds <= score. Thresholds may repeat.
 
-    The thresholds (at most `count` numbers) are read once as a scalar subquery.
+    The whole threshold table (19 numbers per score) is read once, as a scalar.
     """
-    values = (
-        table.filter(F.col("score_column") == score)
-        .agg(F.array_sort(F.collect_list("value")).alias("v"))
-        .scalar()
-    )
-    passed = [F.coalesce((F.get(values, F.lit(i)) <= F.col(score)).cast("int"), F.lit(0)) for i in range(count)]
-    return df.withColumn(out or f"{score}-int", reduce(lambda x, y: x + y, passed))
+    per_score = table.groupBy("score_column").agg(F.array_sort(F.collect_list("value")).alias("v"))
+    limits = per_score.agg(F.map_from_entries(F.collect_list(F.struct("score_column", "v"))).alias("m"))
+    ready = df.withColumn("_limits", limits.scalar())
+
+    def bin_of(score):
+        return F.size(F.filter(F.col("_limits")[score], lambda t: t <= F.col(score)))
+
+    return ready.withColumns({f"{score}-int": bin_of(score) for score in scores}).drop("_limits")
 
 
 def ensemble_max(df, columns, out="ensemble-max-int"):
@@ -104,9 +104,13 @@ def ensemble_max(df, columns, out="ensemble-max-int"):
 
 
 def ensemble_buckets(df, scores, weight="token_length"):
-    """Thresholds from the data itself, then integer bins and their row maximum."""
-    table = thresholds(df, scores, weight)
-    binned = reduce(lambda d, s: digitize(d, s, table), scores, df)
+    """Thresholds from the data itself, then integer bins and their row maximum.
+
+    `df` should be slim (id, weight, scores): it is stored once, because scoring
+    is the costly part and the thresholds need passes of their own.
+    """
+    stored = cut_lineage(df)
+    binned = digitize(stored, scores, thresholds(stored, scores, weight))
     return ensemble_max(binned, [f"{s}-int" for s in scores])
 
 

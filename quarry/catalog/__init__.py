@@ -7,6 +7,9 @@ MODULES = (
     "curation",
     "tokens",
     "chat",
+    "synthetic",
+    "sharding",
+    "rollouts",
 )
 
 

@@ -10,6 +10,8 @@ MODULES = (
     "synthetic",
     "sharding",
     "rollouts",
+    "retrieval",
+    "tabular",
 )
 
 

@@ -12,6 +12,7 @@ MODULES = (
     "rollouts",
     "retrieval",
     "tabular",
+    "storage",
 )
 
 

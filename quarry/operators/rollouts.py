@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quarry.functions.columns import hash_fraction, nested
+from quarry.functions.columns import col, hash_fraction, nested
 from quarry.operators.records import rl_messages
 from quarry.operators.sharding import holdout_split
 from quarry.plans.skew import HOT_ROWS, join_groups
@@ -22,6 +22,7 @@ def get_json_path(column, path):
 def restore_wrapped(question, prefix, suffix):
     """Drop the first and last blank-line block of a question with three or more,
     put prefix and suffix around the rest and strip trailing line breaks."""
+    question = col(question)
     parts = F.split(question, "\n\n")
     middle = F.when(
         F.size(parts) >= 3, F.array_join(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0))), "\n\n")
@@ -32,6 +33,7 @@ def restore_wrapped(question, prefix, suffix):
 
 def restore_template(question, template):
     """Fill `{question}`; a template without the marker gives the question itself."""
+    question, template = col(question), col(template)
     marker = F.lit("{question}")
     filled = F.replace(template, marker, question)
     return F.when(F.contains(template, marker), filled).otherwise(question)

@@ -3,6 +3,8 @@
 from dataclasses import dataclass
 from typing import Callable
 
+from quarry.sources.readers import spread
+
 
 @dataclass(frozen=True)
 class Query:
@@ -28,6 +30,11 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def heavy(spark, folder, name="documents", key="doc_id"):
+    """A table for CPU-heavy row work: spread when its files have few row groups."""
+    return spread(table(spark, folder, name), key)
+
+
 # SQL fragments used by several twins.
 TOKENS = r"regexp_extract_all(text, '[A-Za-z0-9_À-ÿ]+|[^A-Za-z0-9_À-ÿ\s]')"
 WORDS = r"regexp_extract_all(text, '[A-Za-z0-9_À-ÿ]+')"

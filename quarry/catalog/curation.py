@@ -1,14 +1,12 @@
 """Deduplication, extraction, language and quality over documents and pages."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
-from quarry.catalog.base import Catalog, hash_sql, table
+from quarry.catalog.base import Catalog, heavy, table
 from quarry.operators import exact_dedup, extraction, minhash, quality, spans
 from quarry.operators.filters import keep_languages, min_chars
+from quarry.plans.checkpoints import cut_lineage
 from quarry.plans.prefix import quantile_bucket, running_total
-from quarry.sources.readers import spread
 
 CATALOG = Catalog()
 
@@ -17,11 +15,6 @@ def documents(spark, folder):
     return table(spark, folder, "documents")
 
 
-def heavy(spark, folder):
-    """Documents for CPU-heavy row work; see readers.spread."""
-    return spread(documents(spark, folder), "doc_id")
-
-
 # --- exact duplicates --------------------------------------------------------
 
 DUPS = "dups AS (SELECT doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) > 1)"
@@ -197,8 +190,8 @@ def _(spark, folder):
 
 @CATALOG.add("extract_html")
 def _(spark, folder):
-    stops = extraction.stop_words(documents(spark, folder))
-    return extraction.extract_html(spread(table(spark, folder, "pages"), "page_id"), stops)
+    stops = extraction.stop_words(heavy(spark, folder))
+    return extraction.extract_html(heavy(spark, folder, "pages", "page_id"), stops)
 
 
 @CATALOG.add(
@@ -209,7 +202,7 @@ def _(spark, folder):
     SELECT lang, word FROM c QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= 100""",
 )
 def _(spark, folder):
-    stops = extraction.stop_words(documents(spark, folder))
+    stops = extraction.stop_words(heavy(spark, folder))
     return stops.select("lang", F.explode("stop_words").alias("word"))
 
 
@@ -249,6 +242,7 @@ SCORES = ["alpha_share", "distinct_word_share", "mean_word_length"]
 
 
 def scored(spark, folder, docs=None):
+    """Score table, stored once: later steps read it several times."""
     docs = heavy(spark, folder) if docs is None else docs
     from quarry.functions.columns import WORD, words
 
@@ -262,7 +256,8 @@ def scored(spark, folder, docs=None):
             "mean_word_length": mean,
         },
     )
-    return out.withColumn("token_length", quality.token_length()).select("doc_id", "token_length", *SCORES)
+    slim = out.withColumn("token_length", quality.token_length()).select("doc_id", "token_length", *SCORES)
+    return cut_lineage(slim)
 
 
 def scored_sql(source="documents"):
@@ -352,7 +347,7 @@ def _(spark, folder):
 
 @CATALOG.add("ensemble_max", f'WITH {scored_sql()}, {BINS} SELECT doc_id, {BUCKET} AS "ensemble-max-int" FROM bins')
 def _(spark, folder):
-    out = quality.ensemble_buckets(scored(spark, folder), SCORES)
+    out = quality.ensemble_buckets(scored(spark, folder), SCORES, store=False)
     return out.select("doc_id", F.col("`ensemble-max-int`").cast("bigint").alias("ensemble-max-int"))
 
 
@@ -365,7 +360,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     """Filter, exact dedup, score, thresholds, bins, ensemble, bucket counts."""
-    kept = keep_languages(min_chars(documents(spark, folder), 50), ["EN", "DE", "FR", "ES"])
+    kept = keep_languages(min_chars(heavy(spark, folder), 50), ["EN", "DE", "FR", "ES"])
     unique = exact_dedup.exact_dedup(kept)
-    out = quality.ensemble_buckets(scored(spark, folder, unique), SCORES)
+    out = quality.ensemble_buckets(scored(spark, folder, unique), SCORES, store=False)
     return quality.bucket_counts(out).select(F.col("bucket").cast("bigint").alias("bucket"), "n")

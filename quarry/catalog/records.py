@@ -2,9 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from quarry.catalog.base import Catalog, TOKENS, WORDS, strip_sql, table, token_count_sql
+from quarry.catalog.base import Catalog, WORDS, heavy, strip_sql, table, token_count_sql
 from quarry.functions import text as modify
-from quarry.functions.columns import hash_fraction, strip
 from quarry.operators import filters, records
 from quarry.operators.exact_dedup import distinct_sources
 from quarry.sources import readers
@@ -302,8 +301,8 @@ def _(spark, folder):
     FROM g WHERE CASE WHEN len(g) > 0 THEN 1 - len(list_distinct(g))::DOUBLE / len(g) ELSE 0 END <= 0.3""",
 )
 def _(spark, folder):
-    docs = filters.repetition_filter(table(spark, folder, "documents"))
-    return docs.select("doc_id", F.round(filters.repetition_share(), 6).alias("share"))
+    docs = filters.repetition_filter(heavy(spark, folder))
+    return docs.select("doc_id", F.round("repetition_share", 6).alias("share"))
 
 
 @CATALOG.add(
@@ -333,7 +332,7 @@ def pii_sql(what):
            len(regexp_extract_all(text, '{pii_sql("phone")}')) AS n_phones FROM documents""",
 )
 def _(spark, folder):
-    return filters.pii_flags(table(spark, folder, "documents")).select("doc_id", "n_emails", "n_ssns", "n_phones")
+    return filters.pii_flags(heavy(spark, folder)).select("doc_id", "n_emails", "n_ssns", "n_phones")
 
 
 @CATALOG.add(
@@ -343,7 +342,7 @@ def _(spark, folder):
            '{pii_sql("ssn")}', '[SSN]', 'g'), '{pii_sql("phone")}', '[PHONE]', 'g') AS text FROM documents""",
 )
 def _(spark, folder):
-    return filters.pii_redact(table(spark, folder, "documents")).select("doc_id", "text")
+    return filters.pii_redact(heavy(spark, folder)).select("doc_id", "text")
 
 
 @CATALOG.add(
@@ -386,7 +385,7 @@ def _(spark, folder):
       '_([^_]*)_', '\1', 'g'), '\[([^\]]*)\]\([^)]*\)', '\1', 'g')) AS digest FROM documents""",
 )
 def _(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", F.md5(modify.remove_markdown("text")).alias("digest"))
+    return heavy(spark, folder).select("doc_id", F.md5(modify.remove_markdown("text")).alias("digest"))
 
 
 @CATALOG.add(

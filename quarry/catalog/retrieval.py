@@ -2,17 +2,16 @@
 
 from pyspark.sql import functions as F
 
-from quarry.catalog.base import Catalog, table, token_count_sql
+from quarry.catalog.base import Catalog, heavy, table, token_count_sql
 from quarry.functions.text import split_thinking
 from quarry.operators import layout, retrieval, safety, text2sql
-from quarry.sources.readers import spread
 
 CATALOG = Catalog()
 
 
 @CATALOG.add("chunk_documents")
 def _(spark, folder):
-    docs = spread(table(spark, folder, "documents"), "doc_id")
+    docs = heavy(spark, folder)
     out = retrieval.chunk(docs)
     return out.select("doc_id", "chunk_id", F.char_length("chunk").alias("n"), F.md5("chunk").alias("digest"))
 
@@ -183,7 +182,7 @@ KINDS = ["Title", "Section-header", "List-item", "List-item", "Text", "Formula",
 
 def blocks(spark, folder):
     """Documents as pages, lines as blocks; the type follows from the line number."""
-    lines = spread(table(spark, folder, "documents"), "doc_id").select(
+    lines = heavy(spark, folder).select(
         F.col("doc_id").alias("page"), F.posexplode_outer(F.split("text", "\n")).alias("id", "text")
     )
     kinds = F.array(*[F.lit(k) for k in KINDS])

@@ -4,15 +4,14 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from quarry.catalog.base import Catalog, strip_sql, table, token_count_sql
+from quarry.catalog.base import Catalog, heavy, strip_sql, token_count_sql
 from quarry.operators import synthetic as syn
-from quarry.sources.readers import spread
 
 CATALOG = Catalog()
 
 
 def documents(spark, folder):
-    return spread(table(spark, folder, "documents"), "doc_id")
+    return heavy(spark, folder)
 
 
 @CATALOG.add(

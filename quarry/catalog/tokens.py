@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from quarry.catalog.base import Catalog, TOKENS, hash_sql, table, token_count_sql
+from quarry.catalog.base import Catalog, TOKENS, hash_sql, heavy, table, token_count_sql
 from quarry.functions.columns import token_count
 from quarry.operators import tokens
-from quarry.sources.readers import spread
+from quarry.plans.checkpoints import cut_lineage
 
 CATALOG = Catalog()
 
@@ -13,7 +13,7 @@ IDS = f"list_transform({TOKENS}, lambda t: {hash_sql('t')} % 50000 + 3)"
 
 
 def coded(spark, folder):
-    return tokens.tokenize(spread(table(spark, folder, "documents"), "doc_id"))
+    return tokens.tokenize(heavy(spark, folder))
 
 
 def summary(ids="input_ids"):
@@ -111,5 +111,6 @@ def _(spark, folder):
     WINDOW w AS (PARTITION BY source ORDER BY doc_id)""",
 )
 def _(spark, folder):
-    docs = table(spark, folder, "documents").select("source", "doc_id", token_count("text").alias("length"))
+    # Stored, because the running sums read the lengths twice.
+    docs = cut_lineage(heavy(spark, folder).select("source", "doc_id", token_count("text").alias("length")))
     return tokens.index_layout(docs, "doc_id", by=["source"])

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import let, token_count, windows, words
+from quarry.plans.once import compute_once
 from quarry.plans.prefix import position
 
 # Patterns for personal data, valid in both Java and RE2.
@@ -30,7 +31,7 @@ def score_filter(df, score, min=None, max=None):
 
 
 def token_count_filter(df, text="text", min=None, max=None, out="token_count"):
-    return score_filter(df.withColumn(out, token_count(text)), out, min, max)
+    return score_filter(compute_once(df, **{out: token_count(text)}), out, min, max)
 
 
 def substring_filter(df, column, text, position="any"):
@@ -85,8 +86,8 @@ def repetition_share(text="text", n=4):
     )
 
 
-def repetition_filter(df, n=4, max_share=0.3, text="text"):
-    return df.filter(repetition_share(text, n) <= max_share)
+def repetition_filter(df, n=4, max_share=0.3, text="text", out="repetition_share"):
+    return compute_once(df, **{out: repetition_share(text, n)}).filter(F.col(out) <= max_share)
 
 
 def structural_filter(df, messages="messages", roles=ROLES):

@@ -6,7 +6,7 @@ from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from quarry.functions.columns import WORD, hash_fraction, words
+from quarry.functions.columns import WORD, hash_fraction, let, words
 from quarry.plans.checkpoints import cut_lineage
 from quarry.plans.prefix import quantile_bucket, running_total
 
@@ -20,8 +20,10 @@ def alpha_share(text="text"):
 
 
 def distinct_word_share(text="text"):
-    w = words(F.lower(F.col(text)))
-    return F.when(F.size(w) > 0, F.size(F.array_distinct(w)) / F.size(w)).otherwise(0.0)
+    return let(
+        words(F.lower(F.col(text))),
+        lambda w: F.when(F.size(w) > 0, F.size(F.array_distinct(w)) / F.size(w)).otherwise(0.0),
+    )
 
 
 def score_documents(df, scorers):
@@ -103,13 +105,14 @@ def ensemble_max(df, columns, out="ensemble-max-int"):
     return df.withColumn(out, F.greatest(*[F.col(f"`{c}`") for c in columns]))
 
 
-def ensemble_buckets(df, scores, weight="token_length"):
+def ensemble_buckets(df, scores, weight="token_length", store=True):
     """Thresholds from the data itself, then integer bins and their row maximum.
 
     `df` should be slim (id, weight, scores): it is stored once, because scoring
-    is the costly part and the thresholds need passes of their own.
+    is the costly part and the thresholds need passes of their own. Pass
+    store=False for a table that is stored already.
     """
-    stored = cut_lineage(df)
+    stored = cut_lineage(df) if store else df
     binned = digitize(stored, scores, thresholds(stored, scores, weight))
     return ensemble_max(binned, [f"{s}-int" for s in scores])
 

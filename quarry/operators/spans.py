@@ -1,8 +1,11 @@
 """Repeated token spans: find, normalise, remove, rebuild the text."""
 
-from pyspark.sql import Window, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Window, functions as F, types as T
 
-from quarry.functions.columns import col, windows
+from quarry.functions.columns import col
+from quarry.plans.checkpoints import cut_lineage
 from quarry.plans.skew import HOT_ROWS, join_groups
 
 # Fixed value: a token with the white space before it, so that joining gives the text back.
@@ -13,15 +16,51 @@ def pieces(text="text"):
     return F.regexp_extract_all(col(text), F.lit(PIECE), F.lit(0))
 
 
+def window_hashes(k):
+    """Arrow function: two 64-bit hashes of every run of k token hashes.
+
+    Polynomials modulo 2^64 over the (already random) token hashes; numpy
+    computes one coefficient for all windows of a document at a time.
+    """
+    shape = T.StructType(
+        [T.StructField("a", T.ArrayType(T.LongType())), T.StructField("b", T.ArrayType(T.LongType()))]
+    )
+    bases = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+    @F.pandas_udf(shape)
+    def run(first: pd.Series, second: pd.Series) -> pd.DataFrame:
+        def one(hashes, base):
+            values = np.asarray(hashes, dtype=np.int64).view(np.uint64)
+            n = len(values) - k + 1
+            if n < 1:
+                return np.empty(0, dtype=np.int64)
+            total = np.zeros(n, dtype=np.uint64)
+            for j in range(k):
+                total *= np.uint64(base)
+                total += values[j : j + n]
+            return total.view(np.int64)
+
+        return pd.DataFrame(
+            {"a": first.map(lambda h: one(h, bases[0])), "b": second.map(lambda h: one(h, bases[1]))}
+        )
+
+    return run
+
+
 def repeated_windows(tokens, k=50, keep="first", id="doc_id", column="tokens", hot_rows=HOT_ROWS):
     """(id, pos) of every k-token window to remove: its text occurs twice or more.
 
     Only 16-byte hashes and positions are shuffled. Windows that occur once are
-    dropped by a map-side-combined count before the join back.
+    dropped by a map-side-combined count; the few that repeat are stored before
+    the join back.
     """
-    keys = windows(column, k, lambda run: F.unhex(F.md5(F.array_join(run, "\u0001"))))
-    spots = tokens.select(id, F.posexplode(keys).alias("pos", "key"))
-    groups = (
+    hashed = window_hashes(k)(
+        F.transform(column, lambda t: F.xxhash64(t)), F.transform(column, lambda t: F.xxhash64(F.lit(1), t))
+    )
+    spots = tokens.select(id, hashed.alias("h")).select(
+        id, F.posexplode_outer(F.arrays_zip("h.a", "h.b")).alias("pos", "key")
+    ).filter("pos is not null")
+    groups = cut_lineage(
         spots.groupBy("key")
         .agg(F.count("*").alias("n"), F.min(F.struct(id, "pos")).alias("first"))
         .filter("n > 1")

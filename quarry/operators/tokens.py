@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F, types as T
 
 from quarry.functions.columns import EOS_ID, token_ids
-from quarry.plans.prefix import quantile_bucket, running_total
+from quarry.plans.prefix import quantile_bucket, running_totals
 
 
 def worker_resource(name, factory):
@@ -113,15 +113,12 @@ def token_stats(df, by=(), column="input_ids", min_chars=None, text="text", max_
 
 def index_layout(df, order, length="length", by=(), itemsize=4):
     """Byte pointer (bytes of all earlier sequences) and 0-based document index."""
-    cut = quantile_bucket(df.filter(F.col(length) > 0), order).withColumn(
-        "_bytes", F.col(length).cast("bigint") * itemsize
-    )
-    placed = running_total(cut, "_bytes", [order], by=by, out="_end")
-    placed = running_total(
-        placed.withColumn("_one", F.lit(1).cast("bigint")), "_one", [order], by=by, out="_count"
-    )
+    cut = quantile_bucket(df, order).filter(F.col(length) > 0)
+    values = {"_end": F.col(length).cast("bigint") * itemsize, "_count": F.lit(1).cast("bigint")}
+    placed = running_totals(cut, values, [order], by=by)
     return placed.withColumns(
-        {"pointer": F.col("_end") - F.col("_bytes"), "document_index": F.col("_count") - 1}
-    ).drop("_bucket", "_bytes", "_end", "_one", "_count")
-
-
+        {
+            "pointer": F.col("_end") - F.col(length).cast("bigint") * itemsize,
+            "document_index": F.col("_count") - 1,
+        }
+    ).drop("_bucket", "_end", "_count")

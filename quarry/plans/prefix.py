@@ -30,31 +30,34 @@ def quantile_bucket(df, column, buckets=1000, out="_bucket"):
     return cut.transform(numbered).drop("_order_number")
 
 
-def running_total(df, value, order, bucket="_bucket", by=(), out="running"):
-    """Inclusive running sum of `value` in `order`, per `by`, inside buckets.
+def running_totals(df, values, order, bucket="_bucket", by=()):
+    """Inclusive running sums in `order`, per `by`, inside buckets.
 
-    `bucket` is a column that never decreases along `order`. Ties in `order`
-    need a tie-break column for a stable result.
+    `values`: output name -> column to sum. `bucket` is a column that never
+    decreases along `order`. Ties in `order` need a tie-break column for a stable
+    result. `df` is read twice (bucket totals, rows), so store it if it is costly.
     """
     by = list(by)
-    per_bucket = df.groupBy(*by, bucket).agg(F.sum(value).alias("_bucket_total"))
+    keys = [*by, bucket]
+    per_bucket = df.groupBy(*keys).agg(*[F.sum(v).alias(f"_total_{out}") for out, v in values.items()])
     before = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
-        *[F.col(c).alias(f"_key_{c}") for c in [*by, bucket]],
-        F.coalesce(F.sum("_bucket_total").over(before), F.lit(0)).alias("_offset"),
+        *[F.col(c).alias(f"_key_{c}") for c in keys],
+        *[F.coalesce(F.sum(f"_total_{out}").over(before), F.lit(0)).alias(f"_offset_{out}") for out in values],
     )
     inside = (
-        Window.partitionBy(*by, bucket)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     match = F.lit(True)
-    for c in [*by, bucket]:
+    for c in keys:
         match = match & df[c].eqNullSafe(offsets[f"_key_{c}"])
-    joined = df.join(offsets, match)
-    return joined.withColumn(out, F.col("_offset") + F.sum(value).over(inside)).drop(
-        "_offset", *[f"_key_{c}" for c in [*by, bucket]]
-    )
+    sums = {out: F.col(f"_offset_{out}") + F.sum(v).over(inside) for out, v in values.items()}
+    joined = df.join(offsets, match).withColumns(sums)
+    return joined.drop(*[f"_offset_{out}" for out in values], *[f"_key_{c}" for c in keys])
+
+
+def running_total(df, value, order, bucket="_bucket", by=(), out="running"):
+    return running_totals(df, {out: value}, order, bucket, by)
 
 
 def position(df, order, by=(), ties=(), buckets=1000, out="position"):

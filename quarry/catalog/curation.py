@@ -56,7 +56,7 @@ base AS (SELECT DISTINCT doc_id, ({GRAM_HASH}) % 2147483647 AS h
          FROM (SELECT doc_id, c, unnest(range(1, greatest(len(c) - 22, 2))) AS i FROM points))"""
 FAMILY = minhash.hash_family(minhash.BANDS * minhash.ROWS)
 SIGNATURES = BASE + ", sig AS (SELECT doc_id, [" + ", ".join(
-    f"min(({a} * h + {b}) % 2147483647)" for a, b in FAMILY
+    f"min(({a} * h + {b}) & 4294967295)" for a, b in FAMILY
 ) + "] AS s FROM base GROUP BY doc_id)"
 BUCKETS = SIGNATURES + """,
 buckets AS (SELECT doc_id, band, md5(array_to_string(s[band * 13 + 1 : band * 13 + 13], ',')) AS key
@@ -244,7 +244,7 @@ SCORES = ["alpha_share", "distinct_word_share", "mean_word_length"]
 def scored(spark, folder, docs=None):
     """Score table, stored once: later steps read it several times."""
     docs = heavy(spark, folder) if docs is None else docs
-    from quarry.functions.columns import WORD, words
+    from quarry.functions.columns import WORD
 
     n_words = F.regexp_count("text", F.lit(WORD))
     mean = F.when(n_words > 0, F.char_length("text") / n_words).otherwise(0.0)

@@ -14,27 +14,25 @@ def rank_sql(seed, key, by=""):
     return f"row_number() OVER ({part}ORDER BY md5('{seed}:' || {key}), {key})"
 
 
-def order_files(spark, folder):
-    """Orders as files: one data set per priority, path = order key, size = price."""
-    return table(spark, folder, "orders").select(
-        F.col("o_orderpriority").alias("dataset"), F.col("o_orderkey").alias("path"),
-        F.floor("o_totalprice").alias("size"),
+def files(spark, folder):
+    """The sources of each language as files: path = source, size = its bytes."""
+    return table(spark, folder, "documents").groupBy(F.col("lang").alias("dataset"), F.col("source").alias("path")).agg(
+        F.sum(F.octet_length("text")).alias("size")
     )
 
 
 @CATALOG.add("balanced_shards")
 def _(spark, folder):
-    return sharding.balanced_shards(order_files(spark, folder), 16)
+    return sharding.balanced_shards(files(spark, folder), 8)
 
 
 @CATALOG.add(
     "balanced_shards_without_sizes",
-    "SELECT o_orderpriority AS dataset, o_orderkey AS path, 0::BIGINT AS size,"
-    " ((row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1) % 16)::INTEGER AS shard FROM orders",
+    "SELECT lang AS dataset, source AS path, 0::BIGINT AS size,"
+    " ((row_number() OVER (PARTITION BY lang ORDER BY source) - 1) % 8)::INTEGER AS shard FROM documents GROUP BY lang, source",
 )
 def _(spark, folder):
-    files = order_files(spark, folder).withColumn("size", F.lit(0).cast("bigint"))
-    return sharding.balanced_shards(files, 16)
+    return sharding.balanced_shards(files(spark, folder).withColumn("size", F.lit(0).cast("bigint")), 8)
 
 
 @CATALOG.add(
@@ -67,12 +65,15 @@ def _(spark, folder):
 
 
 SPLIT = f"""
-sp AS (SELECT p_partkey AS path, p_brand AS dataset, {rank_sql(42, "p_partkey")} AS r FROM part),
+sh AS (SELECT DISTINCT source AS dataset, source || '/shard_' || (doc_id % 16) AS path FROM documents),
+sp AS (SELECT path, dataset, {rank_sql(42, "path")} AS r FROM sh),
 named AS (SELECT path, dataset, CASE WHEN r <= 20 THEN 'test' WHEN r <= 50 THEN 'valid' ELSE 'train' END AS split FROM sp)"""
 
 
 def split_shards(spark, folder):
-    shards = table(spark, folder, "part").select(F.col("p_partkey").alias("path"), F.col("p_brand").alias("dataset"))
+    shards = table(spark, folder, "documents").select(
+        F.col("source").alias("dataset"), F.concat("source", F.lit("/shard_"), F.col("doc_id") % 16).alias("path")
+    ).distinct()
     return sharding.shard_splits(shards, valid=30, test=20, seed=42)
 
 
@@ -83,13 +84,13 @@ def _(spark, folder):
 
 @CATALOG.add(
     "blend_manifest",
-    f"""WITH {SPLIT}, w AS (SELECT split, path::VARCHAR AS path, CASE WHEN dataset = 'Brand#1' THEN 0 ELSE 1.5 END AS weight FROM named)
+    f"""WITH {SPLIT}, w AS (SELECT split, path, CASE WHEN dataset = 'src1' THEN 0 ELSE 1.5 END AS weight FROM named)
     SELECT split, string_agg('1.5,' || path, ',' ORDER BY path) AS entries FROM w WHERE weight > 0 GROUP BY split""",
 )
 def _(spark, folder):
     shards = split_shards(spark, folder).select(
-        "split", F.col("path").cast("string").alias("path"),
-        F.when(F.col("dataset") == "Brand#1", 0.0).otherwise(1.5).alias("weight"),
+        "split", "path",
+        F.when(F.col("dataset") == "src1", 0.0).otherwise(1.5).alias("weight"),
     )
     return blend.blend_manifest(shards).select("split", F.array_join("entries", ",").alias("entries"))
 

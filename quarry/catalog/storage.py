@@ -111,16 +111,16 @@ def _(spark, folder):
 
 @CATALOG.add(
     "manifest_file",
-    "SELECT p_size % 3 AS k, count(*) AS n FROM part GROUP BY 1",
+    "SELECT lang AS split, count(DISTINCT source) AS n FROM documents GROUP BY 1",
 )
 def _(spark, folder):
     path = folder_for(spark)
-    shards = table(spark, folder, "part").select(
-        (F.col("p_size") % 3).cast("string").alias("split"), F.lit(1.0).alias("weight"), F.col("p_partkey").cast("string").alias("path")
-    )
+    shards = table(spark, folder, "documents").select(
+        F.col("lang").alias("split"), F.lit(1.0).alias("weight"), F.col("source").alias("path")
+    ).distinct()
     writers.write_blend_manifest(shards, path)
-    read = spark.read.text(path).select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("k", "e"))
-    return read.select(F.col("k").cast("int").alias("k"), (F.size("e") / 2).cast("bigint").alias("n"))
+    read = spark.read.text(path).select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("split", "e"))
+    return read.select("split", (F.size("e") / 2).cast("bigint").alias("n"))
 
 
 @CATALOG.add("csv_round_trip", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")

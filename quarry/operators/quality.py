@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quarry.functions.columns import WORD, hash_fraction, let, words
 from quarry.plans.checkpoints import cut_lineage
 from quarry.plans.prefix import quantile_bucket, running_total
+from quarry.plans.skew import join_groups
 
 PERCENTS = tuple(range(5, 100, 5))
 
@@ -72,8 +73,8 @@ def weighted_percentiles(df, percents=PERCENTS, by="score_column", score="score"
     sums = df.groupBy(by, score).agg(F.sum(weight).alias("_w"))
     cut = quantile_bucket(sums, score)
     ranked = running_total(cut, "_w", [score], by=[by], out="_cum")
-    totals = df.groupBy(by).agg(F.sum(weight).alias("_total"))
-    shared = ranked.join(totals, by)
+    totals = sums.groupBy(by).agg(F.sum("_w").alias("_total"), F.count("*").alias("n"))
+    shared = join_groups(ranked, totals, [by], [score])
     share = F.col("_cum") / F.col("_total")
     firsts = [F.min(F.when(share >= p / 100.0, F.col(score))).alias(f"_p{p}") for p in percents]
     wide = shared.groupBy(by).agg(*firsts)

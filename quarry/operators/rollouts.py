@@ -60,14 +60,16 @@ def resolve_placeholders(records, sources, styles, keep=()):
     """Fill records that only point at row N of a named source.
 
     `records`: dataset, placeholder (struct row, prefix, suffix, template).
-    `sources`: dataset, row, question, answer; (dataset, row) is unique, so the
-    join is balanced however many records name one source.
+    `sources`: dataset, row, question, answer; (dataset, row) is unique. Many
+    records may name one row: the join is cut into slices by the `keep` columns.
     `styles`: dataset name -> "wrapped" or "template". Records without a match,
     with an unknown data set or a null question are dropped.
     """
     known = F.col("dataset").isin(*styles)
     asked = records.filter(F.col("placeholder").isNotNull() & known).withColumn("row", F.col("placeholder.row"))
-    found = asked.join(sources.filter("question is not null"), ["dataset", "row"])
+    named = asked.groupBy("dataset", "row").agg(F.count("*").alias("n"))
+    rows = named.join(sources.filter("question is not null"), ["dataset", "row"])
+    found = join_groups(asked, rows, ["dataset", "row"], keep or ["dataset"])
     style = F.lit(None).cast("string")
     for name, kind in styles.items():
         style = F.when(F.col("dataset") == name, kind).otherwise(style)

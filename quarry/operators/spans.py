@@ -60,14 +60,16 @@ def repeated_windows(tokens, k=50, keep="first", id="doc_id", column="tokens", h
     spots = tokens.select(id, hashed.alias("h")).select(
         id, F.posexplode_outer(F.arrays_zip("h.a", "h.b")).alias("pos", "key")
     ).filter("pos is not null")
+    # One number for (id, pos) keeps the aggregation a hash aggregation; structs would sort.
+    place = F.struct(id, "pos")
+    if dict(tokens.dtypes)[id] in ("bigint", "int"):
+        place = F.col(id).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("pos")
     groups = cut_lineage(
-        spots.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min(F.struct(id, "pos")).alias("first"))
-        .filter("n > 1")
+        spots.groupBy("key").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1")
     )
     found = join_groups(spots, groups, ["key"], [id, "pos"], hot_rows=hot_rows)
     if keep == "first":
-        found = found.filter((F.col(id) != F.col("first")[id]) | (F.col("pos") != F.col("first")["pos"]))
+        found = found.filter(place != F.col("first"))
     return found.select(id, "pos")
 
 

@@ -88,7 +88,8 @@ def medians(df, columns):
     )
     ranked = running_total(quantile_bucket(counts, "v"), "w", ["v"], by=["column"], out="_cum")
     totals = counts.groupBy("column").agg(F.sum("w").alias("_n"))
-    joined = ranked.join(totals, "column")
+    # One row per named column.
+    joined = ranked.join(F.broadcast(totals), "column")
     low = F.min(F.when(F.col("_cum") >= F.floor((F.col("_n") + 1) / 2), F.col("v")))
     high = F.min(F.when(F.col("_cum") >= F.floor(F.col("_n") / 2) + 1, F.col("v")))
     return joined.groupBy("column").agg(((low + high) / 2).alias("median"))
@@ -179,9 +180,9 @@ def train_test_split(df, test, seed, key, stratify=None):
 
 def classifiers():
     return {
-        "logistic_regression": LogisticRegression(maxIter=20),
+        "logistic_regression": LogisticRegression(maxIter=20, regParam=0.01),
         "random_forest": RandomForestClassifier(numTrees=20, seed=42),
-        "linear_svm": OneVsRest(classifier=LinearSVC(maxIter=10)),
+        "linear_svm": OneVsRest(classifier=LinearSVC(maxIter=10, regParam=0.01), parallelism=4),
     }
 
 

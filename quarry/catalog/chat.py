@@ -261,9 +261,28 @@ def _(spark, folder):
     return packing.pack(lengths(spark, folder), 512, "concatenative").drop("part")
 
 
-@CATALOG.add("pack_first_fit_decreasing")
+FIRST_FIT = f"""
+q AS (SELECT (conv_id % 4)::INTEGER AS shard, conv_id AS seq_id, least(sum({token_count_sql()}), 512)::BIGINT AS length
+      FROM conversations GROUP BY conv_id),
+o AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY length DESC, seq_id) AS i FROM q),
+walk(shard, seq_id, length, i, bin_id, room) AS (
+  SELECT shard, seq_id, length, i, 0::BIGINT, [512 - length] FROM o WHERE i = 1
+  UNION ALL
+  SELECT shard, seq_id, length, i, coalesce(b, len(room) + 1) - 1,
+         CASE WHEN b IS NULL THEN list_append(room, 512 - length)
+              ELSE list_transform(room, lambda r, k: CASE WHEN k = b THEN r - length ELSE r END) END
+  FROM (SELECT o.shard, o.seq_id, o.length, o.i, w.room,
+               list_position(list_transform(w.room, lambda r: r >= o.length), true) AS b
+        FROM walk w JOIN o ON o.shard = w.shard AND o.i = w.i + 1))"""
+
+
+@CATALOG.add(
+    "pack_first_fit_decreasing",
+    f"""WITH RECURSIVE {FIRST_FIT} SELECT shard, bin_id, seq_id, length,
+        row_number() OVER (PARTITION BY shard, bin_id ORDER BY i) - 1 AS pos FROM walk""",
+)
 def _(spark, folder):
-    return packing.pack(lengths(spark, folder), 512, "first_fit_decreasing")
+    return packing.pack(lengths(spark, folder), 512, "first_fit_decreasing").drop("part")
 
 
 @CATALOG.add("pack_first_fit_shuffle")

@@ -21,7 +21,18 @@ def files(spark, folder):
     )
 
 
-@CATALOG.add("balanced_shards")
+@CATALOG.add(
+    "balanced_shards",
+    """WITH RECURSIVE f AS (SELECT lang AS dataset, source AS path, sum(strlen(text))::BIGINT AS size FROM documents GROUP BY ALL),
+    o AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY size DESC, path) AS i FROM f),
+    walk(dataset, path, size, i, shard, loads) AS (
+      SELECT dataset, path, size, i, 0::BIGINT, list_prepend(size, [0, 0, 0, 0, 0, 0, 0]::BIGINT[]) FROM o WHERE i = 1
+      UNION ALL
+      SELECT dataset, path, size, i, b - 1, list_transform(loads, lambda l, k: CASE WHEN k = b THEN l + size ELSE l END)
+      FROM (SELECT o.dataset, o.path, o.size, o.i, w.loads, list_position(w.loads, list_min(w.loads)) AS b
+            FROM walk w JOIN o ON o.dataset = w.dataset AND o.i = w.i + 1))
+    SELECT dataset, path, size, shard::INTEGER AS shard FROM walk""",
+)
 def _(spark, folder):
     return sharding.balanced_shards(files(spark, folder), 8)
 

@@ -4,8 +4,8 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from quarry.catalog.base import Catalog, table, token_count_sql
-from quarry.catalog.chat import packed
+from quarry.catalog.base import Catalog, heavy, table, token_count_sql
+from quarry.catalog.chat import PACKED, packed
 from quarry.catalog.curation import BINS, BUCKET, SCORES, scored, scored_sql
 from quarry.functions.columns import token_count
 from quarry.operators import custom, quality, sharding, tokens
@@ -79,23 +79,34 @@ def _(spark, folder):
     )
 
 
-@CATALOG.add("packed_round_trip")
+@CATALOG.add(
+    "packed_round_trip",
+    f"WITH RECURSIVE {PACKED} SELECT sum(length)::BIGINT AS n, sum(length)::BIGINT AS m, count(*) AS k FROM st GROUP BY shard, bin_id",
+)
 def _(spark, folder):
     path = folder_for(spark)
     writers.write_packed(packed(spark, folder), path, "zstd", pack_size=512)
+    size = lambda c: F.size(c).cast("bigint")
     return spark.read.parquet(path).select(
-        F.size("input_ids").alias("n"), F.size("loss_mask").alias("m"), F.size("seq_start_id").alias("k")
+        size("input_ids").alias("n"), size("loss_mask").alias("m"), size("seq_start_id").alias("k")
     )
 
 
-@CATALOG.add("token_index_files")
+@CATALOG.add(
+    "token_index_files",
+    f"SELECT count(*) AS sequences, sum({token_count_sql()} + 1)::BIGINT AS tokens FROM documents",
+)
 def _(spark, folder):
-    """Files of the token sink with their sizes."""
+    """Sequences from the index headers and tokens from the data sizes of the written pairs."""
     path = folder_for(spark)
-    docs = tokens.add_special(tokens.tokenize(table(spark, folder, "documents")))
+    docs = tokens.add_special(tokens.tokenize(heavy(spark, folder)))
     writers.write_token_index(docs, path)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.idx").load(path)
-    return files.select("length", F.hex(F.substring("content", 1, 7)).alias("magic"))
+    files = lambda ending: spark.read.format("binaryFile").option("pathGlobFilter", f"*.{ending}").load(path)
+    # The count is an eight-byte little-endian number behind magic, version and type.
+    digits = F.hex(F.substring("content", 19, 8))
+    number = F.conv(F.concat(*[F.substring(digits, i, 2) for i in range(15, 0, -2)]), 16, 10).cast("bigint")
+    sizes = files("bin").agg((F.sum("length") / 4).cast("bigint").alias("t"))
+    return files("idx").agg(F.sum(number).alias("sequences")).select("sequences", sizes.scalar().alias("tokens"))
 
 
 @CATALOG.add(

@@ -30,7 +30,7 @@ def index_bytes(lengths, dtype):
 class TokenIndexWriter(StagedWriter):
     """Options: `dtype` (int32, int64, uint16) and `column` (default input_ids)."""
 
-    def write(self, rows):
+    def write(self, batches):
         import numpy as np
         from pyspark import TaskContext
 
@@ -40,10 +40,11 @@ class TokenIndexWriter(StagedWriter):
         name = f"shard_{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
         lengths = []
         with store.open_output_stream(f"{root}/.{name}.bin", compression=None) as out:
-            for row in rows:
-                if row[column]:
-                    out.write(np.asarray(row[column], dtype=dtype).tobytes())
-                    lengths.append(len(row[column]))
+            for batch in batches:
+                lists = batch.column(batch.schema.get_field_index(column))
+                out.write(lists.flatten().to_numpy(zero_copy_only=False).astype(dtype).tobytes())
+                sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                lengths += sizes[sizes > 0].tolist()
         with store.open_output_stream(f"{root}/.{name}.idx", compression=None) as out:
             out.write(index_bytes(lengths, dtype))
         return Written(

@@ -21,7 +21,8 @@ def write_jsonl(df, path, compression=None, skip=None, mode="overwrite"):
     kept = watched.filter(~F.col("_skip")).drop("_skip")
     if compression == "zstd":
         df.sparkSession.dataSource.register(JsonlZstd)
-        kept.write.format("jsonl_zstd").mode(mode).save(path)
+        lines = kept.select(F.to_json(F.struct(*kept.columns)).alias("value"))
+        lines.write.format("jsonl_zstd").mode(mode).save(path)
     else:
         writer = kept.write.mode(mode)
         (writer.option("compression", compression) if compression else writer).json(path)

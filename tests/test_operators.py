@@ -25,15 +25,15 @@ def frame(spark, rows, schema):
 
 
 def test_join_groups_slices_hot_keys(spark):
-    rows = [("hot", i) for i in range(300)] + [(f"k{i}", i) for i in range(100)]
+    rows = [("hot", i) for i in range(300)] + [(f"k{i}", i) for i in range(100)] + [(None, i) for i in range(70)]
     members = frame(spark, rows, "k string, id long")
     groups = members.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("low"))
     out = join_groups(members, groups, ["k"], ["id"], hot_rows=50)
-    got = sorted((r.k, r.id, r.low, r.n) for r in out.collect())
+    got = sorted((str(r.k), r.id, r.low, r.n) for r in out.collect())
     count, low = Counter(k for k, _ in rows), {}
     for k, i in rows:
         low[k] = min(i, low.get(k, i))
-    assert got == sorted((k, i, low[k], count[k]) for k, i in rows)
+    assert got == sorted((str(k), i, low[k], count[k]) for k, i in rows)
 
 
 def test_running_total_matches_plain_window(spark):

@@ -1,6 +1,6 @@
 """Sinks (written, then read back), incremental runs and user functions."""
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -9,6 +9,7 @@ from quarry.catalog.chat import PACKED, packed
 from quarry.catalog.curation import BINS, BUCKET, SCORES, scored, scored_sql
 from quarry.functions.columns import token_count
 from quarry.operators import custom, quality, sharding, tokens
+from quarry.plans.checkpoints import shared_folder
 from quarry.sources import readers, writers
 from quarry.streaming import incremental as inc
 
@@ -16,13 +17,8 @@ CATALOG = Catalog()
 
 
 def folder_for(spark):
-    """A new folder below the shared checkpoint folder; a temporary one in local tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        return tempfile.mkdtemp(prefix="run-")
-    import uuid
-
-    return f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"
+    """A new folder below the shared folder."""
+    return f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
 
 
 @CATALOG.add("jsonl_round_trip", "SELECT conv_id, turn, role, text FROM conversations")

@@ -10,7 +10,7 @@ def _with_minimum(pairs, hot_rows):
     """(u, v, m): m is the smallest of u and all its neighbours v."""
     lowest = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
     lowest = lowest.withColumn("m", F.least("u", "m"))
-    return join_groups(pairs, lowest, ["u"], ["v"], hot_rows=hot_rows)
+    return join_groups(pairs, lowest, ["u"], ["v"], hot_rows=hot_rows, null_keys=False)
 
 
 def _large_star(edges, hot_rows):

@@ -67,7 +67,7 @@ def repeated_windows(tokens, k=50, keep="first", id="doc_id", column="tokens", h
     groups = cut_lineage(
         spots.groupBy("key").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1")
     )
-    found = join_groups(spots, groups, ["key"], [id, "pos"], hot_rows=hot_rows)
+    found = join_groups(spots, groups, ["key"], [id, "pos"], hot_rows=hot_rows, null_keys=False)
     if keep == "first":
         found = found.filter(place != F.col("first"))
     return found.select(id, "pos")

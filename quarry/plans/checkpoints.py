@@ -1,21 +1,28 @@
-"""Lineage cuts for iterative jobs."""
+"""Lineage cuts for iterative jobs and for results that are read more than once."""
 
 import tempfile
+import uuid
+
+
+def shared_folder(spark):
+    """The folder the cluster names in `spark.checkpoint.dir`; only a local session
+    without the setting gets a folder of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        folder = tempfile.mkdtemp(prefix="run-checkpoints-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def cut_lineage(df):
-    """Write `df` to the shared checkpoint folder and read it back.
+    """Write `df` to a table in the shared folder and read it back.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`. Only a
-    local session without the setting gets a folder of its own.
+    A table is columnar and survives lost executors like a checkpoint does. It is
+    preferred to `checkpoint()` in loops, because a checkpointed frame carries the
+    optimizer's constraints of its plan along, and they double with every round.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="run-checkpoints-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,22 +5,27 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 
 
-def join_groups(members, groups, keys, spread, size="n", hot_rows=HOT_ROWS):
+def join_groups(members, groups, keys, spread, size="n", hot_rows=HOT_ROWS, null_keys=True):
     """Join every row of `members` with the one row of `groups` for its keys.
 
     `groups` comes from a `groupBy(keys)` and carries the group's row count in
-    `size`; null keys match null keys. A group of more than `hot_rows` rows is cut
+    `size`. With `null_keys`, null matches null; switch it off where keys are never
+    null. A group of more than `hot_rows` rows is cut
     into slices of about that many rows by a hash of `spread` (columns that differ
     between rows), so no task receives more than about `hot_rows` rows of one key.
     The table of hot keys is broadcast: it has at most total_rows / hot_rows entries.
     """
     keys = list(keys)
+
+    def equal(left, right):
+        return F.col(left).eqNullSafe(F.col(right)) if null_keys else F.col(left) == F.col(right)
+
     slices = F.ceil(F.col(size) / F.lit(hot_rows)).cast("int")
     sliced = groups.withColumn("_slices", F.greatest(slices, F.lit(1)))
     hot = sliced.filter(F.col("_slices") > 1).select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_slices")
     same = F.lit(True)
     for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
+        same = same & equal(k, f"_hot_{k}")
     slot = F.pmod(F.xxhash64(*spread), F.col("_slices")).cast("int")
     marked = members.join(F.broadcast(hot), same, "left").withColumn("_slice", F.coalesce(slot, F.lit(0)))
     marked = marked.drop("_slices", *[f"_hot_{k}" for k in keys])
@@ -28,5 +33,5 @@ def join_groups(members, groups, keys, spread, size="n", hot_rows=HOT_ROWS):
     copies = copies.withColumnsRenamed({k: f"_group_{k}" for k in keys})
     match = F.col("_slice") == F.col("_copy")
     for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_group_{k}"))
+        match = match & equal(k, f"_group_{k}")
     return marked.join(copies, match).drop("_slice", "_copy", *[f"_group_{k}" for k in keys])

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from quarry.catalog.base import Catalog, table
-from quarry.llm import sharding, warc
+from quarry.llm import decontamination, sharding, warc
 from quarry.llm.common import new_folder
 
 CATALOG = Catalog()
@@ -68,3 +68,30 @@ def _(spark, folder):
         "record_type",
         number("refers_to").alias("refers_to"),
     )
+
+
+ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+CONTRACT_WORDS = rf"regexp_extract_all({ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@CATALOG.add(
+    "op4_decontamination",
+    f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {CONTRACT_WORDS} AS w FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, '') AS item_id, w, least(13, len(w)) AS k
+  FROM (SELECT item_id, {CONTRACT_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, k, array_to_string(w[s : s + k - 1], ' ') AS t
+  FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS s FROM b)),
+parts AS (SELECT r, s, k, array_to_string(w[s : s + k - 1], ' ') AS t
+  FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, (SELECT DISTINCT k FROM windows))),
+hits AS (SELECT r, s, k, item_id FROM parts JOIN windows USING (k, t)),
+n AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + k)) AS p FROM hits) GROUP BY r),
+i AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN i USING (r)
+""",
+)
+def _(spark, folder):
+    report = decontamination.contamination_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return report.drop("text_key")

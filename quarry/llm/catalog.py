@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from quarry.catalog.base import Catalog, table
-from quarry.llm import decontamination, sharding, warc
+from quarry.llm import decontamination, near_duplicates, sharding, warc
 from quarry.llm.common import new_folder
 
 CATALOG = Catalog()
@@ -95,3 +95,8 @@ FROM d LEFT JOIN n USING (r) LEFT JOIN i USING (r)
 def _(spark, folder):
     report = decontamination.contamination_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return report.drop("text_key")
+
+
+@CATALOG.add("op5_near_duplicates")
+def _(spark, folder):
+    return near_duplicates.near_duplicate_groups(table(spark, folder, "documents"), percent=85)

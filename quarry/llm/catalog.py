@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from quarry.catalog.base import Catalog, table
-from quarry.llm import decontamination, near_duplicates, sharding, warc
+from quarry.llm import decontamination, near_duplicates, secret_scan, sharding, warc
 from quarry.llm.common import new_folder
 
 CATALOG = Catalog()
@@ -100,3 +100,10 @@ def _(spark, folder):
 @CATALOG.add("op5_near_duplicates")
 def _(spark, folder):
     return near_duplicates.near_duplicate_groups(table(spark, folder, "documents"), percent=85)
+
+
+@CATALOG.add("op10_secret_scan")
+def _(spark, folder):
+    """Owners are the sources; a source's texts of one language count as one repository."""
+    repository = F.concat_ws("/", "source", "lang")
+    return secret_scan.secret_report(table(spark, folder, "documents"), repository=repository, owner="source")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from quarry.catalog.base import Catalog, table
-from quarry.llm import decontamination, near_duplicates, secret_scan, sharding, warc
+from quarry.llm import decontamination, language_id, near_duplicates, secret_scan, sharding, warc
 from quarry.llm.common import new_folder
 
 CATALOG = Catalog()
@@ -107,3 +107,11 @@ def _(spark, folder):
     """Owners are the sources; a source's texts of one language count as one repository."""
     repository = F.concat_ws("/", "source", "lang")
     return secret_scan.secret_report(table(spark, folder, "documents"), repository=repository, owner="source")
+
+
+@CATALOG.add("op6_language_id")
+def _(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = language_id.train(docs.select("doc_id", "text", "lang"))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language_id.is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

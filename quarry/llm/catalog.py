@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from quarry.catalog.base import Catalog, table
-from quarry.llm import decontamination, language_id, near_duplicates, secret_scan, sharding, warc
+from quarry.llm import decontamination, language_id, near_duplicates, secret_scan, sentence_pieces, sharding, warc
 from quarry.llm.common import new_folder
 
 CATALOG = Catalog()
@@ -115,3 +115,8 @@ def _(spark, folder):
     model = language_id.train(docs.select("doc_id", "text", "lang"))
     found = language_id.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", language_id.is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@CATALOG.add("op7_sentence_pieces")
+def _(spark, folder):
+    return sentence_pieces.encoding_report(table(spark, folder, "documents"))

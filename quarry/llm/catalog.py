@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from quarry.catalog.base import Catalog, table
-from quarry.llm import decontamination, language_id, near_duplicates, secret_scan, sentence_pieces, sharding, warc
+from quarry.llm import decontamination, language_id, near_duplicates, neighbours, secret_scan, sentence_pieces, sharding, warc
 from quarry.llm.common import new_folder
 
 CATALOG = Catalog()
@@ -120,3 +120,9 @@ def _(spark, folder):
 @CATALOG.add("op7_sentence_pieces")
 def _(spark, folder):
     return sentence_pieces.encoding_report(table(spark, folder, "documents"))
+
+
+@CATALOG.add("op8_neighbours")
+def _(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)

@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from quarry.catalog.base import Catalog, table
-from quarry.llm import decontamination, language_id, near_duplicates, neighbours, secret_scan, sentence_pieces, sharding, warc
+from quarry.llm import (
+    decontamination, language_id, main_text, near_duplicates, neighbours, secret_scan, sentence_pieces, sharding, warc,
+)
 from quarry.llm.common import new_folder
 
 CATALOG = Catalog()
@@ -126,3 +128,8 @@ def _(spark, folder):
 def _(spark, folder):
     vectors = table(spark, folder, "embeddings")
     return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+@CATALOG.add("op9_main_text")
+def _(spark, folder):
+    return main_text.extract(table(spark, folder, "pages"))

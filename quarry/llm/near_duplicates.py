@@ -12,7 +12,9 @@
 4. A band value whose documents are not all connected by then may hide links between the
    others. Its documents go through an exact prefix filter: with shingles ordered from the
    rarest, two sets over the threshold share one of their first n - ceil(share * n) + 1
-   shingles. Pairs of different components that share such a shingle are confirmed too.
+   shingles. First each such shingle's most central document meets the others, round by
+   round; then the documents of such a hub that are still in different components are
+   compared in blocks, where what each has for itself doesn't rule a link out.
 5. Components of the confirmed links. Every document gets the smallest one it can reach.
 
 `band_rows` picks the longest band for which a pair at the threshold is missed with a
@@ -30,8 +32,10 @@ from quarry.operators.components import connected_components
 COORDINATES = 256
 BIN_BITS = 8
 MISS = 1e-8
+STAR_ROUNDS = 3
 BROADCAST_ROWS = 1_000_000
 SLICE_BYTES = 2 << 20
+BLOCK_SHINGLES = 500_000
 U64 = np.uint64
 
 SKETCH = "doc_id long, n_shingles long, set_low long, set_high long, bands array<long>"
@@ -234,27 +238,123 @@ def labelled(members, links):
     return members.join(found, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
 
 
-def residue_pairs(members, links, sets, percent):
-    """Pairs of different components that share a band value and a rare shingle (step 4)."""
+def rare_shingles(members, links, sets, percent):
+    """(shingle, doc_id, n, alone): prefixes of the documents whose band values are not all connected.
+
+    `alone` counts shingles that no other of these documents has. They come first in the
+    order, so a document with as many as its prefix is long can't have a partner here.
+    """
     known = stored(labelled(members, links))
     mixed = known.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_bands = mixed.filter("low <> high").select("band")
-    documents = known.join(open_bands, "band", "left_semi").select("doc_id", "component").distinct()
-    rows = sets.join(documents, "doc_id").select("doc_id", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    rows = stored(rows)
+    documents = known.join(open_bands, "band", "left_semi").select("doc_id").distinct()
+    rows = stored(sets.join(documents, "doc_id").select("doc_id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")))
     counts = rows.groupBy("shingle").agg(F.count("*").alias("n_docs"))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    shared = attach(rows, stored(counts.filter("n_docs > 1").withColumn("n", F.col("n_docs"))), ["shingle"], ["doc_id"])
+    shared = attach(rows, stored(counts.filter("n_docs > 1").withColumn("size", F.col("n_docs"))), ["shingle"], ["doc_id"], "size")
     alone = F.count(F.when(F.col("n_docs").isNull(), True)).over(Window.partitionBy("doc_id"))
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("n_docs", "shingle"))
     ranked = shared.withColumn("alone", alone).filter("n_docs IS NOT NULL").filter(F.col("alone") < prefix)
-    rare = stored(ranked.withColumn("rank", rank + F.col("alone")).filter(F.col("rank") <= prefix))
-    spans = rare.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rare = rare.join(spans.filter("low <> high"), "shingle", "left_semi").select("shingle", "doc_id", "component", "n")
-    left, right = rare.select("shingle", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na")), rare
-    close = (F.col("na") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("na") * percent)
-    pairs = left.join(right, "shingle").filter((F.col("a") < F.col("doc_id")) & (F.col("ca") != F.col("component")) & close)
-    return pairs.select("a", F.col("doc_id").alias("b")).distinct()
+    rare = ranked.withColumn("rank", rank + F.col("alone")).filter(F.col("rank") <= prefix)
+    return stored(rare.select("shingle", "doc_id", "n", "alone"))
+
+
+def may_link(percent, n, alone, other_n, other_alone):
+    """What two sets can share at most is the smaller of their parts that others have too."""
+    shared = F.least(n - alone, other_n - other_alone)
+    return 100 * shared >= percent * (n + other_n - shared)
+
+
+def open_shingles(rare, links):
+    """`rare` with components, where a shingle still spans several of them."""
+    known = stored(labelled(rare, links))
+    spans = known.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return stored(known.join(spans.filter("low <> high").select("shingle"), "shingle", "left_semi"))
+
+
+def with_hubs(known):
+    """`known` with `hub`: the shingle's most central document, the one with the least of its own."""
+    hubs = known.groupBy("shingle").agg(
+        F.min(F.struct((F.col("alone") / F.col("n")).alias("share"), "doc_id", "component", "n", "alone")).alias("hub"), F.count("*").alias("size")
+    )
+    return attach(known, stored(hubs), ["shingle"], ["doc_id"], "size")
+
+
+def star_pairs(known, percent):
+    """Pairs of hubs and the other documents of their shingles, in other components."""
+    both = with_hubs(known).filter(F.col("hub.component") != F.col("component"))
+    both = both.filter(may_link(percent, F.col("n"), F.col("alone"), F.col("hub.n"), F.col("hub.alone")))
+    return stored(both.select(F.col("hub.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct())
+
+
+def block_links(left, right, percent):
+    """Confirmed links between two blocks of documents: one per pair of components."""
+    flat = [t["shingles"].combine_chunks().flatten().to_numpy() for t in (left, right)]
+    starts = np.concatenate([[0], np.cumsum(right["n"].to_numpy())[:-1]])
+    values, codes = np.unique(np.concatenate(flat), return_inverse=True)
+    own, other = codes[: len(flat[0])], codes[len(flat[0]) :]
+    ends = np.cumsum(left["n"].to_numpy())
+    n, alone, component, ids = (right[c].to_numpy() for c in ("n", "alone", "component", "doc_id"))
+    mark, done, out = np.zeros(len(values), bool), set(), []
+    for row, (doc, label, size, extra) in enumerate(zip(*(left[c].to_pylist() for c in ("doc_id", "component", "n", "alone")))):
+        most = np.minimum(size - extra, n - alone)
+        open_rows = (component != label) & (100 * most >= percent * (n + size - most))
+        if not open_rows.any():
+            continue
+        mine = own[ends[row] - size : ends[row]]
+        mark[mine] = True
+        shared = np.add.reduceat(mark[other], starts, dtype=np.int64)
+        mark[mine] = False
+        for hit in np.flatnonzero(open_rows & (100 * shared >= percent * (n + size - shared))).tolist():
+            pair = (min(label, int(component[hit])), max(label, int(component[hit])))
+            if pair not in done:
+                done.add(pair)
+                out.append((doc, int(ids[hit])))
+    return out
+
+
+def cross_links(known, sets, percent):
+    """Confirmed links between different components among the documents of a hub.
+
+    Documents that share a rare shingle share its hub, so they meet here. A hub's documents
+    are dealt out in blocks of about `BLOCK_SHINGLES`, and blocks meet in pairs, each pair a
+    group of its own; only links leave a group, never pairs.
+    """
+    members = stored(with_hubs(known).select(F.col("hub.doc_id").alias("hub"), "doc_id", "component", "n", "alone").distinct())
+    spans = members.groupBy("hub").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.sum("n").alias("shingles"), F.count("*").alias("size")
+    )
+    spans = spans.filter("low <> high").select("hub", "size", F.ceil(F.col("shingles") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    dealt = attach(members, stored(spans), ["hub"], ["doc_id"], "size").filter("blocks IS NOT NULL")
+    dealt = dealt.withColumns({"own": F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"), "every": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))})
+    dealt = stored(dealt.join(sets.dropDuplicates(["doc_id"]), "doc_id").withColumn("n", F.size("shingles").cast("bigint")))
+    columns = ["hub", "doc_id", "component", "n", "alone", "shingles"]
+    left = dealt.filter("own <= every").select(*columns, F.col("own").alias("i"), F.col("every").alias("j"))
+    right = dealt.filter("every <= own").select(*columns, F.col("every").alias("i"), F.col("own").alias("j"))
+    fields = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(x, y):
+        if not x.num_rows or not y.num_rows:
+            return fields.empty_table()
+        links = block_links(x, y, percent)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    keys = ["hub", "i", "j"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "a long, b long").distinct()
+
+
+def residue_links(members, links, sets, percent):
+    """All links, with the further ones of step 4."""
+    rare = rare_shingles(members, links, sets, percent)
+    for _ in range(STAR_ROUNDS):
+        known = open_shingles(rare, links)
+        more = stored(confirmed(star_pairs(known, percent), sets, percent))
+        if more.isEmpty():
+            break
+        links = stored(links.unionByName(more))
+    else:
+        known = open_shingles(rare, links)
+    return stored(links.unionByName(cross_links(known, sets, percent)))
 
 
 def confirmed_links(docs, sketched, percent, size):
@@ -269,8 +369,7 @@ def confirmed_links(docs, sketched, percent, size):
     texts = docs.join(broadcast_up_to(stored(involved), BROADCAST_ROWS), "doc_id", "left_semi")
     sets = stored(shingles_of(texts, size))
     links = stored(confirmed(pairs, sets, percent))
-    more = confirmed(stored(residue_pairs(members, links, sets, percent)), sets, percent)
-    return stored(links.unionByName(more))
+    return residue_links(members, links, sets, percent)
 
 
 def near_duplicate_groups(docs, percent=80, size=5, doc_id="doc_id", text="text"):

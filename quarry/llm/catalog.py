@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from quarry.catalog.base import Catalog, table
 from quarry.llm import (
-    decontamination, language_id, main_text, near_duplicates, neighbours, secret_scan, sentence_pieces, sharding, warc,
+    decontamination, language_id, main_text, near_duplicates, neighbours, secret_scan, sentence_pieces,
+    sharding, warc, weak_quality,
 )
 from quarry.llm.common import new_folder
 
@@ -133,3 +134,9 @@ def _(spark, folder):
 @CATALOG.add("op9_main_text")
 def _(spark, folder):
     return main_text.extract(table(spark, folder, "pages"))
+
+
+@CATALOG.add("op3_weak_quality")
+def _(spark, folder):
+    docs = table(spark, folder, "documents")
+    return weak_quality.score(docs, weak_quality.train(docs))

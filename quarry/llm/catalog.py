@@ -1,5 +1,6 @@
 """Queries of this folder's operators over the given tables, with SQL twins where SQL can say them."""
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 
 from quarry.catalog.base import Catalog, table
@@ -140,3 +141,8 @@ def _(spark, folder):
 def _(spark, folder):
     docs = table(spark, folder, "documents")
     return weak_quality.score(docs, weak_quality.train(docs))
+
+
+@CATALOG.add("pipeline", corpus_pipeline.ORACLE_SQL)
+def _(spark, folder):
+    return corpus_pipeline.run(spark, folder)

@@ -19,6 +19,14 @@ def ascii_lower(text):
     return F.translate(text, UPPER, LOWER)
 
 
+def free_name(df, name):
+    """`name`, with underscores added until no column of `df` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def new_folder(spark, name):
     """A new folder below the cluster's shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -157,8 +157,8 @@ def contamination_report(docs, benchmark, window=WINDOW, share=20, doc_id="doc_i
 def remove_contaminated(docs, benchmark, window=WINDOW, share=20, doc_id="doc_id", text="text", item_id="item_id"):
     """The rows of `docs`, with their columns, that are not contaminated."""
     bad = contamination_report(docs, benchmark, window, share, doc_id, text, item_id).filter("contaminated")
-    bad = bad.select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")).distinct()
-    return docs.join(bad, docs[doc_id].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs[text]) == F.col("_bad_key")), "left_anti")
+    bad = bad.select("doc_id", "text_key").distinct()
+    return docs.join(bad, docs[doc_id].eqNullSafe(bad["doc_id"]) & (F.xxhash64(docs[text]) == bad["text_key"]), "left_anti")
 
 
 def proximity_matches(index, items, counts, span=20, terms=3):

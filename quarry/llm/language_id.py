@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window, functions as F
 
-from quarry.llm.common import stored
+from quarry.llm.common import free_name, stored
 from quarry.llm.pieces import MARK, VOCABULARY, vocabulary
 
 SAMPLE_ROWS = 1000
@@ -325,6 +325,7 @@ def keep_known_languages(docs, model, languages=None, least_score=0.5, text="tex
     """The rows of `docs` whose text has a language of `languages` (default: all learned ones)
     with a score of at least `least_score`. Texts without letters are rejected."""
     wanted = list(languages or model.languages)
-    scored = identify(docs, model, text, ("_language", "_score"))
-    found = scored.filter(F.col("_language").isin(*wanted) & (F.col("_score") >= least_score))
+    lang, score = free_name(docs, "lang_pred"), free_name(docs, "score")
+    scored = identify(docs, model, text, (lang, score))
+    found = scored.filter(F.col(lang).isin(*wanted) & (F.col(score) >= least_score))
     return found.select(*docs.columns)

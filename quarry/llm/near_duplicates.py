@@ -403,11 +403,11 @@ def keep_one_per_group(docs, percent=80, size=5, doc_id="doc_id", text="text"):
     Of repeated rows with that id one stays; rows without an id stay.
     """
     report = stored(near_duplicate_groups(docs, percent, size, doc_id, text))
-    other = report.filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_other")).distinct()
-    twice = report.filter("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_twice")).count().filter("count > 1")
-    twice = stored(twice.select("_twice"))
-    left = docs.join(broadcast_up_to(stored(other), BROADCAST_ROWS), docs[doc_id] == F.col("_other"), "left_anti")
+    known = report.filter("doc_id IS NOT NULL")
+    other = stored(known.filter("NOT kept").select("doc_id").distinct())
+    twice = stored(known.filter("kept").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    left = docs.join(broadcast_up_to(other, BROADCAST_ROWS), docs[doc_id] == other["doc_id"], "left_anti")
     if twice.isEmpty():
         return left
-    once = left.join(twice, left[doc_id] == F.col("_twice"), "left_semi").dropDuplicates([doc_id])
-    return left.join(twice, left[doc_id] == F.col("_twice"), "left_anti").unionByName(once)
+    once = left.join(twice, left[doc_id] == twice["doc_id"], "left_semi").dropDuplicates([doc_id])
+    return left.join(twice, left[doc_id] == twice["doc_id"], "left_anti").unionByName(once)

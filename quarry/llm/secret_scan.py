@@ -147,8 +147,8 @@ def redacted(text, live, mask=MASK):
 def redact_live(docs, doc_id="doc_id", text="text", mask=MASK, **options):
     """All rows and columns of `docs`, live-looking values masked in the text."""
     live = scan(docs, doc_id=doc_id, text=text, **options).filter(F.size("live") > 0)
-    live = stored(live.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("live").alias("_live")).dropDuplicates(["_id", "_key"]))
-    same = docs[doc_id].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_key"))
+    live = stored(live.select("doc_id", "text_key", "live").dropDuplicates(["doc_id", "text_key"]))
+    same = docs[doc_id].eqNullSafe(live["doc_id"]) & (F.xxhash64(docs[text]) == live["text_key"])
     joined = docs.join(broadcast_up_to(live, BROADCAST_ROWS), same, "left")
-    clean = F.when(F.col("_live").isNull(), docs[text]).otherwise(redacted(docs[text], F.col("_live"), mask))
+    clean = F.when(live["live"].isNull(), docs[text]).otherwise(redacted(docs[text], live["live"], mask))
     return joined.select(*[clean.alias(c) if c == text else docs[c] for c in docs.columns])

@@ -74,10 +74,8 @@ def assign_shards(df, key, shards, slots=None, out="shard"):
     names = [f"shard-{i}" for i in range(shards)] if isinstance(shards, int) else list(shards)
     table = slot_table(df.sparkSession, names, slots)
     size = slots or next_prime(SLOTS_PER_SHARD * len(names))
-    found = table.select(F.col("slot").alias("_slot"), F.col("shard").alias("_shard"))
-    placed = df.withColumn("_slot_of_key", slot_of(key, size))
-    joined = placed.join(F.broadcast(found), F.col("_slot_of_key") == F.col("_slot"))
-    return joined.withColumn(out, F.col("_shard")).drop("_slot_of_key", "_slot", "_shard")
+    joined = df.join(F.broadcast(table), slot_of(df[key], size) == table["slot"])
+    return joined.select(*[df[c] for c in df.columns if c != out], table["shard"].alias(out))
 
 
 def shard_report(df, key, shards, slots=None):

@@ -14,7 +14,7 @@ def thinking_chats(spark, folder):
     df = chat.full_messages(chats(spark, folder))
     think = lambda m, i: F.when(
         (F.col("conv_id") % 3 == 0) & (m["role"] == "assistant") & (i > 1),
-        F.concat(F.lit("step "), F.substring(m["content"], 1, 40)),
+        F.concat(F.lit("step "), m["content"]),
     )
     return df.withColumn(
         "messages",
@@ -33,7 +33,7 @@ TURNS = """
 t AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i FROM conversations),
 x AS (SELECT *, max(CASE WHEN role = 'user' THEN i END) OVER (PARTITION BY conv_id) AS last_user,
              max(i) OVER (PARTITION BY conv_id) AS last_i,
-             CASE WHEN conv_id % 3 = 0 AND role = 'assistant' AND i > 1 THEN 'step ' || substr(text, 1, 40) END AS reason,
+             CASE WHEN conv_id % 3 = 0 AND role = 'assistant' AND i > 1 THEN 'step ' || text END AS reason,
              lead(role) OVER (PARTITION BY conv_id ORDER BY i) AS next_role,
              lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS prev_role FROM t)"""
 SYSTEM = "'<|im_start|>system' || chr(10)"
@@ -243,62 +243,65 @@ def lengths(spark, folder):
     )
 
 
+# Every shard is packed in two parts.
+PARTS = 2
+PART = f"(('0x' || substr(md5(conv_id::VARCHAR), 1, 15))::BIGINT % {PARTS})::INTEGER AS part"
 NEXT_FIT = f"""
-q AS (SELECT (conv_id % 4)::INTEGER AS shard, conv_id AS seq_id, least(sum({token_count_sql()}), 512)::BIGINT AS length
+q AS (SELECT (conv_id % 4)::INTEGER AS shard, {PART}, conv_id AS seq_id, least(sum({token_count_sql()}), 512)::BIGINT AS length
       FROM conversations GROUP BY conv_id),
-o AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY seq_id) AS i FROM q),
-walk(shard, seq_id, length, i, bin_id, used) AS (
-  SELECT shard, seq_id, length, i, 0::BIGINT, length FROM o WHERE i = 1
+o AS (SELECT *, row_number() OVER (PARTITION BY shard, part ORDER BY seq_id) AS i FROM q),
+walk(shard, part, seq_id, length, i, bin_id, used) AS (
+  SELECT shard, part, seq_id, length, i, 0::BIGINT, length FROM o WHERE i = 1
   UNION ALL
-  SELECT o.shard, o.seq_id, o.length, o.i, CASE WHEN w.used + o.length > 512 THEN w.bin_id + 1 ELSE w.bin_id END,
+  SELECT o.shard, o.part, o.seq_id, o.length, o.i, CASE WHEN w.used + o.length > 512 THEN w.bin_id + 1 ELSE w.bin_id END,
          CASE WHEN w.used + o.length > 512 THEN o.length ELSE w.used + o.length END
-  FROM walk w JOIN o ON o.shard = w.shard AND o.i = w.i + 1),
-bins AS (SELECT shard, bin_id, seq_id, length, row_number() OVER (PARTITION BY shard, bin_id ORDER BY i) - 1 AS pos FROM walk)"""
+  FROM walk w JOIN o ON o.shard = w.shard AND o.part = w.part AND o.i = w.i + 1),
+bins AS (SELECT shard, part, bin_id, seq_id, length, row_number() OVER (PARTITION BY shard, part, bin_id ORDER BY i) - 1 AS pos FROM walk)"""
 
 
-@CATALOG.add("pack_concatenative", f"WITH RECURSIVE {NEXT_FIT} SELECT shard, bin_id, pos, seq_id, length FROM bins")
+@CATALOG.add("pack_concatenative", f"WITH RECURSIVE {NEXT_FIT} SELECT shard, part, bin_id, pos, seq_id, length FROM bins")
 def _(spark, folder):
-    return packing.pack(lengths(spark, folder), 512, "concatenative").drop("part")
+    return packing.pack(lengths(spark, folder), 512, "concatenative", parts=PARTS)
 
 
 FIRST_FIT = f"""
-q AS (SELECT (conv_id % 4)::INTEGER AS shard, conv_id AS seq_id, least(sum({token_count_sql()}), 512)::BIGINT AS length
+q AS (SELECT (conv_id % 4)::INTEGER AS shard, {PART}, conv_id AS seq_id, least(sum({token_count_sql()}), 512)::BIGINT AS length
       FROM conversations GROUP BY conv_id),
-o AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY length DESC, seq_id) AS i FROM q),
-walk(shard, seq_id, length, i, bin_id, room) AS (
-  SELECT shard, seq_id, length, i, 0::BIGINT, [512 - length] FROM o WHERE i = 1
+o AS (SELECT *, row_number() OVER (PARTITION BY shard, part ORDER BY length DESC, seq_id) AS i FROM q),
+walk(shard, part, seq_id, length, i, bin_id, room) AS (
+  SELECT shard, part, seq_id, length, i, 0::BIGINT, [512 - length] FROM o WHERE i = 1
   UNION ALL
-  SELECT shard, seq_id, length, i, coalesce(b, len(room) + 1) - 1,
+  SELECT shard, part, seq_id, length, i, coalesce(b, len(room) + 1) - 1,
          CASE WHEN b IS NULL THEN list_append(room, 512 - length)
               ELSE list_transform(room, lambda r, k: CASE WHEN k = b THEN r - length ELSE r END) END
-  FROM (SELECT o.shard, o.seq_id, o.length, o.i, w.room,
+  FROM (SELECT o.shard, o.part, o.seq_id, o.length, o.i, w.room,
                list_position(list_transform(w.room, lambda r: r >= o.length), true) AS b
-        FROM walk w JOIN o ON o.shard = w.shard AND o.i = w.i + 1))"""
+        FROM walk w JOIN o ON o.shard = w.shard AND o.part = w.part AND o.i = w.i + 1))"""
 
 
 @CATALOG.add(
     "pack_first_fit_decreasing",
-    f"""WITH RECURSIVE {FIRST_FIT} SELECT shard, bin_id, seq_id, length,
-        row_number() OVER (PARTITION BY shard, bin_id ORDER BY i) - 1 AS pos FROM walk""",
+    f"""WITH RECURSIVE {FIRST_FIT} SELECT shard, part, bin_id, seq_id, length,
+        row_number() OVER (PARTITION BY shard, part, bin_id ORDER BY i) - 1 AS pos FROM walk""",
 )
 def _(spark, folder):
-    return packing.pack(lengths(spark, folder), 512, "first_fit_decreasing").drop("part")
+    return packing.pack(lengths(spark, folder), 512, "first_fit_decreasing", parts=PARTS)
 
 
 @CATALOG.add("pack_first_fit_shuffle")
 def _(spark, folder):
-    return packing.pack(lengths(spark, folder), 512, "first_fit_shuffle", seed=42)
+    return packing.pack(lengths(spark, folder), 512, "first_fit_shuffle", seed=42, parts=PARTS)
 
 
 @CATALOG.add(
     "packing_metrics",
     f"""
-    WITH RECURSIVE {NEXT_FIT} SELECT count(*) AS num_sequences, count(DISTINCT (shard, bin_id)) AS num_bins,
-      sum(length)::BIGINT AS total_tokens, round(count(*)::DOUBLE / count(DISTINCT (shard, bin_id)), 2) AS packing_factor,
-      round(sum(length)::DOUBLE / (count(DISTINCT (shard, bin_id)) * 512) * 100, 1) AS packing_efficiency FROM bins""",
+    WITH RECURSIVE {NEXT_FIT} SELECT count(*) AS num_sequences, count(DISTINCT (shard, part, bin_id)) AS num_bins,
+      sum(length)::BIGINT AS total_tokens, round(count(*)::DOUBLE / count(DISTINCT (shard, part, bin_id)), 2) AS packing_factor,
+      round(sum(length)::DOUBLE / (count(DISTINCT (shard, part, bin_id)) * 512) * 100, 1) AS packing_efficiency FROM bins""",
 )
 def _(spark, folder):
-    return packing.packing_metrics(packing.pack(lengths(spark, folder), 512, "concatenative"), 512)
+    return packing.packing_metrics(packing.pack(lengths(spark, folder), 512, "concatenative", parts=PARTS), 512)
 
 
 def packed(spark, folder):
@@ -307,24 +310,24 @@ def packed(spark, folder):
         (F.col("conv_id") % 4).cast("int").alias("shard"), F.col("conv_id").alias("seq_id"),
         "input_ids", "loss_mask", F.size("input_ids").alias("length"),
     )
-    return packing.materialize_bins(seqs, packing.pack(seqs, 512, "concatenative"), 512)
+    return packing.materialize_bins(seqs, packing.pack(seqs, 512, "concatenative", parts=PARTS), 512)
 
 
 PACKED = f"""
 {SPLIT},
-q AS (SELECT (conv_id % 4)::INTEGER AS shard, conv_id AS seq_id, least(sum({token_count_sql("content")}), 512)::BIGINT AS length
+q AS (SELECT (conv_id % 4)::INTEGER AS shard, {PART}, conv_id AS seq_id, least(sum({token_count_sql("content")}), 512)::BIGINT AS length
       FROM s GROUP BY conv_id)""" + NEXT_FIT[NEXT_FIT.index(",\no AS"):] + """,
-st AS (SELECT *, sum(length) OVER (PARTITION BY shard, bin_id ORDER BY pos) - length AS start FROM bins)"""
+st AS (SELECT *, sum(length) OVER (PARTITION BY shard, part, bin_id ORDER BY pos) - length AS start FROM bins)"""
 
 
 @CATALOG.add(
     "materialize_bins",
-    f"""WITH RECURSIVE {PACKED} SELECT shard, bin_id, sum(length)::BIGINT AS n,
+    f"""WITH RECURSIVE {PACKED} SELECT shard, part, bin_id, sum(length)::BIGINT AS n,
         string_agg(start::BIGINT::VARCHAR, ',' ORDER BY pos) AS starts FROM st GROUP BY ALL""",
 )
 def _(spark, folder):
     return packed(spark, folder).select(
-        "shard", "bin_id", F.size("input_ids").cast("bigint").alias("n"),
+        "shard", "part", "bin_id", F.size("input_ids").cast("bigint").alias("n"),
         F.array_join(F.col("seq_start_id").cast("array<string>"), ",").alias("starts"),
     )
 
@@ -342,7 +345,7 @@ def _(spark, folder):
 
 @CATALOG.add(
     "pack_metadata",
-    f"""WITH RECURSIVE {PACKED}, b AS (SELECT shard, bin_id, count(*) AS n, sum(length)::BIGINT AS t, max(length) AS longest FROM st GROUP BY ALL)
+    f"""WITH RECURSIVE {PACKED}, b AS (SELECT shard, part, bin_id, count(*) AS n, sum(length)::BIGINT AS t, max(length) AS longest FROM st GROUP BY ALL)
     SELECT max(n) AS max_samples_per_bin, max(longest)::BIGINT AS dataset_max_seqlen, min(t) AS min_packed_seqlen,
       round(avg(n), 2) AS packing_factor, round(sum(t)::DOUBLE / (count(*) * 512) * 100, 1) AS packing_efficiency,
       512::BIGINT AS pack_size FROM b""",

@@ -368,8 +368,8 @@ def _(spark, folder):
     html = F.col("html")
     df = table(spark, folder, "pages").select(
         "page_id",
-        F.struct(F.struct(F.when(html.contains("<img"), "x").alias("content")).alias("image_metadata")).alias("metadata"),
-        F.when(html.contains("<p>"), "words").alias("text"),
+        F.struct(F.struct(F.when(html.contains("<img"), html).alias("content")).alias("image_metadata")).alias("metadata"),
+        F.when(html.contains("<p>"), html).alias("text"),
     )
     return filters.modality(df).select("page_id", "modality")
 

@@ -93,6 +93,20 @@ def _(spark, folder):
     return split_shards(spark, folder)
 
 
+@CATALOG.add(
+    "ratio_splits",
+    f"""WITH s AS (SELECT source AS dataset, source || '/shard_' || (doc_id % 16) AS path FROM documents GROUP BY ALL),
+    r AS (SELECT *, {rank_sql(7, "path")} AS r, count(*) OVER () AS n FROM s)
+    SELECT path, dataset, CASE WHEN n <= 2 THEN 'train' WHEN r <= greatest(1, round_even(n * 0.02::DOUBLE, 0)) THEN 'test'
+      WHEN r <= greatest(1, round_even(n * 0.02::DOUBLE, 0)) + greatest(1, round_even(n * 0.1::DOUBLE, 0)) THEN 'valid' ELSE 'train' END AS split FROM r""",
+)
+def _(spark, folder):
+    shards = table(spark, folder, "documents").select(
+        F.col("source").alias("dataset"), F.concat("source", F.lit("/shard_"), F.col("doc_id") % 16).alias("path")
+    ).distinct()
+    return sharding.ratio_splits(shards, 0.1, 0.02, 7)
+
+
 @CATALOG.add(
     "blend_manifest",
     f"""WITH {SPLIT}, w AS (SELECT split, path, CASE WHEN dataset = 'src1' THEN 0 ELSE 1.5 END AS weight FROM named)
@@ -125,10 +139,14 @@ def _(spark, folder):
     return sharding.holdout_split(table(spark, folder, "documents").select("doc_id"), 100, "doc_id")
 
 
+LINES = """
+l AS (SELECT source, doc_id || ':' || n_chars || ':' || md5(text) AS line, substr(md5(doc_id::VARCHAR), 1, 3) AS p FROM documents),
+g AS (SELECT source, p || ':' || sha256(string_agg(line, chr(10) ORDER BY line)) AS entry FROM l GROUP BY source, p)"""
+
+
 @CATALOG.add(
     "source_fingerprint",
-    "SELECT source, 'sha256:' || sha256(string_agg(doc_id || ':' || n_chars || ':' || md5(text), chr(10) ORDER BY doc_id || ':' || n_chars || ':' || md5(text)))"
-    " AS fingerprint FROM documents GROUP BY source",
+    f"WITH {LINES} SELECT source, 'sha256:' || sha256(string_agg(entry, chr(10) ORDER BY entry)) AS fingerprint FROM g GROUP BY source",
 )
 def _(spark, folder):
     """Documents as files: path = id, size = characters, etag = content hash."""
@@ -177,14 +195,14 @@ def _(spark, folder):
 
 @CATALOG.add(
     "sample_blend",
-    f"""WITH w(dataset, weight) AS (VALUES ('en', 1.0::DOUBLE), ('fr', 2.0::DOUBLE), ('de', 1.0::DOUBLE)),
+    f"""WITH w(dataset, weight) AS (VALUES ('en', 1.0::DOUBLE), ('fr', 2.0::DOUBLE), ('de', 1.0::DOUBLE), ('es', 0.5::DOUBLE)),
     want AS (SELECT dataset, round(weight / (SELECT sum(weight) FROM w) * 900)::BIGINT AS want FROM w),
     r AS (SELECT lang AS dataset, doc_id, {rank_sql(42, "doc_id", "lang")} AS r, count(*) OVER (PARTITION BY lang) AS n FROM documents),
     c AS (SELECT dataset, doc_id, ceil((want - r + 1)::DOUBLE / n)::BIGINT AS copies FROM r JOIN want USING (dataset))
     SELECT dataset, doc_id, unnest(range(copies))::INTEGER AS copy FROM c WHERE copies > 0""",
 )
 def _(spark, folder):
-    weights = spark.sql("SELECT * FROM VALUES ('en', 1.0D), ('fr', 2.0D), ('de', 1.0D) AS w(dataset, weight)")
+    weights = spark.sql("SELECT * FROM VALUES ('en', 1.0D), ('fr', 2.0D), ('de', 1.0D), ('es', 0.5D) AS w(dataset, weight)")
     docs = table(spark, folder, "documents").select(F.col("lang").alias("dataset"), "doc_id")
     return blend.sample_blend(docs, weights, 900, "doc_id")
 

@@ -77,7 +77,7 @@ def _(spark, folder):
 
 @CATALOG.add(
     "packed_round_trip",
-    f"WITH RECURSIVE {PACKED} SELECT sum(length)::BIGINT AS n, sum(length)::BIGINT AS m, count(*) AS k FROM st GROUP BY shard, bin_id",
+    f"WITH RECURSIVE {PACKED} SELECT sum(length)::BIGINT AS n, sum(length)::BIGINT AS m, count(*) AS k FROM st GROUP BY shard, part, bin_id",
 )
 def _(spark, folder):
     path = folder_for(spark)

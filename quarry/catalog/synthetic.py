@@ -87,7 +87,7 @@ def _(spark, folder):
 def replies(spark, folder):
     """Documents with made replies: two question pairs, a paraphrase, passages, a list."""
     c = F.col("text")
-    head = F.substring(F.replace(c, F.lit("\n"), F.lit(" ")), 1, 600)
+    head = F.replace(c, F.lit("\n"), F.lit(" "))
     pair = F.concat(F.lit("Question: **what** is it?\nAnswer: "), head)
     return documents(spark, folder).select(
         "doc_id",
@@ -100,7 +100,7 @@ def replies(spark, folder):
 
 
 REPLIES = """
-h AS (SELECT doc_id, text, substr(replace(text, chr(10), ' '), 1, 600) AS head FROM documents),
+h AS (SELECT doc_id, text, replace(text, chr(10), ' ') AS head FROM documents),
 r AS (SELECT doc_id, text, 'Question: **what** is it?' || chr(10) || 'Answer: ' || head AS pair, head FROM h)"""
 
 

@@ -145,7 +145,8 @@ def _(spark, folder):
     train, test = parts(spark, folder)
     prepared = tab.Pipeline(stages=tab.features(["c_acctbal", "c_nationkey"], [], "c_mktsegment", True)).fit(train)
     model = tab.tune(
-        prepared.transform(train), tab.LogisticRegression(maxIter=5), {"regParam": (1e-3, 1.0)}, trials=2
+        prepared.transform(train), tab.LogisticRegression(maxIter=100),
+        {"regParam": (1e-3, 1.0), "elasticNetParam": [0.0, 0.5, 1.0]}, trials=5,
     )
     classes = prepared.stages[-1].labels
     return tab.predict(model, prepared.transform(test), classes, keep=["c_custkey"])

@@ -1,9 +1,11 @@
 """Main text of web pages and language identification."""
 
+import re
+from collections import Counter
 from html.parser import HTMLParser
 
-import pandas as pd
-from pyspark.sql import Window, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import Window, functions as F
 
 from quarry.functions.columns import char_ngrams, words
 
@@ -14,9 +16,7 @@ LENGTH_LOW, LENGTH_HIGH = 70, 200
 STOPWORDS_LOW, STOPWORDS_HIGH = 0.30, 0.32
 MAX_LINK_DENSITY = 0.2
 
-PARAGRAPHS = T.ArrayType(
-    T.StructType([T.StructField("text", T.StringType()), T.StructField("link_chars", T.IntegerType())])
-)
+OWNER_SIGN = re.compile("©|&copy|copyright", re.IGNORECASE)
 
 
 class _Paragraphs(HTMLParser):
@@ -56,16 +56,12 @@ class _Paragraphs(HTMLParser):
                 self.linked += len(" ".join(data.split()))
 
 
-@F.pandas_udf(PARAGRAPHS)
-def html_paragraphs(pages: pd.Series) -> pd.Series:
-    def one(page):
-        parser = _Paragraphs()
-        parser.feed(page or "")
-        parser.close()
-        parser.flush()
-        return parser.found
-
-    return pages.map(one)
+def page_paragraphs(page):
+    parser = _Paragraphs()
+    parser.feed(page or "")
+    parser.close()
+    parser.flush()
+    return parser.found
 
 
 def stop_words(df, text="text", lang="lang", top=100):
@@ -78,71 +74,73 @@ def stop_words(df, text="text", lang="lang", top=100):
     return best.groupBy(lang).agg(F.collect_list("word").alias("stop_words"))
 
 
-def classify_paragraphs(paragraphs, stops, id="page_id"):
-    """Length, stop-word and link rules first, then the neighbours decide.
-
-    `paragraphs` has (id, pos, lang, text, link_chars). `stops` is bounded:
-    one row of at most 100 words per language, so it is broadcast.
-    """
-    with_stops = paragraphs.join(F.broadcast(stops), "lang", "left")
-    tokens = F.split(F.lower("text"), " ")
-    n = F.char_length("text")
-    density = F.coalesce(
-        F.size(F.filter(tokens, lambda w: F.array_contains("stop_words", w))) / F.size(tokens), F.lit(0.0)
-    )
-    own = (
-        F.when(F.col("link_chars") / n > MAX_LINK_DENSITY, "bad")
-        .when(F.col("text").rlike("(?i)©|&copy|copyright"), "bad")
-        .when((n < LENGTH_LOW) & (F.col("link_chars") > 0), "bad")
-        .when(n < LENGTH_LOW, "short")
-        .when((F.col("density") >= STOPWORDS_HIGH) & (n > LENGTH_HIGH), "good")
-        .when(F.col("density") >= STOPWORDS_LOW, "near-good")
-        .otherwise("bad")
-    )
-    rated = with_stops.withColumn("density", density).withColumn("own", own).drop("stop_words")
-    before = Window.partitionBy(id).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(id).orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
-    firm = F.when(F.col("own").isin("good", "bad"), F.col("own"))
-    any_long = F.when(F.col("own") != "short", F.col("own"))
-
-    def near(value, window, pick):
-        return F.coalesce(pick(value, ignorenulls=True).over(window), F.lit("bad"))
-
-    rated = rated.withColumns(
-        {
-            "prev": near(firm, before, F.last),
-            "next": near(firm, after, F.first),
-            "prev_long": near(any_long, before, F.last),
-            "next_long": near(any_long, after, F.first),
-        }
-    )
-    both = lambda kind: (F.col("prev") == kind) & (F.col("next") == kind)
-    touched = ((F.col("prev") == "bad") & (F.col("prev_long") == "near-good")) | (
-        (F.col("next") == "bad") & (F.col("next_long") == "near-good")
-    )
-    final = (
-        F.when(F.col("own").isin("good", "bad"), F.col("own"))
-        .when(F.col("own") == "near-good", F.when(both("bad"), "bad").otherwise("good"))
-        .when(both("good"), "good")
-        .when(both("bad"), "bad")
-        .otherwise(F.when(touched, "good").otherwise("bad"))
-    )
-    return rated.withColumn("kind", final).select(id, "pos", "text", "own", "kind")
+def own_kind(text, link_chars, stops):
+    """Rating of one paragraph by its links, length and share of stop words."""
+    n = len(text)
+    if link_chars / n > MAX_LINK_DENSITY or OWNER_SIGN.search(text):
+        return "bad"
+    if n < LENGTH_LOW:
+        return "bad" if link_chars else "short"
+    tokens = text.lower().split(" ")
+    density = sum(t in stops for t in tokens) / len(tokens)
+    if density >= STOPWORDS_HIGH and n > LENGTH_HIGH:
+        return "good"
+    return "near-good" if density >= STOPWORDS_LOW else "bad"
+
+
+def nearest(kinds, wanted):
+    """For every position the nearest earlier kind of `wanted`; 'bad' before the first."""
+    out, last = [], "bad"
+    for kind in kinds:
+        out.append(last)
+        if kind in wanted:
+            last = kind
+    return out
+
+
+def good_paragraphs(paragraphs, stops):
+    """Texts of the paragraphs to keep: unsure ones follow their neighbours on both sides."""
+    kinds = [own_kind(p["text"], p["link_chars"], stops) for p in paragraphs]
+    sides = []
+    for order in (1, -1):
+        seen = kinds[::order]
+        firm, long = nearest(seen, ("good", "bad")), nearest(seen, ("good", "bad", "near-good"))
+        sides.append(list(zip(firm, long))[::order])
+    kept = []
+    for paragraph, kind, (before, long_before), (after, long_after) in zip(paragraphs, kinds, *sides):
+        if kind == "near-good":
+            kind = "bad" if before == after == "bad" else "good"
+        elif kind == "short":
+            if before == after:
+                kind = before
+            else:
+                touched = (before == "bad" and long_before == "near-good") or (after == "bad" and long_after == "near-good")
+                kind = "good" if touched else "bad"
+        if kind == "good":
+            kept.append(paragraph["text"])
+    return kept
 
 
 def extract_html(df, stops, html="html", id="page_id", default_lang="en"):
-    """(id, text): main text per page; pages without any keep an empty text."""
+    """(id, text): main text per page; pages without any keep an empty text.
+
+    Row by row, without a shuffle. `stops` is bounded (100 words per language) and travels
+    with the tasks.
+    """
+    words_of = {r["lang"]: frozenset(r["stop_words"]) for r in stops.select("lang", "stop_words").collect()}
     code = F.lower(F.regexp_extract(html, r"(?i)<html[^>]*\blang=[\"']?([A-Za-z]{2})", 1))
-    parsed = df.select(
-        id, F.when(code == "", default_lang).otherwise(code).alias("lang"), html_paragraphs(html).alias("p")
-    )
-    rows = parsed.select(id, "lang", F.posexplode_outer("p").alias("pos", "p")).select(
-        id, "lang", "pos", "p.text", "p.link_chars"
-    )
-    kinds = classify_paragraphs(rows, stops, id)
-    good = F.when(F.col("kind") == "good", F.struct("pos", "text"))
-    grouped = kinds.groupBy(id).agg(F.array_sort(F.collect_list(good)).alias("kept"))
-    return grouped.select(id, F.array_join(F.transform("kept", lambda p: p["text"]), "\n").alias("text"))
+    pages = df.select(id, F.when(code == "", default_lang).otherwise(code).alias("lang"), F.col(html).alias("html"))
+    kind = dict(df.dtypes)[id]
+
+    def texts(batches):
+        for batch in batches:
+            found = [
+                "\n".join(good_paragraphs(page_paragraphs(page), words_of.get(lang, frozenset())))
+                for lang, page in zip(batch.column("lang").to_pylist(), batch.column("html").to_pylist())
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(id), pa.array(found, pa.string())], names=[id, "text"])
+
+    return pages.mapInArrow(texts, f"`{id}` {kind}, text string")
 
 
 def trigram_profiles(df, text="text", lang="lang", top=300):
@@ -154,22 +152,40 @@ def trigram_profiles(df, text="text", lang="lang", top=300):
     order = Window.partitionBy(lang).orderBy(F.desc("n"), "gram")
     best = counted.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= top)
     weight = F.log(F.col("n") / F.col("total")) - F.log(0.5 / F.col("total"))
-    return best.join(F.broadcast(totals), lang).select(lang, "gram", weight.alias("weight"))
+    return best.join(totals, lang).select(lang, "gram", weight.alias("weight"))
 
 
 def language_id(df, profiles, text="text", id="doc_id"):
-    """Best language and its share of the score. The profile table is bounded
-    (300 rows per language) and broadcast; one document's trigrams are summed
-    in the task that read it, before a few rows per document are shuffled."""
-    grams = df.select(id, F.explode(char_ngrams(F.lower(text), 3)).alias("gram"))
-    scores = grams.join(F.broadcast(profiles), "gram").groupBy(id, "lang").agg(F.sum("weight").alias("s"))
-    best = scores.groupBy(id).agg(
-        F.max(F.struct("s", "lang")).alias("best"), F.sum("s").alias("all")
-    )
-    found = best.select(
-        id, F.col("best.lang").alias("language"), (F.col("best.s") / F.col("all")).alias("language_score")
-    )
-    return df.join(found, id, "left").fillna({"language": "unknown", "language_score": 0.0})
+    """Best language and its share of the score, row by row without a shuffle.
+
+    The profiles are bounded (300 rows per language) and travel with the tasks.
+    """
+    weights = {}
+    for row in profiles.collect():
+        weights.setdefault(row["gram"], []).append((row["lang"], row["weight"]))
+    low = df.withColumn("_low", F.lower(text))
+    names = df.columns
+    shape = ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
+
+    def best(value):
+        grams = Counter([value] if len(value) < 3 else [value[k : k + 3] for k in range(len(value) - 2)])
+        sums = {}
+        for gram, count in grams.items():
+            for lang, weight in weights.get(gram, ()):
+                sums[lang] = sums.get(lang, 0.0) + count * weight
+        if not sums:
+            return "unknown", 0.0
+        score, lang = max((s, lang) for lang, s in sums.items())
+        return lang, score / sum(sums.values())
+
+    def rows(batches):
+        for batch in batches:
+            found = [best(v) if v is not None else ("unknown", 0.0) for v in batch.column("_low").to_pylist()]
+            columns = [batch.column(name) for name in names]
+            columns += [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "language", "language_score"])
+
+    return low.mapInArrow(rows, f"{shape}, language string, language_score double")
 
 
 def language_label(score, code):

@@ -1,8 +1,9 @@
 """Packing of sequences into bins of fixed token capacity.
 
-Only (shard, sequence id, length) reaches the packing step. A shard is packed in
-one task, as first-fit is sequential, so its size is bounded: a shard with more
-than `max_rows` sequences is split by a hash of the sequence id.
+Only (shard, sequence id, length) reaches the packing step. First-fit is sequential,
+so a shard is packed in one task. `parts` is a declared property of a packing: every
+shard is cut by a hash of the sequence id into that many parts, each packed alone. It
+never depends on the number of rows; choose it so that a part fits a task.
 """
 
 import random
@@ -10,10 +11,6 @@ import random
 import pandas as pd
 from pyspark.sql import Window, functions as F
 
-from quarry.plans.skew import join_groups
-
-MAX_SHARD_ROWS = 1_000_000
-
 
 def clamp(df, capacity, length="length"):
     """Clamp lengths to the capacity; `clamped` marks the changed rows."""
@@ -64,21 +61,18 @@ def pack_order(lengths, algorithm, seed):
     return order
 
 
-def bounded_shards(df, shard, seq, max_rows):
-    """Add `part`: 0, or a hash slice where a shard has more than `max_rows` rows."""
-    sizes = df.groupBy(shard).agg(F.count("*").alias("n"))
-    parts = sizes.withColumn("_parts", F.ceil(F.col("n") / F.lit(max_rows)).cast("int"))
-    joined = join_groups(df, parts, [shard], [seq], hot_rows=max_rows)
-    return joined.withColumn("part", F.pmod(F.xxhash64(seq), F.col("_parts")).cast("int")).drop("n", "_parts")
+def part_of(seq, parts):
+    """Part number of a sequence: 60 bits of its id's md5, modulo `parts`."""
+    return F.pmod(F.conv(F.substring(F.md5(F.col(seq).cast("string")), 1, 15), 16, 10).cast("bigint"), F.lit(parts)).cast("int")
 
 
 def pack(
     df, capacity, algorithm="first_fit_shuffle", shard="shard", seq="seq_id", length="length", seed=42,
-    max_rows=MAX_SHARD_ROWS,
+    parts=1,
 ):
     """(shard, part, bin_id, pos, seq, length): bins per shard, `pos` inside the bin."""
     slim = clamp(df.select(shard, seq, length), capacity, length).drop("clamped")
-    cut = bounded_shards(slim, shard, seq, max_rows)
+    cut = slim.withColumn("part", part_of(seq, parts))
     kind = {name: t for name, t in df.dtypes}
 
     def one(frame):

@@ -64,14 +64,19 @@ def apply_transform(df, fn, schema=None):
     if schema is None:
         return df.transform(fn)
 
-    def blocks(frames):
-        import pandas as pd
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
 
-        for frame in frames:
-            rows = [fn(row) for row in frame.to_dict("records")]
-            yield pd.DataFrame([row for row in rows if row is not None])
+    shape = to_arrow_schema(schema if isinstance(schema, StructType) else StructType.fromDDL(schema))
 
-    return df.mapInPandas(blocks, schema)
+    def blocks(batches):
+        # Rows come from Arrow, not from a pandas frame, which turns null integers into NaN.
+        for batch in batches:
+            rows = [fn(row) for row in batch.to_pylist()]
+            yield pa.RecordBatch.from_pylist([row for row in rows if row is not None], schema=shape)
+
+    return df.mapInArrow(blocks, schema)
 
 
 def messages_from_turns(df, by="conv_id", turn="turn", role="role", text="text"):

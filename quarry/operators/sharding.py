@@ -2,38 +2,47 @@
 
 import heapq
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from quarry.plans.prefix import hash_rank, position
 
-# Fixed value: lines hashed together before a second level is used.
-LINES_PER_DIGEST = 4096
+# Hex digits of the path hash that name a part of a listing.
+PREFIX_DIGITS = 3
 
 
 def balanced_shards(df, shards, key="path", size="size", by="dataset"):
     """Lightest-shard assignment of files: size descending, then path; ties go to
     the lowest shard. When no file of a data set has a size: round robin.
 
-    Rows are files of one data set (a listing), not records.
+    Rows are files of one data set (a listing), not records. The rule is sequential per
+    data set, so its files stream in sorted order; a task keeps one load per shard only.
     """
-    kinds = dict(df.dtypes)
+    slim = df.select(by, key, size)
+    names = slim.columns
 
-    def assign(frame):
-        frame = frame.sort_values([size, key], ascending=[False, True])
-        if (frame[size] > 0).any():
-            heap = [(0, i) for i in range(shards)]
+    def assign(batches):
+        current, loads, step = object(), [], 0
+        for batch in batches:
             chosen = []
-            for weight in frame[size]:
-                load, i = heap[0]
-                heapq.heapreplace(heap, (load + weight, i))
-                chosen.append(i)
-        else:
-            chosen = [i % shards for i in range(len(frame))]
-        return frame.assign(shard=pd.Series(chosen, index=frame.index, dtype="int32"))
-
-    shape = f"{by} {kinds[by]}, {key} {kinds[key]}, {size} {kinds[size]}, shard int"
-    return df.select(by, key, size).groupBy(by).applyInPandas(assign, shape)
+            for dataset, weight in zip(batch.column(by).to_pylist(), batch.column(size).to_pylist()):
+                if dataset != current:
+                    # The largest file comes first: without a size nothing has one.
+                    current, step = dataset, 0
+                    loads = [(0, i) for i in range(shards)] if (weight or 0) > 0 else None
+                if loads is None:
+                    chosen.append(step % shards)
+                else:
+                    load, i = loads[0]
+                    heapq.heapreplace(loads, (load + (weight or 0), i))
+                    chosen.append(i)
+                step += 1
+            columns = [*batch.columns, pa.array(chosen, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "shard"])
+
+    ordered = slim.repartition(by).sortWithinPartitions(by, F.desc_nulls_last(size), key)
+    shape = ", ".join(f"`{name}` {kind}" for name, kind in slim.dtypes)
+    return ordered.mapInArrow(assign, f"{shape}, shard int")
 
 
 def round_robin(df, shards, order, by=()):
@@ -55,21 +64,6 @@ def sample_shards(df, spec, seed, dataset="dataset", shard="shard"):
     return ranked.drop("_rank", "_name")
 
 
-def split_counts(total, valid_ratio, test_ratio):
-    """Shards for (valid, test) from ratios; 0 stays 0, else at least one; two
-    shards or fewer all go to train, which always keeps one."""
-    if total <= 2:
-        return 0, 0
-    want = lambda ratio: max(1, round(total * ratio)) if ratio > 0 else 0
-    valid, test = want(valid_ratio), want(test_ratio)
-    room = total - 1
-    if valid + test > room:
-        scale = room / (valid + test)
-        valid, test = int(valid * scale), int(test * scale)
-        test = min(test, max(0, room - valid))
-    return valid, test
-
-
 def shard_splits(df, valid, test, seed, key="path"):
     """Seeded shuffle over the pool of all shards: first test, then valid, rest train.
     Requests beyond the pool are capped."""
@@ -82,6 +76,28 @@ def shard_splits(df, valid, test, seed, key="path"):
     return ranked.withColumn("split", split).drop("_rank")
 
 
+def ratio_splits(df, valid, test, seed, key="path"):
+    """`shard_splits` with shares of the pool instead of counts.
+
+    A share above 0 asks for the rounded number of shards, but for one at least. Training
+    keeps one shard: if the two ask for more than the others, they shrink in proportion. A
+    pool of up to two shards is all training.
+    """
+    ranked = hash_rank(df, key, seed, out="_rank")
+    pool = df.agg(F.count("*").alias("n")).scalar()
+    asked = {name: F.greatest(F.lit(1), F.bround(F.col("_pool") * share)) if share > 0 else F.lit(0.0) for name, share in (("_v", valid), ("_t", test))}
+    sized = ranked.withColumn("_pool", pool).withColumns(asked)
+    spare = F.col("_pool") - 1
+    shrink = F.least(F.lit(1.0), spare / F.greatest(F.col("_v") + F.col("_t"), F.lit(1)))
+    # A tiny amount keeps whole numbers whole after the division.
+    last_test = F.floor(F.col("_t") * shrink + 1e-9)
+    last_valid = last_test + F.floor(F.col("_v") * shrink + 1e-9)
+    split = (
+        F.when(F.col("_pool") <= 2, "train").when(F.col("_rank") <= last_test, "test").when(F.col("_rank") <= last_valid, "valid").otherwise("train")
+    )
+    return sized.withColumn("split", split).drop("_rank", "_pool", "_v", "_t")
+
+
 def fraction_split(df, val, test, seed, key):
     """Seeded row split: floor(n * fraction) rows each to val and test, rest train."""
     ranked = hash_rank(df, key, seed, out="_rank")
@@ -116,22 +132,17 @@ def split_name(column):
     return F.when(F.col(column) == "validation", "val").otherwise(F.col(column))
 
 
-def fingerprint(inventory, by="dataset", path="path", parts=("size", "etag"), lines_per_digest=LINES_PER_DIGEST):
-    """sha256 over the sorted `path:size:etag` lines of each data set.
+def fingerprint(inventory, by="dataset", path="path", parts=("size", "etag"), digits=PREFIX_DIGITS):
+    """sha256 over the listing of each data set, a function of that data set alone.
 
-    Up to `lines_per_digest` lines this is the plain digest. Beyond it the lines
-    are cut by path hash into groups of about that size, and the group digests
-    are digested again, so no task holds a whole listing.
+    The `path:size:etag` lines are grouped by the first hex digits of the path's md5; every
+    group has a digest of its sorted lines, and the sorted `prefix:digest` lines are digested
+    again. So a task holds a share of a listing or at most 16 ** digits digests, whatever the
+    size. `parts` may name further columns, such as a modification time or a version.
     """
     line = F.concat_ws(":", F.col(path), *[F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts])
-    largest = inventory.groupBy(by).count().agg(F.max("count").alias("m")).scalar()
-    lines = inventory.select(by, line.alias("_line"), F.md5(path).alias("_h")).withColumn("_m", largest)
-    groups = F.ceil(F.col("_m") / F.lit(lines_per_digest))
-    number = F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint")
+    lines = inventory.select(by, line.alias("_line"), F.substring(F.md5(path), 1, digits).alias("_prefix"))
     digest = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(c)), "\n"), 256)
-    first = lines.withColumn("_group", number % groups).groupBy(by, "_group").agg(digest("_line").alias("_d"))
-    second = first.groupBy(by).agg(
-        F.count("*").alias("_n"), F.max("_d").alias("_one"), digest("_d").alias("_all")
-    )
-    value = F.when(F.col("_n") == 1, F.col("_one")).otherwise(F.col("_all"))
-    return second.select(by, F.concat(F.lit("sha256:"), value).alias("fingerprint"))
+    groups = lines.groupBy(by, "_prefix").agg(digest("_line").alias("_digest"))
+    named = groups.withColumn("_entry", F.concat_ws(":", "_prefix", "_digest"))
+    return named.groupBy(by).agg(F.concat(F.lit("sha256:"), digest("_entry")).alias("fingerprint"))

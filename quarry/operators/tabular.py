@@ -11,6 +11,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
+from quarry.plans.checkpoints import cut_lineage
 from quarry.plans.prefix import hash_rank, quantile_bucket, running_total
 from quarry.plans.skew import join_groups
 
@@ -180,37 +181,43 @@ def train_test_split(df, test, seed, key, stratify=None):
 
 def classifiers():
     return {
-        "logistic_regression": LogisticRegression(maxIter=20, regParam=0.01),
-        "random_forest": RandomForestClassifier(numTrees=20, seed=42),
-        "linear_svm": OneVsRest(classifier=LinearSVC(maxIter=10, regParam=0.01), parallelism=4),
+        "logistic_regression": LogisticRegression(maxIter=100, regParam=0.01),
+        "random_forest": RandomForestClassifier(numTrees=100, maxDepth=10, seed=42),
+        "linear_svm": OneVsRest(classifier=LinearSVC(maxIter=100, regParam=0.01)),
     }
 
 
-def regressors():
+def regressors(rows):
+    """Ridge regression has the penalty 1 on the sum of squares, that is 1 / rows on their mean."""
     return {
-        "linear_regression": LinearRegression(elasticNetParam=0.0),
-        "random_forest": RandomForestRegressor(numTrees=20, seed=42),
-        "linear_svr": LinearRegression(loss="huber", maxIter=20),
+        "ridge_regression": LinearRegression(elasticNetParam=0.0, regParam=1 / max(rows, 1)),
+        "random_forest": RandomForestRegressor(numTrees=100, maxDepth=10, seed=42),
+        "huber_regression": LinearRegression(loss="huber", maxIter=100),
     }
 
 
 def train_models(train, test, numeric, categorical, label, task):
-    """Fit three models and return (model, metrics...) best first, and the fitted models."""
+    """Fit three models and return (model, metrics...) best first, and the fitted models.
+
+    Classifiers are ranked by weighted F1, regressors by R2. The prepared rows are stored in
+    order of a hash, so that a fit does not depend on how the input was split.
+    """
     classify = task == "classification"
     prepared = Pipeline(stages=features(numeric, categorical, label, classify)).fit(train)
     fit_on, score_on = prepared.transform(train), prepared.transform(test)
     if not classify:
         fit_on, score_on = [d.withColumn("label", F.col(label).cast("double")) for d in (fit_on, score_on)]
-    fit_on = fit_on.select("features", "label").persist()
+    order = F.xxhash64(F.col("features").cast("string"), "label")
+    fit_on = cut_lineage(fit_on.select("features", "label").sort(order))
     models, rows = {}, None
-    for name, estimator in (classifiers() if classify else regressors()).items():
+    for name, estimator in (classifiers() if classify else regressors(fit_on.count())).items():
         models[name] = estimator.fit(fit_on)
         scored = models[name].transform(score_on)
         one = (classification_metrics if classify else regression_metrics)(scored, "prediction", "label")
         one = one.select(F.lit(name).alias("model"), "*")
         rows = one if rows is None else rows.unionByName(one)
-    order = F.desc("accuracy") if classify else F.desc("r2")
-    return rows.orderBy(order, "model"), prepared, models
+    best = F.desc("f1_weighted") if classify else F.desc("r2")
+    return rows.orderBy(best, "model"), prepared, models
 
 
 def classification_metrics(df, prediction, label):

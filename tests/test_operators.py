@@ -396,7 +396,7 @@ def test_pack_every_sequence_once(spark):
     rows = [(i % 2, i, 1 + i * 7 % 90) for i in range(200)]
     df = frame(spark, rows, "shard int, seq_id long, length int")
     for algorithm in ("concatenative", "first_fit_decreasing", "first_fit_shuffle"):
-        out = packing.pack(df, 100, algorithm, max_rows=30).collect()
+        out = packing.pack(df, 100, algorithm, parts=3).collect()
         assert sorted(r.seq_id for r in out) == list(range(200))
         fill = Counter()
         for r in out:
@@ -424,11 +424,14 @@ def test_balanced_shards(spark):
     assert out == {("d", "a"): 0, ("d", "b"): 1, ("d", "c"): 1, ("d", "e"): 1, ("z", "w"): 0, ("z", "x"): 1, ("z", "y"): 0}
 
 
-def test_split_counts_and_splits(spark):
-    assert sharding.split_counts(2, 0.5, 0.5) == (0, 0) and sharding.split_counts(10, 0, 0.01) == (0, 1)
-    assert sum(sharding.split_counts(3, 0.9, 0.9)) <= 2
-    out = sharding.shard_splits(spark.range(10).withColumnRenamed("id", "path"), 2, 3, 42).groupBy("split").count()
-    assert {r.split: r["count"] for r in out.collect()} == {"train": 5, "valid": 2, "test": 3}
+def test_splits(spark):
+    shards = lambda n: spark.range(n).withColumnRenamed("id", "path")
+    count = lambda df: {r.split: r["count"] for r in df.groupBy("split").count().collect()}
+    assert count(sharding.shard_splits(shards(10), 2, 3, 42)) == {"train": 5, "valid": 2, "test": 3}
+    assert count(sharding.ratio_splits(shards(2), 0.5, 0.5, 42)) == {"train": 2}
+    assert count(sharding.ratio_splits(shards(10), 0, 0.01, 42)) == {"train": 9, "test": 1}
+    assert count(sharding.ratio_splits(shards(20), 0.1, 0.05, 42)) == {"train": 17, "valid": 2, "test": 1}
+    assert count(sharding.ratio_splits(shards(3), 0.9, 0.9, 42)) == {"train": 1, "valid": 1, "test": 1}
 
 
 def test_holdout_small_table_is_all_train(spark):
@@ -436,16 +439,31 @@ def test_holdout_small_table_is_all_train(spark):
     assert {r.split for r in out.collect()} == {"train"}
 
 
-def test_fingerprint_levels(spark):
+def test_fingerprint_is_a_function_of_the_data_set(spark):
     import hashlib
 
-    df = frame(spark, [("d", f"p{i:02d}", i, "e") for i in range(20)], "dataset string, path string, size long, etag string")
-    plain = hashlib.sha256("\n".join(f"p{i:02d}:{i}:e" for i in range(20)).encode()).hexdigest()
-    assert sharding.fingerprint(df).first().fingerprint == f"sha256:{plain}"
-    two = sharding.fingerprint(df, lines_per_digest=4).first().fingerprint
-    changed = df.withColumn("size", F.when(F.col("path") == "p07", 1).otherwise(F.col("size")))
-    assert two == sharding.fingerprint(df.orderBy(F.desc("path")), lines_per_digest=4).first().fingerprint
-    assert two != sharding.fingerprint(changed, lines_per_digest=4).first().fingerprint
+    row = lambda d, i: (d, f"p{i:02d}", i, "e")
+    shape = "dataset string, path string, size long, etag string"
+    small, large = [row("d", i) for i in range(3)], [row("z", i) for i in range(40)]
+    print_of = lambda rows: {r.dataset: r.fingerprint for r in sharding.fingerprint(frame(spark, rows, shape)).collect()}
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    groups = {}
+    for _, path, size, etag in small:
+        groups.setdefault(hashlib.md5(path.encode()).hexdigest()[:3], []).append(f"{path}:{size}:{etag}")
+    want = "sha256:" + sha("\n".join(sorted(f"{p}:" + sha("\n".join(sorted(lines))) for p, lines in groups.items())))
+    assert print_of(small) == {"d": want} and print_of(small + large)["d"] == want
+    both = print_of((small + large)[::-1])
+    assert both == print_of(small + large)
+    changed = [("z", "p07", 1, "e") if r[1] == "p07" else r for r in large]
+    assert print_of(small + changed)["z"] != both["z"] and print_of(small + changed)["d"] == want
+    dated = frame(spark, [(*r, "m1") for r in small], shape + ", mtime string")
+    assert sharding.fingerprint(dated, parts=("size", "etag", "mtime")).first().fingerprint != want
+
+
+def test_row_transform_keeps_null_integers(spark):
+    df = frame(spark, [(1, None), (2, 5)], "id long, n int")
+    out = records.apply_transform(df, lambda r: {"id": r["id"], "kind": type(r["n"]).__name__}, "id long, kind string")
+    assert {r.id: r.kind for r in out.collect()} == {1: "NoneType", 2: "int"}
 
 
 def test_blend_needs_one_kind():
@@ -511,6 +529,11 @@ def test_table_cells_escape():
     assert [(c["row"], c["col"], c["content"]) for c in cells] == [(0, 0, "a & b"), (0, 1, "<i>c</i>"), (1, 0, "d"), (1, 1, "e"), (2, 1, "f")]
 
 
+def test_table_cells_nested_braces():
+    cells = layout.table_cells(r"\begin{tabular}{|p{3cm}|l|} \hline \multicolumn{2}{c}{a {b} c} \\ x & {y & z} \\ \hline \end{tabular}")
+    assert [(c["row"], c["col"], c["colspan"], c["content"]) for c in cells] == [(0, 0, 2, "a {b} c"), (1, 0, 1, "x"), (1, 1, 1, "{y & z}")]
+
+
 def test_medians(spark):
     df = frame(spark, [(float(x), None if x == 3 else float(x * x)) for x in range(1, 7)], "a double, b double")
     assert {r.column: r.median for r in tabular.medians(df, ["a", "b"]).collect()} == {"a": 3.5, "b": 16.0}

@@ -69,7 +69,7 @@ def _(spark, folder):
     """Bucketed write, then a read that prunes to buckets 18 and 19."""
     path = folder_for(spark)
     out = quality.ensemble_buckets(scored(spark, folder), SCORES, store=False)
-    writers.write_bucketed(out, path, spread=["doc_id"])
+    writers.write_bucketed(out, path)
     return readers.read_buckets(spark, path, [18, 19]).select(
         "doc_id", F.col("`ensemble-max-int`").cast("bigint").alias("bucket")
     )

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quarry.plans.checkpoints import cut_lineage
+from quarry.plans.checkpoints import cut_lineage, drop_stored
 from quarry.plans.skew import HOT_ROWS, join_groups
 
 
@@ -35,7 +35,7 @@ def connected_components(edges, src="src", dst="dst", max_rounds=60, hot_rows=HO
     """(node, component) for every node with an edge; component = smallest node.
 
     Edges run from the larger to the smaller node. Each round is written to the
-    checkpoint folder, so a lost executor repeats one round only. Only a count
+    checkpoint folder, so a lost executor repeats one round only; the round before it is deleted. Only a count
     and a checksum per round reach the driver.
     """
     edges = cut_lineage(
@@ -45,7 +45,8 @@ def connected_components(edges, src="src", dst="dst", max_rounds=60, hot_rows=HO
     )
     before = _mark(edges)
     for _ in range(max_rounds):
-        edges = cut_lineage(_small_star(_large_star(edges, hot_rows), hot_rows))
+        last, edges = edges, cut_lineage(_small_star(_large_star(edges, hot_rows), hot_rows))
+        drop_stored(last)
         after = _mark(edges)
         if after == before:
             break

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.columns import WORD, hash_fraction, let, words
 from quarry.plans.checkpoints import cut_lineage
-from quarry.plans.prefix import quantile_bucket, running_total
-from quarry.plans.skew import join_groups
+from quarry.plans.prefix import first_reaching
 
 PERCENTS = tuple(range(5, 100, 5))
 
@@ -67,19 +66,17 @@ def unpivot_scores(df, scores, weight):
 def weighted_percentiles(df, percents=PERCENTS, by="score_column", score="score", weight="weight"):
     """Inverted-CDF weighted percentile of `score` per `by` group.
 
-    Equal scores are summed first; the running weight is built bucket by bucket
-    (see plans.prefix), so no task sees a whole score column.
+    Equal scores are summed first; only the buckets in which the percentiles lie are
+    ranked (see `plans.prefix.first_reaching`).
     """
-    sums = df.groupBy(by, score).agg(F.sum(weight).alias("_w"))
-    cut = quantile_bucket(sums, score)
-    ranked = running_total(cut, "_w", [score], by=[by], out="_cum")
-    totals = sums.groupBy(by).agg(F.sum("_w").alias("_total"), F.count("*").alias("n"))
-    shared = join_groups(ranked, totals, [by], [score])
-    share = F.col("_cum") / F.col("_total")
-    firsts = [F.min(F.when(share >= p / 100.0, F.col(score))).alias(f"_p{p}") for p in percents]
-    wide = shared.groupBy(by).agg(*firsts)
-    rows = [F.struct(F.lit(p).alias("percentile"), F.col(f"_p{p}").alias("value")) for p in percents]
-    return wide.select(by, F.explode(F.array(*rows)).alias("t")).select(by, "t.percentile", "t.value")
+    sums = df.groupBy(by, score).agg(F.sum(weight).alias("_weight"))
+    wanted = {p: (lambda run, total, p=p: run / total >= p / 100.0) for p in percents}
+    found = first_reaching(sums, by, score, "_weight", wanted)
+    # A group without any score keeps its rows, with null values.
+    rows = df.select(by).distinct().select(by, F.explode(F.array(*[F.lit(p) for p in percents])).alias("percentile"))
+    found = found.select(F.col(by).alias("_by"), F.col("name").cast("int").alias("_p"), "value")
+    match = F.col(by).eqNullSafe(F.col("_by")) & (F.col("percentile") == F.col("_p"))
+    return rows.join(found, match, "left").select(by, "percentile", "value")
 
 
 def thresholds(df, scores, weight, percents=PERCENTS):

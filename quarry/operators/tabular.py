@@ -12,7 +12,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from quarry.plans.checkpoints import cut_lineage
-from quarry.plans.prefix import hash_rank, quantile_bucket, running_total
+from quarry.plans.prefix import first_reaching, hash_rank
 from quarry.plans.skew import join_groups
 
 NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
@@ -79,21 +79,19 @@ def target_profile(df, target):
 def medians(df, columns):
     """(column, median): exact, the mean of the two middle values for even counts.
 
-    Equal values are counted first and ranked bucket by bucket, so no single task
-    has to hold all values of a column.
+    Equal values are counted first; only the buckets of the middle values are ranked. A
+    column without values has no row.
     """
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
     counts = (
         df.select(F.explode(cells).alias("x")).select("x.column", "x.v").filter("v is not null")
         .groupBy("column", "v").agg(F.count("*").alias("w"))
     )
-    ranked = running_total(quantile_bucket(counts, "v"), "w", ["v"], by=["column"], out="_cum")
-    totals = counts.groupBy("column").agg(F.sum("w").alias("_n"))
-    # One row per named column.
-    joined = ranked.join(F.broadcast(totals), "column")
-    low = F.min(F.when(F.col("_cum") >= F.floor((F.col("_n") + 1) / 2), F.col("v")))
-    high = F.min(F.when(F.col("_cum") >= F.floor(F.col("_n") / 2) + 1, F.col("v")))
-    return joined.groupBy("column").agg(((low + high) / 2).alias("median"))
+    middle = {
+        "low": lambda run, total: run >= F.floor((total + 1) / 2),
+        "high": lambda run, total: run >= F.floor(total / 2) + 1,
+    }
+    return first_reaching(counts, "column", "v", "w", middle).groupBy("column").agg(F.avg("value").alias("median"))
 
 
 def numeric_stats(df, columns):

@@ -25,4 +25,13 @@ def cut_lineage(df):
     """
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_path = path
+    return table
+
+
+def drop_stored(table):
+    """Delete the folder of a table from `cut_lineage` that nothing will read again."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -9,6 +9,8 @@ offset. The ordered window then runs inside (group, bucket) only.
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Window, functions as F
 
+from quarry.plans.checkpoints import cut_lineage
+
 
 def quantile_bucket(df, column, buckets=1000, out="_bucket"):
     """Add an order-preserving bucket number with about equal rows per bucket.
@@ -60,6 +62,36 @@ def running_total(df, value, order, bucket="_bucket", by=(), out="running"):
     return running_totals(df, {out: value}, order, bucket, by)
 
 
+def first_reaching(sums, by, value, weight, wanted):
+    """(by, name, value): the smallest value at which the running weight reaches a mark.
+
+    `sums` has one row per (by, value); `wanted` maps a name to a function of the running
+    and the total weight, false up to the mark and true from it on. Buckets of values are
+    totalled first; only the bucket in which a mark lies is ranked.
+    """
+    sums = cut_lineage(sums.filter(F.col(value).isNotNull()))
+    buckets = min(max(1000, sums.count() // 1_000_000), 20_000)
+    cut = quantile_bucket(sums, value, buckets)
+    per_bucket = cut.groupBy(by, "_bucket").agg(F.sum(weight).alias("_w"))
+    in_group = Window.partitionBy(by)
+    so_far = F.sum("_w").over(in_group.orderBy("_bucket"))
+    ranked = per_bucket.withColumns({"_to": so_far, "_total": F.sum("_w").over(in_group)})
+    place = F.struct("_bucket", (F.col("_to") - F.col("_w")).alias("_before"), "_total")
+    firsts = [F.min(F.when(reached(F.col("_to"), F.col("_total")), place)).alias(str(name)) for name, reached in wanted.items()]
+    rows = F.array(*[F.struct(F.lit(str(name)).alias("_name"), F.col(f"`{name}`").alias("_at")) for name in wanted])
+    targets = ranked.groupBy(by).agg(*firsts).select(F.col(by).alias("_by"), F.explode(rows).alias("_t")).select("_by", "_t._name", "_t._at.*")
+    targets = targets.withColumnRenamed("_bucket", "_target")
+    inside = cut.join(targets, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_bucket") == F.col("_target")))
+    upto = Window.partitionBy(by, "_name").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = F.col("_before") + F.sum(weight).over(upto)
+    marks = None
+    for name, reached in wanted.items():
+        here = (F.col("_name") == str(name)) & reached(F.col("_running"), F.col("_total"))
+        marks = here if marks is None else marks | here
+    hit = inside.withColumn("_running", running).filter(marks)
+    return hit.groupBy(by, F.col("_name").alias("name")).agg(F.min(value).alias("value"))
+
+
 def position(df, order, by=(), ties=(), buckets=1000, out="position"):
     """0-based position by a numeric or timestamp column, per `by`."""
     cut = quantile_bucket(df, order, buckets).withColumn("_one", F.lit(1).cast("bigint"))

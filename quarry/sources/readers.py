@@ -44,15 +44,14 @@ def read_auto(spark, paths):
 
 
 def file_inventory(spark, path):
-    """Data files under a folder or glob: path, size, modification time."""
+    """Data files under a folder or glob, in all its subfolders, sorted by path: path, size, modification time."""
     ending = F.lower(F.col("path"))
     keep = F.lit(False)
     for suffix in DATA_ENDINGS:
         keep = keep | ending.endswith(suffix)
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(
-        "path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime")
-    ).filter(keep)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    listed = files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
+    return listed.filter(keep).orderBy("path")
 
 
 def files_for_split(inventory, split, path="path"):

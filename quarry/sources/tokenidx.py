@@ -38,14 +38,18 @@ class TokenIndexWriter(StagedWriter):
         store.create_dir(root, recursive=True)
         dtype, column = self.options.get("dtype", "int32"), self.options.get("column", "input_ids")
         name = f"shard_{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
-        lengths = []
+        lengths, limit = [np.zeros(0, np.int64)], np.iinfo(dtype).max
         with store.open_output_stream(f"{root}/.{name}.bin", compression=None) as out:
             for batch in batches:
                 lists = batch.column(batch.schema.get_field_index(column))
-                out.write(lists.flatten().to_numpy(zero_copy_only=False).astype(dtype).tobytes())
+                ids = lists.flatten().to_numpy(zero_copy_only=False)
+                if len(ids) and not 0 <= ids.min() <= ids.max() <= limit:
+                    raise ValueError(f"token ids from {ids.min()} to {ids.max()} do not fit into {dtype}")
+                out.write(ids.astype(dtype).tobytes())
                 sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-                lengths += sizes[sizes > 0].tolist()
+                lengths.append(sizes[sizes > 0])
         with store.open_output_stream(f"{root}/.{name}.idx", compression=None) as out:
+            lengths = np.concatenate(lengths)
             out.write(index_bytes(lengths, dtype))
         return Written(
             f"{root}/.{name}.bin|{root}/.{name}.idx", f"{root}/{name}.bin|{root}/{name}.idx", len(lengths)

@@ -40,11 +40,10 @@ def write_parquet(df, path, mode="overwrite"):
     df.write.mode(mode).parquet(path)
 
 
-def write_bucketed(df, path, column="ensemble-max-int", files_per_bucket=8, spread=None):
-    """One folder per bucket. Rows are spread over `files_per_bucket` tasks per
-    bucket, so a bucket with most of the rows is not written by one task."""
-    slot = F.pmod(F.xxhash64(*(spread or [c for c, t in df.dtypes if c != column and t != "variant"])), F.lit(files_per_bucket))
-    df.repartition(F.col(f"`{column}`"), slot).write.mode("overwrite").partitionBy(column).parquet(path)
+def write_bucketed(df, path, column="ensemble-max-int"):
+    """One folder per bucket. Rows are rebalanced by bucket: adaptive execution cuts a large
+    bucket into as many tasks as its size asks for and joins small ones."""
+    df.hint("rebalance", F.col(f"`{column}`")).write.mode("overwrite").partitionBy(column).parquet(path)
 
 
 def write_packed(df, path, compression="zstd", rows_per_file=100_000, rows_per_group=1000, pack_size=4096):
@@ -71,10 +70,15 @@ def write_token_index(df, path, dtype="int32", column="input_ids"):
 
 
 def write_splits(df, path, split="split", folder="splits"):
-    """Folders `splits/split=train|valid|test`; an empty train split is an error."""
-    if df.filter(F.col(split) == "train").isEmpty():
+    """Folders `splits/split=train|valid|test`; an empty train split is an error.
+
+    The rows are counted while they are written.
+    """
+    seen = Observation()
+    watched = df.observe(seen, F.count_if(F.col(split) == "train").alias("train"))
+    watched.write.mode("overwrite").partitionBy(split).parquet(f"{path}/{folder}")
+    if not seen.get["train"]:
         raise ValueError("the train split is empty")
-    df.write.mode("overwrite").partitionBy(split).parquet(f"{path}/{folder}")
 
 
 def write_blend_manifest(shards, path, **columns):

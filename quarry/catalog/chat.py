@@ -230,6 +230,20 @@ def _(spark, folder):
     return chat.render_chat(chat.full_messages(parsed)).select("conv_id", "rendered")
 
 
+@CATALOG.add(
+    "chat_truncation",
+    f"""WITH {SPLIT}, l AS (SELECT conv_id, i, role, {token_count_sql("content")} AS n FROM s),
+    r AS (SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY i) AS upto FROM l)
+    SELECT conv_id, least(sum(n), 64)::BIGINT AS n,
+      sum(CASE WHEN role = 'assistant' THEN greatest(0, least(upto, 64) - (upto - n)) ELSE 0 END)::BIGINT AS trained FROM r GROUP BY conv_id""",
+)
+def _(spark, folder):
+    """Conversations cut to 64 tokens, and the trained tokens among them."""
+    out = chat.chat_sequences(chats(spark, folder), max_tokens=64)
+    trained = F.aggregate("loss_mask", F.lit(0).cast("bigint"), lambda s, m: s + m)
+    return out.select("conv_id", F.size("input_ids").cast("bigint").alias("n"), trained.alias("trained"))
+
+
 # --- packing -----------------------------------------------------------------
 
 

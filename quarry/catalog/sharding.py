@@ -156,6 +156,19 @@ def _(spark, folder):
     return sharding.fingerprint(inventory, by="source")
 
 
+@CATALOG.add(
+    "source_fingerprint_parts",
+    f"""WITH {LINES.replace("|| md5(text) AS line", "|| md5(text) || ':' || lang AS line")}
+    SELECT source, 'sha256:' || sha256(string_agg(entry, chr(10) ORDER BY entry)) AS fingerprint FROM g GROUP BY source""",
+)
+def _(spark, folder):
+    """A further identity part per file; here the language stands for a version."""
+    inventory = table(spark, folder, "documents").select(
+        "source", F.col("doc_id").cast("string").alias("path"), F.col("n_chars").alias("size"), F.md5("text").alias("etag"), F.col("lang").alias("version")
+    )
+    return sharding.fingerprint(inventory, by="source", parts=("size", "etag", "version"))
+
+
 # --- blends ------------------------------------------------------------------
 
 SPEC = {
@@ -207,6 +220,22 @@ def _(spark, folder):
     return blend.sample_blend(docs, weights, 900, "doc_id")
 
 
+@CATALOG.add(
+    "sample_blend_tokens",
+    f"""WITH w(dataset, weight) AS (VALUES ('en', 1.0::DOUBLE), ('fr', 2.0::DOUBLE), ('de', 1.0::DOUBLE), ('es', 0.5::DOUBLE)),
+    want AS (SELECT dataset, round(weight / (SELECT sum(weight) FROM w) * 200000)::BIGINT AS want FROM w),
+    t AS (SELECT lang AS dataset, doc_id, {token_count_sql()} AS tokens FROM documents),
+    r AS (SELECT *, sum(tokens) OVER (PARTITION BY dataset ORDER BY md5('42:' || doc_id), doc_id ROWS UNBOUNDED PRECEDING) - tokens AS before,
+      sum(tokens) OVER (PARTITION BY dataset) AS n FROM t),
+    c AS (SELECT dataset, doc_id, tokens, ceil((want - before)::DOUBLE / n)::BIGINT AS copies FROM r JOIN want USING (dataset))
+    SELECT dataset, doc_id, tokens, unnest(range(copies))::INTEGER AS copy FROM c WHERE copies > 0""",
+)
+def _(spark, folder):
+    weights = spark.sql("SELECT * FROM VALUES ('en', 1.0D), ('fr', 2.0D), ('de', 1.0D), ('es', 0.5D) AS w(dataset, weight)")
+    docs = table(spark, folder, "documents").select(F.col("lang").alias("dataset"), "doc_id", token_count("text").alias("tokens"))
+    return blend.sample_blend(docs, weights, 200_000, "doc_id", tokens="tokens")
+
+
 def sharded(spark, folder):
     return table(spark, folder, "documents").select(
         F.col("source").alias("dataset"), (F.col("doc_id") % 8).alias("shard"), token_count("text").alias("length"),

@@ -50,23 +50,26 @@ def blend_shares(sources, weight="weight", tokens="tokens"):
     )
 
 
-def sample_blend(df, sources, target, key, seed=42, dataset="dataset", weight="weight"):
+def sample_blend(df, sources, target, key, seed=42, dataset="dataset", weight="weight", tokens=None):
     """Draw about `target` rows, each source by its normalised weight.
 
-    A source that is too small is repeated; `copy` numbers the repetitions. Whole
-    copies need no ranks of other rows: row rank r is drawn ceil((want - r + 1) / n) times.
+    With `tokens`, a column of token counts, `target` counts tokens: rows are drawn in order
+    of their rank until the source's share is reached. A source that is too small is repeated;
+    `copy` numbers the repetitions. A row whose predecessors sum up to `before` is drawn
+    ceil((want - before) / size of the source) times.
     """
-    sizes = df.groupBy(dataset).agg(F.count("*").alias("_n"))
+    amount = F.col(tokens).cast("bigint") if tokens else F.lit(1).cast("bigint")
+    measured = df.withColumn("_amount", amount)
+    sizes = measured.groupBy(dataset).agg(F.sum("_amount").alias("_n"))
     total = sources.agg(F.sum(weight).alias("w")).scalar()
     wanted = sources.select(dataset, F.round(F.col(weight) / total * target).cast("bigint").alias("_want"))
-    ranked = hash_rank(df, key, seed, by=[dataset], out="_rank")
-    # One row per source of the blend spec, so it is small enough to broadcast.
-    plan = F.broadcast(wanted.join(sizes, dataset))
-    joined = ranked.join(plan, dataset)
-    copies = F.ceil((F.col("_want") - F.col("_rank") + 1) / F.col("_n")).cast("int")
+    ranked = hash_rank(measured, key, seed, by=[dataset], out="_upto", value="_amount")
+    joined = ranked.join(wanted.join(sizes, dataset), dataset)
+    before = F.col("_upto") - F.col("_amount")
+    copies = F.ceil((F.col("_want") - before) / F.col("_n")).cast("int")
     drawn = joined.withColumn("_copies", copies).filter(F.col("_copies") > 0)
     return drawn.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop(
-        "_rank", "_n", "_want", "_copies"
+        "_upto", "_amount", "_n", "_want", "_copies"
     )
 
 

@@ -395,6 +395,10 @@ def chat_sequences(df, messages="messages", tools=None, max_tokens=None):
     out = loss_mask(split_system_user(role_chunks(kept, messages, tools)))
     if max_tokens is not None:
         from quarry.operators.tokens import truncate_tokens
+        from quarry.plans.once import compute_once
 
+        # Truncation names the arrays several times; they are computed once before it.
+        out = compute_once(out, _ids=F.col("input_ids"), _mask=F.col("loss_mask")).drop("input_ids", "loss_mask")
+        out = out.withColumnsRenamed({"_ids": "input_ids", "_mask": "loss_mask"})
         out = truncate_tokens(out, max_tokens, mask="loss_mask")
     return out

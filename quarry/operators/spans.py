@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Window, functions as F, types as T
 
-from quarry.functions.columns import col
+from quarry.functions.columns import col, let
 from quarry.plans.checkpoints import cut_lineage
 from quarry.plans.skew import HOT_ROWS, join_groups
 
@@ -139,26 +139,42 @@ def normalize_spans(spans, docs, threshold, unit=1, separator=0, id="doc_id", bl
     return folded.select(id, F.explode("kept").alias("s")).select(id, "s.start", "s.end")
 
 
+def without(array, spans):
+    """The array without the sorted (start, end) ranges: slices between them, no test per entry."""
+    start = F.struct(F.slice(array, F.lit(1), F.lit(0)).alias("out"), F.lit(0).cast("bigint").alias("at"))
+
+    def piece(begin, length):
+        return F.slice(array, (begin + 1).cast("int"), F.greatest(length, F.lit(0)).cast("int"))
+
+    def step(state, span):
+        kept = F.concat(state["out"], piece(state["at"], span["start"] - state["at"]))
+        return F.struct(kept.alias("out"), F.greatest(state["at"], span["end"]).alias("at"))
+
+    return F.aggregate(spans, start, step, lambda s: F.concat(s["out"], piece(s["at"], F.size(array) - s["at"])))
+
+
+def with_spans(df, spans, id):
+    """Rows with their sorted spans in `_spans` (null if none): the one join of full rows."""
+    entry = F.struct(F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"))
+    per_doc = spans.groupBy(id).agg(F.array_sort(F.collect_list(entry)).alias("_spans"))
+    return df.join(per_doc, id, "left")
+
+
 def remove_spans(tokens, spans, id="doc_id", column="tokens"):
     """Token arrays without the spans. Documents that lose all tokens stay, empty."""
-    per_doc = spans.groupBy(id).agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
-    joined = tokens.join(per_doc, id, "left")
-    cut = F.filter(
-        column,
-        lambda t, i: ~F.exists("_spans", lambda s: (i >= s["start"]) & (i < s["end"])),
-    )
+    joined = with_spans(tokens, spans, id)
+    cut = without(F.col(column), F.col("_spans"))
     return joined.withColumn(column, F.when(F.col("_spans").isNull(), F.col(column)).otherwise(cut)).drop("_spans")
 
 
-def reconstruct(df, tokens, id="doc_id", text="text", column="tokens"):
-    """Original rows with the text rebuilt from what is left of the tokens."""
-    rebuilt = tokens.select(id, F.array_join(column, "").alias("_text"))
-    joined = df.join(rebuilt, id, "left")
-    return joined.withColumn(text, F.coalesce("_text", F.lit(""))).select(*df.columns)
-
-
 def substring_dedup(df, k=50, keep="first", id="doc_id", text="text"):
-    """Remove repeated spans of at least k tokens; no other column changes."""
+    """Remove repeated spans of at least k tokens; no other column changes.
+
+    Tokens never leave the row: the small span table meets the rows once, and only texts with
+    a span are cut into tokens again. A null text becomes empty.
+    """
     tokens = df.select(id, pieces(text).alias("tokens"))
-    spans = repeated_spans(tokens, k, keep, id)
-    return reconstruct(df, remove_spans(tokens, spans, id), id, text)
+    joined = with_spans(df, repeated_spans(tokens, k, keep, id), id)
+    cut = let(pieces(text), lambda t: F.array_join(without(t, F.col("_spans")), ""))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return joined.withColumn(text, F.when(F.col("_spans").isNull(), whole).otherwise(cut)).select(*df.columns)

@@ -99,17 +99,18 @@ def position(df, order, by=(), ties=(), buckets=1000, out="position"):
     return ranked.withColumn(out, F.col(out) - 1).drop("_one", "_bucket")
 
 
-def hash_rank(df, key, seed, by=(), digits=3, out="rank"):
+def hash_rank(df, key, seed, by=(), digits=3, out="rank", value=None):
     """1-based rank by md5(seed:key), ties by key: a seeded, repeatable shuffle.
 
     The first hex digits of the hash are the buckets, so they are of equal size
-    whatever the data looks like (16**digits of them per group).
+    whatever the data looks like (16**digits of them per group). With `value`, the
+    running sum of that column in the same order.
     """
     text = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
     cut = (
         df.withColumn("_hash", text)
         .withColumn("_bucket", F.substring("_hash", 1, digits))
-        .withColumn("_one", F.lit(1).cast("bigint"))
+        .withColumn("_one", F.col(value) if value else F.lit(1).cast("bigint"))
     )
     ranked = running_total(cut, "_one", ["_hash", key], by=by, out=out)
     return ranked.drop("_one", "_bucket", "_hash")

@@ -33,8 +33,8 @@ def secrets(spark, docs, sf_dir):
 
 def pieces(spark, docs, sf_dir):
     """Encode the texts and check by decoding that nothing is lost."""
-    encoded = sentence_pieces.decode(sentence_pieces.encode(docs, out="piece_ids"), ids="piece_ids", out="decoded")
-    return encoded.withColumns({"n_pieces": F.size("piece_ids").cast("bigint"), "exact": F.col("text") == F.col("decoded")}).drop("decoded")
+    encoded = sentence_pieces.encode_checked(docs, out="piece_ids", exact="exact")
+    return encoded.withColumn("n_pieces", F.size("piece_ids").cast("bigint"))
 
 
 STAGES = [

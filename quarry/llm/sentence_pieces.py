@@ -11,18 +11,20 @@ characters behind it. A position's best score is the maximum over the pieces tha
 there. A character that no piece spells is written as its bytes; so is a mark in the text
 itself, which would otherwise be read back as a space. Decoding is exact for every text.
 
-Encoding is row-local: no shuffle. A task holds one part of a batch of about `SLICE_CHARS`.
+Encoding is row-local: no shuffle. A task turns parts of a batch of about `SLICE_BYTES` into
+Python objects, one at a time.
 """
 
 import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from quarry.llm.pieces import MARK, VOCABULARY, vocabulary
 
-SLICE_CHARS = 4 << 20
+SLICE_BYTES, SLICE_IDS = 2 << 20, 1 << 20
 # Worse than any piece, so that bytes appear only where nothing spells a character.
 BYTE_COST = -1e4
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -113,27 +115,71 @@ def piece_bytes(vocab):
     return table
 
 
-def with_new_column(docs, name, kind, make):
-    """`docs` with one more column from an Arrow function over parts of batches."""
-    docs = docs.drop(name)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+def with_columns(docs, kinds, make):
+    """`docs` with the columns `kinds` (name -> type) from an Arrow function over parts of batches."""
+    docs = docs.drop(*kinds)
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
 
     def run(batches):
         for batch in batches:
-            for part, values in make(batch):
-                yield pa.RecordBatch.from_arrays([*part.columns, values], names=[*part.schema.names, name])
+            for part in make.parts(batch):
+                yield pa.RecordBatch.from_arrays([*part.columns, *make(part)], names=[*part.schema.names, *kinds])
 
-    return docs.mapInArrow(run, f"{fields}, `{name}` {kind}")
+    return docs.mapInArrow(run, ", ".join([*fields, *(f"`{name}` {kind}" for name, kind in kinds.items())]))
 
 
-def parts_of(batch, column, limit):
-    """Parts of a batch with about `limit` characters or list members in `column`."""
-    values, first, size = batch.column(column).to_pylist(), 0, 0
-    for at, value in enumerate(values):
-        size += len(value) if value else 1
-        if size >= limit or at == len(values) - 1:
-            yield batch.slice(first, at + 1 - first), values[first : at + 1]
-            first, size = at + 1, 0
+def parts_of(batch, sizes, limit):
+    """Parts of a batch whose `sizes` add up to about `limit`: nothing larger becomes Python objects at once."""
+    sizes, first = np.maximum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False), 1), 0
+    while first < len(sizes):
+        count = max(1, int(np.searchsorted(np.cumsum(sizes[first:]), limit, side="right")))
+        yield batch.slice(first, count)
+        first += count
+
+
+def list_values(column):
+    """A numpy array, or None, per row of an Arrow list column."""
+    flat, at = column.flatten().to_numpy(zero_copy_only=False), 0
+    for size in pc.list_value_length(column).to_pylist():
+        yield None if size is None else flat[at : at + size]
+        at += size or 0
+
+
+class Encoder:
+    """Arrow columns of the piece ids of a text column; with `check` also whether decoding gives it back."""
+
+    def __init__(self, text, path, check=False):
+        self.text, self.path, self.check = text, path, check
+
+    def parts(self, batch):
+        return parts_of(batch, pc.binary_length(batch.column(self.text)), SLICE_BYTES)
+
+    def __call__(self, part):
+        vocab, texts = vocabulary(self.path), part.column(self.text).to_pylist()
+        ids, ends = encode_texts(texts, vocab)
+        starts = np.concatenate([[0], ends])
+        offsets = pa.array(starts.astype(np.int32), mask=np.array([t is None for t in texts] + [False]))
+        columns = [pa.ListArray.from_arrays(offsets, pa.array(ids))]
+        if self.check:
+            table = piece_bytes(vocab)
+            back = (decode_ids(ids[a:b].tolist(), table) for a, b in zip(starts.tolist(), ends.tolist()))
+            columns.append(pa.array([None if t is None else t == x for t, x in zip(texts, back)], pa.bool_()))
+        return columns
+
+
+class Decoder:
+    """An Arrow column of the texts of a column of piece ids."""
+
+    def __init__(self, ids, path):
+        self.ids, self.path = ids, path
+
+    def parts(self, batch):
+        return parts_of(batch, pc.list_value_length(batch.column(self.ids)), SLICE_IDS)
+
+    def __call__(self, part):
+        table = piece_bytes(vocabulary(self.path))
+        values = list_values(part.column(self.ids))
+        return [pa.array([None if x is None else decode_ids(x.tolist(), table) for x in values], pa.string())]
 
 
 def encode(docs, text="text", out="piece_ids", path=VOCABULARY):
@@ -141,34 +187,23 @@ def encode(docs, text="text", out="piece_ids", path=VOCABULARY):
 
     An input column named `out` is replaced.
     """
+    return with_columns(docs, {out: "array<int>"}, Encoder(text, path))
 
-    def make(batch):
-        vocab = vocabulary(path)
-        for part, texts in parts_of(batch, text, SLICE_CHARS):
-            ids, ends = encode_texts(texts, vocab)
-            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32), mask=np.array([t is None for t in texts] + [False]))
-            yield part, pa.ListArray.from_arrays(offsets, pa.array(ids))
 
-    return with_new_column(docs, out, "array<int>", make)
+def encode_checked(docs, text="text", out="piece_ids", exact="exact", path=VOCABULARY):
+    """`encode`, and in `exact` whether decoding the ids gives the text back (null for null)."""
+    return with_columns(docs, {out: "array<int>", exact: "boolean"}, Encoder(text, path, check=True))
 
 
 def decode(docs, ids="piece_ids", out="decoded", path=VOCABULARY):
-    """`docs` with the text of the piece ids. Null stays null; unknown ids give U+FFFD.
+    """`docs` with the text of the piece ids. Null stays null; the unknown id gives U+FFFD.
 
     Bytes that are no UTF-8 together give U+FFFD. An input column named `out` is replaced.
     """
-
-    def make(batch):
-        table = piece_bytes(vocabulary(path))
-        for part, lists in parts_of(batch, ids, SLICE_CHARS):
-            texts = [None if x is None else decode_ids(x, table) for x in lists]
-            yield part, pa.array(texts, pa.string())
-
-    return with_new_column(docs, out, "string", make)
+    return with_columns(docs, {out: "string"}, Decoder(ids, path))
 
 
 def encoding_report(docs, doc_id="doc_id", text="text", path=VOCABULARY):
-    """(doc_id, piece_ids, n_pieces, exact): `exact` says that decoding gave the text back; null for null texts."""
+    """(doc_id, piece_ids, n_pieces, exact) of every row; all but doc_id are null for null texts."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    both = decode(encode(rows, path=path), path=path)
-    return both.select("doc_id", "piece_ids", F.size("piece_ids").cast("bigint").alias("n_pieces"), (F.col("text") == F.col("decoded")).alias("exact"))
+    return encode_checked(rows, path=path).select("doc_id", "piece_ids", F.size("piece_ids").cast("bigint").alias("n_pieces"), "exact")

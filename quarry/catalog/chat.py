@@ -71,6 +71,49 @@ def _(spark, folder):
     return chat.render_chat(thinking_chats(spark, folder)).select("conv_id", "rendered")
 
 
+TOOLS = (
+    '[{"type": "function", "function": {"name": "lookup", "description": " Find it. ", "strict": true, "parameters": {"type": "object", '
+    '"properties": {"key": {"type": "string", "description": "a key ", "enum": ["x", "y"], "default": 1}, "n": {"type": ["integer", "null"]}}, '
+    '"required": ["key"], "additionalProperties": false}}}]'
+)
+TOOLS_TEXT = chat.TOOLS_INTRO + """
+<function>
+<name>lookup</name>
+<description>Find it.</description>
+<parameters>
+<parameter>
+<name>key</name>
+<type>string</type>
+<description>a key</description>
+<enum>["x", "y"]</enum>
+<default>1</default>
+</parameter>
+<parameter>
+<name>n</name>
+<type>['integer', 'null']</type>
+</parameter>
+<additionalProperties>False</additionalProperties>
+<required>["key"]</required>
+</parameters>
+<strict>True</strict>
+</function>""" + chat.TOOLS_OUTRO
+TOOLS_SQL = "CASE WHEN conv_id % 2 = 0 THEN '" + TOOLS_TEXT.replace("'", "''") + "' ELSE '' END"
+WITH_TOOLS = PLAIN.replace(
+    f"{SYSTEM} || text || {ENDS}", f"{SYSTEM} || text || CASE WHEN conv_id % 2 = 0 AND text <> '' THEN chr(10) || chr(10) ELSE '' END || {TOOLS_SQL} || {ENDS}"
+).replace(f"{SYSTEM} || {ENDS}", f"{SYSTEM} || {TOOLS_SQL} || {ENDS}")
+
+
+@CATALOG.add(
+    "render_json_tools",
+    f"WITH {TURNS} SELECT conv_id, string_agg({WITH_TOOLS}, '' ORDER BY i) AS rendered FROM x GROUP BY conv_id",
+)
+def _(spark, folder):
+    """Tool schemas as free JSON in every second conversation; the others have an empty list."""
+    df = chat.full_messages(chats(spark, folder))
+    df = df.withColumn("tools", F.when(F.col("conv_id") % 2 == 0, TOOLS).otherwise("[]"))
+    return chat.render_chat(df, tools="tools").select("conv_id", "rendered")
+
+
 DROPPED = """
 bad AS (SELECT conv_id, bool_or(i = last_i AND role = 'user') OR bool_or(role = 'user' AND next_role IS NOT NULL AND next_role <> 'assistant')
         OR bool_or(role = 'assistant' AND (text LIKE '%<think>%' OR text LIKE '%</think>%')) AS droppable FROM x GROUP BY conv_id)"""

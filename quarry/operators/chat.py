@@ -5,9 +5,13 @@ tool_calls: array<struct<name, arguments: map<string,string>>>. Everything is a
 column expression on the row, so nothing is shuffled.
 """
 
+import json
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import strip, token_ids
+from quarry.plans.once import compute_once
 
 # Markers of the chat format and the tool instructions.
 START, END = "<|im_start|>", "<|im_end|>\n"
@@ -187,9 +191,62 @@ def tool_parameters(properties, required):
     return F.concat(listed, optional("required", F.when(F.col(required).isNotNull(), as_list(F.col(required)))))
 
 
+def as_text(value):
+    """Lists and objects as JSON, everything else as its plain text."""
+    return json.dumps(value, ensure_ascii=False) if isinstance(value, (dict, list)) else str(value)
+
+
+def tagged(fields, skip):
+    """One tag per field that is not in `skip`, on a line of its own."""
+    if not isinstance(fields, dict):
+        return ""
+    return "".join(f"\n<{key}>{as_text(value)}</{key}>" for key, value in fields.items() if key not in skip)
+
+
+def function_text(tool):
+    """The entry of one tool schema: known fields in their order, then whatever else it has."""
+    tool = tool.get("function", tool)
+    schema = tool.get("parameters")
+    given = schema if isinstance(schema, dict) else {}
+    properties = given["properties"] if isinstance(given.get("properties"), dict) else {}
+    lines = [f"\n<function>\n<name>{tool.get('name', '')}</name>"]
+    if "description" in tool:
+        lines.append(f"\n<description>{str(tool['description']).strip()}</description>")
+    lines.append("\n<parameters>")
+    for name, field in properties.items():
+        field = field if isinstance(field, dict) else {}
+        known = {k: field[k].strip() if k == "description" else field[k] for k in ("type", "description") if k in field}
+        lines += [f"\n<parameter>\n<name>{name}</name>", "".join(f"\n<{k}>{v}</{k}>" for k, v in known.items())]
+        if "enum" in field:
+            lines.append(f"\n<enum>{json.dumps(field['enum'], ensure_ascii=False)}</enum>")
+        lines += [tagged(field, ("name", "type", "description", "enum")), "\n</parameter>"]
+    lines.append(tagged(schema, ("type", "properties", "required")))
+    if "required" in given:
+        lines.append(f"\n<required>{json.dumps(given['required'], ensure_ascii=False)}</required>")
+    lines += ["\n</parameters>", tagged(tool, ("type", "name", "description", "parameters")), "\n</function>"]
+    return "".join(lines)
+
+
+@F.pandas_udf("string")
+def json_tools_block(tools: pd.Series) -> pd.Series:
+    """`# Tools` block from a JSON list of tool schemas; '' for null, an empty list, or no list."""
+
+    def one(text):
+        try:
+            found = json.loads(text) if text else []
+        except ValueError:
+            found = []
+        listed = [t for t in found if isinstance(t, dict)] if isinstance(found, list) else []
+        return TOOLS_INTRO + "".join(map(function_text, listed)) + TOOLS_OUTRO if listed else ""
+
+    return tools.map(one)
+
+
 def segments(df, messages="messages", tools=None, out="segments"):
     """Add rendered text per message. The system block comes first and is always
-    there; without a leading system message it is part of the first segment."""
+    there; without a leading system message it is part of the first segment.
+
+    `tools` names a column of typed tools (see `tools_block`) or of JSON lists of schemas."""
     leads = F.coalesce(F.get(messages, F.lit(0))["role"] == "system", F.lit(False))
     df = df.withColumns(
         {
@@ -207,9 +264,13 @@ def segments(df, messages="messages", tools=None, out="segments"):
     )
     system = F.when(F.col("_leads"), F.coalesce(F.get(messages, F.lit(0))["content"], F.lit(""))).otherwise("")
     if tools is not None:
-        some = F.coalesce(F.size(tools) > 0, F.lit(False))
         gap = F.when(F.length(system) > 0, "\n\n").otherwise("")
-        system = F.concat(system, F.when(some, F.concat(gap, tools_block(tools))).otherwise(""))
+        if df.select(tools).dtypes[0][1] == "string":
+            df = compute_once(df, _tools=json_tools_block(tools))
+            some, block = F.length("_tools") > 0, F.col("_tools")
+        else:
+            some, block = F.coalesce(F.size(tools) > 0, F.lit(False)), tools_block(tools)
+        system = F.concat(system, F.when(some, F.concat(gap, block)).otherwise(""))
     df = df.withColumn("_system", _text(START + "system\n", system, END))
 
     def render(m, i):
@@ -233,7 +294,7 @@ def render_chat(df, messages="messages", tools=None, out="rendered", generation_
     tail = {None: "", "think": START + "assistant\n<think>\n", "plain": START + "assistant\n" + NO_THOUGHT}
     done = segments(df, messages, tools)
     return done.withColumn(out, F.concat(F.array_join("segments", ""), F.lit(tail[generation_prompt]))).drop(
-        "segments", "_leads", "_last_user", "_system"
+        "segments", "_leads", "_last_user", "_system", "_tools"
     )
 
 
@@ -395,7 +456,6 @@ def chat_sequences(df, messages="messages", tools=None, max_tokens=None):
     out = loss_mask(split_system_user(role_chunks(kept, messages, tools)))
     if max_tokens is not None:
         from quarry.operators.tokens import truncate_tokens
-        from quarry.plans.once import compute_once
 
         # Truncation names the arrays several times; they are computed once before it.
         out = compute_once(out, _ids=F.col("input_ids"), _mask=F.col("loss_mask")).drop("input_ids", "loss_mask")

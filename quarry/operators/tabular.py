@@ -207,10 +207,12 @@ def train_models(train, test, numeric, categorical, label, task):
         fit_on, score_on = [d.withColumn("label", F.col(label).cast("double")) for d in (fit_on, score_on)]
     order = F.xxhash64(F.col("features").cast("string"), "label")
     fit_on = cut_lineage(fit_on.select("features", "label").sort(order))
+    score_on = cut_lineage(score_on.select("features", "label"))
     models, rows = {}, None
     for name, estimator in (classifiers() if classify else regressors(fit_on.count())).items():
         models[name] = estimator.fit(fit_on)
-        scored = models[name].transform(score_on)
+        # Stored predictions: metrics read them several times, and their plans stay small.
+        scored = cut_lineage(models[name].transform(score_on).select("prediction", "label"))
         one = (classification_metrics if classify else regression_metrics)(scored, "prediction", "label")
         one = one.select(F.lit(name).alias("model"), "*")
         rows = one if rows is None else rows.unionByName(one)

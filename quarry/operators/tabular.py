@@ -208,6 +208,10 @@ def train_models(train, test, numeric, categorical, label, task):
     order = F.xxhash64(F.col("features").cast("string"), "label")
     fit_on = cut_lineage(fit_on.select("features", "label").sort(order))
     score_on = cut_lineage(score_on.select("features", "label"))
+    # Closures of some fits carry their session along, and a session that has observed a
+    # query can't be serialised. So the models work in a session of their own.
+    own = train.sparkSession.newSession()
+    fit_on, score_on = [own.read.schema(t.schema).parquet(t.stored_path) for t in (fit_on, score_on)]
     models, rows = {}, None
     for name, estimator in (classifiers() if classify else regressors(fit_on.count())).items():
         models[name] = estimator.fit(fit_on)

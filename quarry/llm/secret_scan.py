@@ -29,9 +29,18 @@ ADDED = {
     "google": ("AIza", re.compile(r"AIza[0-9A-Za-z_-]{35}")),
     "slack": ("xox", re.compile(r"xox[abprs]-[A-Za-z0-9-]{10,}")),
     "jwt": ("eyJ", re.compile(r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+")),
-    "key": ("-----BEGIN", re.compile(r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----")),
 }
-KINDS = (*BASE_KINDS, *ADDED)
+# A PEM key is found by its markers. Where the END marker is missing, the key ends with its base64
+# run: PEM headers, chunks of 16 and more, and a last shorter chunk that fills a line or is padded.
+MARKER = re.compile(r"-----(BEGIN|END) [A-Z ]{0,20}PRIVATE KEY-----")
+_GAP = r"""(?:\s|\\[nrt]|["'+>#*|,])"""
+BASE64_RUN = re.compile(
+    rf"""(?:{_GAP}*+(?:Proc-Type|DEK-Info):\x20*[A-Za-z0-9,-]+)*+"""
+    rf"""(?:{_GAP}*+[A-Za-z0-9+/]{{16,}}+(?!=))*+"""
+    rf"""(?:{_GAP}*+[A-Za-z0-9+/]++(?:={{1,2}}|(?<![A-Za-z0-9+/]{{16}})(?=["']?(?:[\r\n]|\\[nr]|\Z))))?"""
+)
+NOT_KEY = re.compile(r"\\[nrt]|[^A-Za-z0-9]")
+KINDS = (*BASE_KINDS, *ADDED, "key")
 MAX_OWNERS = 2
 MASK = "[SECRET]"
 BROADCAST_ROWS = 1_000_000
@@ -40,6 +49,24 @@ SPANS = "array<struct<kind:int,start:int,end:int,hash:bigint>>"
 ARROW_SPANS = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("hash", pa.int64())]))
 
 
+def find_keys(text):
+    """(start, end, value) of PEM private keys; the value is the body without line breaks and punctuation.
+
+    A key runs to its END marker, or to the end of the base64 run if another BEGIN or nothing
+    follows. A BEGIN marker without a body stands for itself.
+    """
+    markers = list(MARKER.finditer(text))
+    for mark, after in zip(markers, [*markers[1:], None]):
+        if mark[1] == "END":
+            continue
+        if after and after[1] == "END":
+            body, end = text[mark.end() : after.start()], after.end()
+        else:
+            end = BASE64_RUN.match(text, mark.end()).end()
+            body = text[mark.end() : end]
+        yield mark.start(), end, NOT_KEY.sub("", body) or mark[0]
+
+
 def find_spans(text):
     """(kind number, start, end, value) of all candidates, by start, then kind; offsets in code points."""
     if not text:
@@ -54,6 +81,8 @@ def find_spans(text):
     for number, (sign, pattern) in enumerate(ADDED.values(), len(BASE_KINDS)):
         if sign in text:
             found += [(number, *m.span(), m[0]) for m in pattern.finditer(text)]
+    if "-----BEGIN" in text:
+        found += [(KINDS.index("key"), *key) for key in find_keys(text)]
     return sorted(found, key=lambda s: (s[1], s[0]))
 
 

@@ -307,6 +307,46 @@ def test_ownership_and_masks(spark):
     assert ss.secret_report(docs.filter("false")).count() == 0
 
 
+def pem(rng, kind="RSA ", end=True, gap="\n"):
+    body = ["".join(rng.choices("ABCDEFxyz0189+/", k=n)) for n in (64, 64, 64, 23)]
+    lines = [f"-----BEGIN {kind}PRIVATE KEY-----", *body[:3], body[3] + "=", f"-----END {kind}PRIVATE KEY-----"]
+    return gap.join(lines if end else lines[:-1])
+
+
+def test_key_spans():
+    rng = random.Random(6)
+    spans = lambda t: [(a, b) for k, a, b, _ in ss.find_spans(t) if ss.KINDS[k] == "key"]
+    for gap in ("\n", "\r\n", "\\n", " ", '\\n" +\n  "', "\n> "):
+        whole, cut = pem(rng, gap=gap), pem(rng, end=False, gap=gap)
+        assert spans(f"é {whole} is a key.") == [(2, 2 + len(whole))]
+        assert spans(f"{cut}\nNo end here, as you see.") == [(0, len(cut))]
+        assert spans(f"{cut}\n{whole}") == [(0, len(cut)), (len(cut) + 1, len(cut) + 1 + len(whole))]
+    sealed = pem(rng).replace("KEY-----\n", "KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n", 1)
+    assert spans(sealed) == [(0, len(sealed))] and spans(sealed[:200]) == [(0, 200)]
+    short = pem(rng, end=False)[: 31 + 1 + 64 + 1 + 9]
+    assert spans(short) == [(0, len(short))] and spans(short + "\nThe rest is prose.") == [(0, len(short))]
+    assert spans(short.replace("\n", "\n> ")) == [(0, len(short) + 4)]
+    padded = pem(rng, end=False)
+    assert spans(f"{padded}\nwords\n") == spans(f"{padded}\nsupercalifragilistic\n") == [(0, len(padded))]
+    header = "-----BEGIN PRIVATE KEY-----"
+    assert spans(f"A key starts with {header} and goes on.") == [(18, 18 + len(header))]
+    assert spans("-----END PRIVATE KEY-----") == []
+
+
+def test_keys_of_several_owners(spark):
+    """Five owners have keys of one type: the key of two of them is live, that of three is copied."""
+    rng = random.Random(7)
+    live, shared = pem(rng), pem(rng)
+    rows = [(k, f"x {live if k < 2 else shared} y", f"s{k}") for k in range(5)]
+    # The same key in a string of a program counts as the same value.
+    rows.append((5, "k = '" + shared.replace("\n", "\\n") + "'", "s4"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: (r["n_live"], r["n_shared"]) for r in ss.secret_report(docs).collect()}
+    assert got == {0: (1, 0), 1: (1, 0)} | {k: (0, 1) for k in range(2, 6)}
+    texts = {r["doc_id"]: r["text"] for r in ss.redact_live(docs).collect()}
+    assert texts == {k: "x [SECRET] y" if k < 2 else t for k, t, _ in rows}
+
+
 # Quality
 
 def test_votes_recover_accuracies():

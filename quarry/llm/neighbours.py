@@ -115,23 +115,31 @@ def matrix(column):
 
 
 def best_of_block(ids, vectors, queries, points, k):
-    """(query, id, score) rows: the best `k` other ids of a block for each query."""
+    """(query, id, score) rows: the best `k` other ids of a block for each query, each with its best row."""
+    by_id = np.argsort(ids, kind="stable")
+    ids, vectors = ids[by_id], vectors[by_id]
+    names, firsts = np.unique(ids, return_index=True)
     norms, sizes = np.sqrt((vectors * vectors).sum(axis=1)), np.sqrt((points * points).sum(axis=1))
     found = []
     step = max(1, TILE // max(len(ids), 1))
     for at in range(0, len(queries), step):
         rough = (points[at : at + step] / sizes[at : at + step, None]) @ (vectors / norms[:, None]).T
+        # The k-th best id decides, not the k-th best row: repeated ids would crowd out the others.
+        best = np.maximum.reduceat(rough, firsts, axis=1) if len(names) < len(ids) else rough
         for row, query in enumerate(queries[at : at + step].tolist()):
-            others = np.flatnonzero(ids != query)
-            if not len(others):
+            scores = best[row, names != query]
+            if not len(scores):
                 continue
-            scores = rough[row, others]
-            if len(others) > k:
-                others = others[scores >= np.partition(scores, len(scores) - k)[len(scores) - k] - 1e-9]
+            others = ids != query
+            if len(scores) > k:
+                others &= rough[row] >= np.partition(scores, len(scores) - k)[len(scores) - k] - 1e-9
+            others = np.flatnonzero(others)
             # Equal vectors get equal scores only if summed alike, which a matrix product doesn't promise.
             exact = (vectors[others] * points[at + row]).sum(axis=1) / (norms[others] * sizes[at + row])
-            order = np.lexsort((ids[others], -exact))[:k]
-            found += [(query, int(ids[others[o]]), float(exact[o])) for o in order]
+            order = np.lexsort((ids[others], -exact))
+            if len(names) < len(ids):
+                order = order[np.sort(np.unique(ids[others[order]], return_index=True)[1])]
+            found += [(query, int(ids[others[o]]), float(exact[o])) for o in order[:k]]
     return found
 
 

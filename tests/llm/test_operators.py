@@ -243,6 +243,24 @@ def test_neighbours_in_blocks(spark, monkeypatch):
     assert len(found) == 30 and all(len(n) == 5 for n in found.values()) and hits >= 0.9 * 150
 
 
+@pytest.mark.parametrize("same", [True, False])
+@pytest.mark.parametrize("hashing", [{}, {"tables": 1, "width": 0.001, "probes": 1}])
+def test_neighbours_with_repeated_ids(spark, same, hashing):
+    """A nearest id with more than k rows, equal or not, takes one place; cells too small for k send all to the exact pass."""
+    rng = np.random.default_rng(5)
+    near = lambda noise: np.ones(8) + noise * rng.standard_normal(8)
+    twin = near(0.001)
+    rows = [(0, np.ones(8))] + [(1, twin if same else near(0.001)) for _ in range(12)]
+    rows += [(k, near(0.01 * k)) for k in range(2, 6)] + [(k, rng.standard_normal(8)) for k in range(6, 300)]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in rows], "vec_id long, embedding array<double>")
+    scores = defaultdict(lambda: -2.0)
+    for k, v in rows[1:]:
+        scores[k] = max(scores[k], v.sum() / np.linalg.norm(v) / math.sqrt(8))
+    got = sorted((r["rank"], r["vec_id"], r["score"]) for r in nn.nearest(df, df.filter("vec_id = 0"), k=5, **hashing).collect())
+    best = sorted(scores, key=lambda n: -scores[n])[:5]
+    assert [(r, n) for r, n, _ in got] == list(enumerate(best, 1)) and np.allclose([s for *_, s in got], [scores[n] for n in best])
+
+
 # Main text
 
 def test_field_on_other_pages():

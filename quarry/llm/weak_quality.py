@@ -6,8 +6,8 @@
 2. Expectation maximisation on the pattern counts estimates how often each labeller gives each
    vote for good and for bad texts, and how common good texts are; no true labels are used.
    It gives every pattern a posterior probability of good.
-3. On a bounded sample (`SAMPLE_ROWS`, by a hash of the row) a logistic regression of Spark's
-   ML library learns the posteriors from hashed features: byte trigrams, four-grams of
+3. On a bounded sample (at most `SAMPLE_ROWS` distinct rows with words, those with the smallest
+   hashes of id and text) a logistic regression of Spark's ML library learns the posteriors from hashed features: byte trigrams, four-grams of
    character classes, and buckets of the measures.
 4. All texts are scored row by row with the weights (`FEATURES` numbers in the task).
 """
@@ -199,7 +199,24 @@ def hashed_features(data, ends, found):
     return kinds, np.repeat(SCALE / np.maximum(size, 1), size), slots
 
 
-def sample_features(docs, model, rows, text="text"):
+def sample(docs, rows, doc_id="doc_id", text="text"):
+    """(text) of at most `rows` rows with words: those with the smallest hashes of id and text.
+
+    Rows that repeat both the id and the text count once. A cut of the hashes by the estimated
+    number of distinct rows comes first, so that ranking sees few numbers and no texts.
+    """
+    number = F.xxhash64(F.col(doc_id).cast("string"), F.col(text).cast("string"))
+    with_words = docs.filter(F.col(text).cast("string").rlike("[^\\x20\\x09-\\x0D]"))
+    numbered = with_words.select(number.alias("number"), F.col(text).alias("text"))
+    total = numbered.agg(F.approx_count_distinct("number", 0.02)).first()[0]
+    share = min(1.0, (1.5 * rows + 100) / max(total, 1))
+    cut = numbered.filter(F.col("number") <= F.lit(int(2**64 * share) - 2**63 - 1).cast("bigint"))
+    last = cut.select("number").distinct().orderBy("number").limit(rows).agg(F.max("number")).first()[0]
+    chosen = cut.filter(F.col("number") <= F.lit(last).cast("bigint"))
+    return chosen.groupBy("number").agg(F.first("text").alias("text")).select("text")
+
+
+def sample_features(docs, model, rows, doc_id="doc_id", text="text"):
     """(numbers, values, good) of a bounded sample: sparse features and the posterior."""
 
     def run(batches):
@@ -221,11 +238,7 @@ def sample_features(docs, model, rows, text="text"):
                     [pa.array(numbers, pa.list_(pa.int64())), pa.array(values, pa.list_(pa.float64())), pa.array(chances)], names=["numbers", "values", "good"]
                 )
 
-    chosen = docs.select(F.col(text).alias("text"))
-    total = docs.count()
-    if total > rows:
-        chosen = chosen.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * rows / total))
-    return chosen.mapInArrow(run, "numbers array<long>, values array<double>, good double")
+    return sample(docs, rows, doc_id, text).mapInArrow(run, "numbers array<long>, values array<double>, good double")
 
 
 def fit_scorer(features):
@@ -241,10 +254,10 @@ def fit_scorer(features):
     return fitted.coefficients.toArray(), float(fitted.intercept)
 
 
-def train(docs, sample_rows=SAMPLE_ROWS, text="text"):
+def train(docs, sample_rows=SAMPLE_ROWS, text="text", doc_id="doc_id"):
     """(vote model, weights, intercept) for the rows of `docs`."""
     model = fit_votes(pattern_counts(docs, text))
-    weights, intercept = fit_scorer(stored(sample_features(docs, model, sample_rows, text)))
+    weights, intercept = fit_scorer(stored(sample_features(docs, model, sample_rows, doc_id, text)))
     return model, weights, intercept
 
 

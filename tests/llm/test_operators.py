@@ -385,6 +385,19 @@ def test_quality_edge_cases(spark):
     assert wq.score(docs.filter("false"), wq.train(docs.filter("false"))).count() == 0
 
 
+def test_quality_sample_is_bounded(spark):
+    """Neither null texts, nor a hot text, nor a repeated row fill the sample or pass its bound."""
+    docs = spark.range(12000).selectExpr("id AS doc_id", "CASE id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'hot text' WHEN 2 THEN ' \\n' ELSE 'text ' || id END AS text")
+    docs = docs.unionByName(spark.range(5000).selectExpr("7 AS doc_id", "'again' AS text"))
+    rows = [r["text"] for r in wq.sample(docs, 500).collect()]
+    assert len(rows) == 500 and all(r and r.strip() for r in rows) and rows.count("again") <= 1
+    assert 150 < rows.count("hot text") < 350
+    assert sorted(rows) == sorted(r["text"] for r in wq.sample(docs.repartition(7), 500).collect())
+    assert len(wq.sample(docs, 100_000).collect()) == 6001 and wq.sample(docs.filter("false"), 500).count() == 0
+    features = wq.sample_features(docs, wq.fit_votes(wq.pattern_counts(docs)), 500)
+    assert features.count() == 500
+
+
 @pytest.mark.parametrize("text", ["", "a", "é" * 3])
 def test_measures_are_finite(text):
     import pyarrow as pa

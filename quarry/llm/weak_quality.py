@@ -26,6 +26,7 @@ FEATURE_BITS = 15
 FEATURES = 1 << FEATURE_BITS
 ROUNDS = 50
 SCALE = 10.0
+WINDOW = 2000
 GOOD, ABSTAIN, BAD = 2, 1, 0
 
 # Frequent function words of some languages.
@@ -67,7 +68,11 @@ def sums(values, ends):
 
 
 def measures(data, ends):
-    """Shares per text: symbols, upper, distinct, top, repeats, lines, function; and words, word_length."""
+    """Shares per text: symbols, upper, distinct, top, repeats, lines, function; and words, word_length.
+
+    The share of distinct words falls with length, so that of a text of more than `WINDOW` words
+    is the mean over windows of that many words (the last one ends with the text).
+    """
     size = np.maximum(np.diff(np.concatenate([[0], ends])), 1)
     with np.errstate(over="ignore"):
         hashes, before = word_hashes(data, ends) if len(data) else (np.zeros(0, np.uint64), np.zeros(len(ends), np.int64))
@@ -80,6 +85,9 @@ def measures(data, ends):
         if last > first:
             counts = np.unique(hashes[first:last], return_counts=True)[1]
             distinct[k], top[k] = len(counts) / (last - first), counts.max() / (last - first)
+            if last - first > WINDOW:
+                starts = [*range(first, last - WINDOW, WINDOW), last - WINDOW]
+                distinct[k] = np.mean([len(np.unique(hashes[at : at + WINDOW])) for at in starts]) / WINDOW
             rows = [r for r in data[byte:end].tobytes().split(b"\n") if r.strip()]
             lines[k] = 1 - len(set(rows)) / max(len(rows), 1)
         first, byte = last, end
@@ -99,7 +107,7 @@ def vote(good, bad):
 LABELLERS = {
     "symbols": lambda m: vote(m["symbols"] < 0.05, m["symbols"] > 0.08),
     "upper": lambda m: vote(m["upper"] < 0.06, m["upper"] > 0.25),
-    "distinct": lambda m: np.where(m["words"] < 20, ABSTAIN, vote((m["distinct"] > 0.5) | (m["words"] > 2000), (m["distinct"] < 0.3) & (m["words"] <= 2000))),
+    "distinct": lambda m: np.where(m["words"] < 20, ABSTAIN, vote(m["distinct"] > 0.5, m["distinct"] < 0.3)),
     "top": lambda m: np.where(m["words"] < 20, ABSTAIN, vote(m["top"] < 0.085, m["top"] > 0.1)),
     "repeats": lambda m: np.where(m["words"] < 20, ABSTAIN, vote(m["repeats"] < 0.03, m["repeats"] > 0.1)),
     "lines": lambda m: np.where(m["words"] < 20, ABSTAIN, vote(m["lines"] < 0.1, m["lines"] > 0.3)),

@@ -398,6 +398,18 @@ def test_quality_sample_is_bounded(spark):
     assert features.count() == 500
 
 
+def test_distinct_vote_does_not_depend_on_length():
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    varied = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    lengths = (500, 1999, 2000, 2001, 2500, 4001, 20_000)
+    junk = [" ".join(f"w{k % 300}" for k in range(n)) for n in lengths[1:]]
+    texts = junk + [varied(n) for n in lengths]
+    votes = wq.LABELLERS["distinct"](wq.measures(*wq.byte_texts(pa.array(texts)))).tolist()
+    assert votes == [wq.BAD] * len(junk) + [wq.GOOD] * len(lengths)
+
+
 @pytest.mark.parametrize("text", ["", "a", "é" * 3])
 def test_measures_are_finite(text):
     import pyarrow as pa

@@ -11,7 +11,7 @@ from quarry.llm.common import stored
 
 
 def language(spark, docs, sf_dir):
-    """Drop documents without letters, or with no language that the model is sure of."""
+    """Drop documents without letters."""
     model = language_id.train(docs)
     return language_id.keep_known_languages(docs, model)
 

@@ -321,9 +321,16 @@ def identify(docs, model, text="text", out=("lang_pred", "score")):
     return docs.mapInArrow(run, f"{fields}, `{out[0]}` string, `{out[1]}` double")
 
 
-def keep_known_languages(docs, model, languages=None, least_score=0.5, text="text"):
-    """The rows of `docs` whose text has a language of `languages` (default: all learned ones)
-    with a score of at least `least_score`. Texts without letters are rejected."""
+def keep_known_languages(docs, model, languages=None, least_score=0.0, text="text"):
+    """The rows of `docs` whose text has a language of `languages` with a score of at least `least_score`.
+
+    Texts without letters are rejected; without `languages` and `least_score` no others are,
+    also if the model knows no language. The score is a posterior among the learned languages:
+    it is low for short texts and near 1 for long ones of any kind, so it doesn't tell clean from
+    foreign texts.
+    """
+    if not languages and not model.languages:
+        return docs.filter(F.udf(lambda t: bool(t and marked_words(t)), "boolean")(F.col(text)))
     wanted = list(languages or model.languages)
     lang, score = free_name(docs, "lang_pred"), free_name(docs, "score")
     scored = identify(docs, model, text, (lang, score))

@@ -9,6 +9,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from quarry.llm import decontamination as dc
 from quarry.llm import language_id as li
@@ -171,6 +172,19 @@ def test_language_edge_cases(spark):
     assert {r["lang_pred"] for r in li.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_short_texts_and_unlabelled_rows_are_kept(spark):
+    """Texts that fit three languages alike score below 0.5; only those without letters go."""
+    rows = [(k, " ".join([w] * 9 + ["no"]), x) for k, (w, x) in enumerate([("haus", "de"), ("house", "en"), ("casa", "es")] * 12)]
+    short = [(100, "no", None), (101, "no no", None), (102, "12 !", None), (103, None, None)]
+    docs = spark.createDataFrame(rows + short, "doc_id long, text string, lang string")
+    model = li.train(docs)
+    assert [r["score"] < 0.5 for r in li.identify(docs.filter("doc_id IN (100, 101)"), model).collect()] == [True, True]
+    want = [k for k, _, _ in rows] + [100, 101]
+    assert sorted(r["doc_id"] for r in li.keep_known_languages(docs, model).collect()) == want
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert sorted(r["doc_id"] for r in li.keep_known_languages(bare, li.train(bare)).collect()) == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(st.characters(exclude_categories=["Cs"]) | st.sampled_from(" ▁\n\tab"), max_size=40), max_size=6))
 def test_pieces_round_trip(texts):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quarry.catalog.base import Catalog, table
 from quarry.llm import (
-    decontamination, language_id, main_text, near_duplicates, neighbours, secret_scan, sentence_pieces,
+    decontamination, embedding_whitening, fill_in_middle, language_id, main_text, near_duplicates, neighbours, secret_scan, sentence_pieces,
     sharding, warc, weak_quality,
 )
 from quarry.llm.common import new_folder
@@ -143,6 +143,38 @@ def _(spark, folder):
     return weak_quality.score(docs, weak_quality.train(docs))
 
 
+@CATALOG.add(
+    "op11_fill_in_middle",
+    """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS l,
+    sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+e AS (
+  SELECT doc_id, t, l, (len(l) - CASE WHEN l[-1] = '' THEN 1 ELSE 0 END)::BIGINT AS n,
+    ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+f AS (
+  SELECT doc_id, t, l, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+      WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM e),
+g AS (
+  SELECT *, CASE WHEN a = n THEN t WHEN a = 0 THEN '' ELSE array_to_string(l[1:a], chr(10)) || chr(10) END AS upto_a,
+    CASE WHEN b = n THEN t WHEN b = 0 THEN '' ELSE array_to_string(l[1:b], chr(10)) || chr(10) END AS upto_b FROM f),
+k AS (
+  SELECT *, upto_a AS p, substr(upto_b, length(upto_a) + 1) AS m, substr(t, length(upto_b) + 1) AS s FROM g)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM k
+""",
+)
+def _(spark, folder):
+    return fill_in_middle.fill_report(table(spark, folder, "documents"))
+
+
+@CATALOG.add("op12_embedding_whitening")
+def _(spark, folder):
+    return embedding_whitening.whitening_report(table(spark, folder, "embeddings"))
+
+
 @CATALOG.add("pipeline", corpus_pipeline.ORACLE_SQL)
 def _(spark, folder):
     return corpus_pipeline.run(spark, folder)

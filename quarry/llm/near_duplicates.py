@@ -154,9 +154,9 @@ def band_hashes(table, rows):
     return out.view(np.int64)
 
 
-def text_slices(batch, limit=SLICE_BYTES):
+def text_slices(batch, limit=SLICE_BYTES, column="text"):
     """Parts of a batch of about `limit` text bytes, so that arrays stay small."""
-    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     at = 0
     while at < len(sizes):
         count = max(1, int(np.searchsorted(np.cumsum(sizes[at : at + 4096]), limit, side="right")))
@@ -164,8 +164,8 @@ def text_slices(batch, limit=SLICE_BYTES):
         at += count
 
 
-def plain_texts(batch):
-    texts = pc.fill_null(batch.column("text").cast(pa.string()), "")
+def plain_texts(batch, column="text"):
+    texts = pc.fill_null(batch.column(column).cast(pa.string()), "")
     return texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quarry.catalog.base import Catalog, table
 from quarry.llm import (
-    decontamination, embedding_whitening, fill_in_middle, language_id, main_text, near_duplicates, neighbours, secret_scan, sentence_pieces,
+    decontamination, embedding_whitening, fill_in_middle, jaccard_join, language_id, main_text, near_duplicates, neighbours, secret_scan, sentence_pieces,
     sharding, warc, weak_quality,
 )
 from quarry.llm.common import new_folder
@@ -175,6 +175,11 @@ def _(spark, folder):
     return embedding_whitening.whitening_report(table(spark, folder, "embeddings"))
 
 
+@CATALOG.add("op13_jaccard_join")
+def _(spark, folder):
+    return jaccard_join.jaccard_components(table(spark, folder, "documents"))
+
+
 @CATALOG.add("pipeline", corpus_pipeline.ORACLE_SQL)
 def _(spark, folder):
     return corpus_pipeline.run(spark, folder)

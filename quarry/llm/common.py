@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from quarry.plans.checkpoints import cut_lineage, shared_folder
+from quarry.plans.checkpoints import cut_lineage, drop_stored, shared_folder
 
 # A key is hot from this many rows on; at most MOST_HOT keys are ever treated as hot,
 # because the limit rises with the total. So the broadcast of hot keys stays small.
@@ -64,3 +64,19 @@ def attach(members, groups, keys, spread, size="n"):
 def broadcast_up_to(df, rows):
     """`df` marked for broadcast if it has at most `rows` rows (counted), else as it is."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+class Scratch:
+    """Stored tables that an operator needs for a while only; `clear` deletes them."""
+
+    def __init__(self):
+        self.tables = []
+
+    def keep(self, df):
+        table = stored(df)
+        self.tables.append(table)
+        return table
+
+    def clear(self):
+        while self.tables:
+            drop_stored(self.tables.pop())

@@ -44,6 +44,8 @@ class SkipList:
 
     def place(self, rank):
         """Code points before the unit of that rank (0 to the number of units)."""
+        if not 0 <= rank <= self.size:
+            raise IndexError(rank)
         units_before = points_before = node = 0
         for units, points, down in reversed(self.lanes):
             while node < len(units) and units_before + units[node] <= rank:
@@ -53,7 +55,6 @@ class SkipList:
             if units_before == rank:
                 return points_before
             node = down[node]
-        raise IndexError(rank)
 
 
 def line_widths(text):

@@ -221,7 +221,8 @@ def split_regions(heavy, sets, level, percent, radius, scratch):
     side = heavy.withColumn("slice", F.pmod(F.xxhash64("set_id"), blocks).cast("int")).drop("delta", "weight", "members")
     members = side.join(sets.select("set_id", "shingles"), "set_id")
     pivots = drawn.withColumn("slice", F.explode(F.sequence(F.lit(0), blocks - 1))).select("region", "set_id", "n", "slice")
-    pivots = pivots.join(sets.select("set_id", "shingles"), "set_id")
+    # New names for the columns of this side, as both stem from the same tables.
+    pivots = pivots.join(sets.select("set_id", "shingles"), "set_id").select(*[F.expr(c).alias(c) for c in ("region", "slice", "set_id", "n", "shingles")])
     fields = "region string, set_id long, n long, alone long, component long, delta double, pivot long, linked boolean"
 
     def run(x, y):

@@ -13,16 +13,17 @@ d <= r. The join is exact and has no cap on partners.
 4. Only what these links leave in different components has to be compared. In a region, a set
    of the pivot's component at a distance below the window (the nearest foreign member's
    distance less r) can't have a partner there and goes.
-5. A heavy region draws pivots from its members, and all distances to them are taken. A member
-   within CORE of its nearest pivot is of that pivot's Voronoi region. It is repeated, as a
-   boundary document, in the region of every other pivot q with d(x, q) <= CORE + r and
-   d(x, q) <= d(x, nearest) + 2 r: by the triangle inequality no partner of a region's own
-   member is elsewhere. Members farther than CORE - r from all pivots form one more region.
-   The regions are handled as in 4 and 5 again, until they are light.
-6. A light region is compared inside one task; what is still heavy after LEVELS rounds is dealt
-   in blocks of bounded size which meet in pairs. Only links leave a task, at most one for every
-   pair of components, and members whose distances to the pivot differ by more than r, or whose
-   sizes or unshared parts rule a link out, aren't compared.
+5. A heavy region draws pivots from its members, and all distances to them are taken, which
+   gives links. A member within CORE of its nearest pivot is of that pivot's Voronoi region. It
+   is repeated, as a boundary document, in the region of every other pivot q with d(x, q) <=
+   CORE + r and d(x, q) <= d(x, nearest) + 2 r: by the triangle inequality no partner of a
+   region's own member is elsewhere. Members farther than CORE - r from all pivots form one more
+   region. Where the windows would repeat more than REPEATED times the members (a tight cluster,
+   which the links mostly join), the region stays whole. Then 4 and 5 again, until it is light.
+6. A light region is compared inside one task: the members outside of its largest component with
+   all. What is heavy after LEVELS rounds is dealt in blocks of bounded size, each a task. Only
+   links leave a task, at most one for every pair of components, and members whose distances to
+   the pivot differ by more than r, or whose sizes or unshared parts rule a link out, aren't compared.
 7. Components of all links; every document gets the smallest id it can reach.
 
 Hot shingles, pivots and classes are salted (`attach`), regions and blocks have a size bound.
@@ -39,7 +40,7 @@ from quarry.operators.components import connected_components
 SAMPLE_SHARE = 3
 # A region above this weight is split; a member weighs its shingles and MEMBER_WEIGHT.
 LEAF_WEIGHT, MEMBER_WEIGHT = 200_000, 50
-PIVOTS, CORE, LEVELS = 16, 0.5, 4
+PIVOTS, CORE, LEVELS, REPEATED = 16, 0.5, 4, 2
 BROADCAST_ROWS = 1_000_000
 
 DESCRIBED = "doc_id long, row long, n_shingles long, set_low long, set_high long, sample array<long>"
@@ -93,12 +94,18 @@ def with_shared_counts(rows, scratch):
     return attach(rows.withColumnRenamed("n", "_n"), counts, ["shingle"], ["set_id"]).withColumnRenamed("_n", "n").filter("n_sets IS NOT NULL")
 
 
-def with_partners_possible(classes, percent, scratch):
-    """Step 2: the classes whose sample does not rule a partner out."""
-    parts = classes.select("set_id", F.col("n_shingles").alias("n"), F.explode("sample").alias("shingle"))
+def with_partners_possible(described, classes, percent, scratch):
+    """Step 2: the classes whose sample does not rule a partner out.
+
+    Of a class the rows with its `row` take part; equal rows only raise the counts.
+    """
+    keys = ["row", "set_low", "set_high"]
+    firsts = described.join(broadcast_up_to(classes.select(*keys, "set_id"), BROADCAST_ROWS), keys)
+    parts = firsts.select("set_id", F.col("n_shingles").alias("n"), F.explode("sample").alias("shingle"))
     hits = with_shared_counts(parts, scratch).groupBy("set_id").agg(F.count("*").alias("hits"))
-    least = F.size("sample") - (F.col("n_shingles") - least_shared(F.col("n_shingles"), percent))
-    return classes.join(hits, "set_id", "left").filter(F.coalesce("hits", F.lit(0)) >= least)
+    sizes = firsts.groupBy("set_id").agg(F.max(F.size("sample")).alias("size"))
+    least = F.col("size") - (F.col("n_shingles") - least_shared(F.col("n_shingles"), percent))
+    return classes.join(sizes, "set_id").join(hits, "set_id", "left").filter(F.coalesce("hits", F.lit(0)) >= least)
 
 
 def rare_shingles(sets, percent, scratch):
@@ -237,8 +244,13 @@ def split_regions(heavy, sets, level, percent, radius, scratch):
     keys = ["region", "slice"]
     found = scratch.keep(members.groupBy(*keys).cogroup(pivots.groupBy(*keys)).applyInArrow(run, fields))
     links = found.filter("linked AND pivot <> set_id").select(F.col("pivot").alias("a"), F.col("set_id").alias("b"))
+    before = heavy.groupBy("region").agg(F.count("*").alias("size"))
+    after = found.groupBy("region").agg(F.count("*").alias("rows"))
+    split = scratch.keep(before.join(after, "region").filter(F.col("rows") <= REPEATED * F.col("size")).select("region"))
     name = F.concat_ws("/", "region", F.coalesce(F.col("pivot").cast("string"), F.lit(f"far{level}")))
-    return found.withColumn("region", name).select(*MEMBERS), links
+    parts = found.join(broadcast_up_to(split, BROADCAST_ROWS), "region", "left_semi").withColumn("region", name)
+    whole = heavy.join(broadcast_up_to(split, BROADCAST_ROWS), "region", "left_anti")
+    return parts.select(*MEMBERS).unionByName(whole.select(*MEMBERS)), links
 
 
 def block_links(left, right, percent, radius):
@@ -268,15 +280,21 @@ def block_links(left, right, percent, radius):
     return out
 
 
-def join_blocks(members, sets, percent, radius):
+def join_blocks(members, sets, percent, radius, scratch):
     """Step 6: links inside regions, each dealt in as many blocks as its weight asks for."""
-    blocks = F.ceil(F.col("weight") / LEAF_WEIGHT).cast("int")
-    dealt = members.withColumns({"own": F.pmod(F.xxhash64("set_id"), blocks).cast("int"), "every": F.explode(F.sequence(F.lit(0), blocks - 1))})
-    dealt = dealt.join(sets.select("set_id", "shingles"), "set_id")
+    own = F.col("n") + MEMBER_WEIGHT
+    parts = members.groupBy("region", "weight", "members", "component").agg(F.sum(own).alias("part"))
+    largest = parts.groupBy("region", "weight", "members").agg(F.max_by("component", F.struct("part", "component")).alias("main"), F.max("part").alias("part"))
+    blocks = lambda c: F.ceil(c / LEAF_WEIGHT).cast("int")
+    largest = largest.withColumns({"wide": blocks(F.col("weight")), "high": blocks(F.col("weight") - F.col("part"))})
+    largest = scratch.keep(largest.select("region", "main", "wide", "high", F.col("members").alias("size")).filter("high > 0"))
+    dealt = attach(members.select(*MEMBERS), largest, ["region"], ["set_id"], "size").join(sets.select("set_id", "shingles"), "set_id")
+    slot = lambda c: F.pmod(F.xxhash64("set_id"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     # New names for the columns of each side, as both stem from one table.
     columns = [F.expr(c).alias(c) for c in (*MEMBERS, "shingles")]
-    left = dealt.filter("own <= every").select(*columns, F.col("own").alias("i"), F.col("every").alias("j"))
-    right = dealt.filter("every <= own").select(*columns, F.col("every").alias("i"), F.col("own").alias("j"))
+    left = dealt.filter("component <> main").select(*columns, slot("high").alias("i"), every("wide").alias("j"))
+    right = dealt.select(*columns, every("high").alias("i"), slot("wide").alias("j"))
     fields = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(x, y):
@@ -287,10 +305,10 @@ def join_blocks(members, sets, percent, radius):
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "a long, b long").distinct()
 
 
-def set_links(classes, docs, percent, size, scratch):
+def set_links(described, classes, docs, percent, size, scratch):
     """(a, b): links between classes that connect what any pair of sets within the threshold connects."""
     radius = 1 - percent / 100
-    possible = scratch.keep(with_partners_possible(classes, percent, scratch).select("set_id", "set_low", "set_high", "row", F.col("n_shingles").alias("n")))
+    possible = scratch.keep(with_partners_possible(described, classes, percent, scratch).select("set_id", "set_low", "set_high", "row", F.col("n_shingles").alias("n")))
     wanted = broadcast_up_to(possible.select("row").distinct(), BROADCAST_ROWS)
     texts = docs.join(wanted, "row", "left_semi")
     sets = scratch.keep(sets_of(texts, size).join(possible, ["set_low", "set_high"]).select("set_id", "n", "shingles"))
@@ -302,9 +320,9 @@ def set_links(classes, docs, percent, size, scratch):
         light = members.filter(F.col("weight") <= LEAF_WEIGHT)
         heavy = members.filter(F.col("weight") > LEAF_WEIGHT)
         if level == LEVELS or heavy.isEmpty():
-            return scratch.keep(links.unionByName(join_blocks(members, sets, percent, radius)))
+            return scratch.keep(links.unionByName(join_blocks(members, sets, percent, radius, scratch)))
         level += 1
-        inner = scratch.keep(join_blocks(light, sets, percent, radius))
+        inner = scratch.keep(join_blocks(light, sets, percent, radius, scratch))
         members, more = split_regions(heavy, sets, level, percent, radius, scratch)
         links = scratch.keep(links.unionByName(inner).unionByName(more))
 
@@ -325,10 +343,10 @@ def jaccard_components(docs, percent=80, size=5, doc_id="doc_id", text="text"):
     scratch, keys = Scratch(), ["set_low", "set_high"]
     described = stored(describe(docs, size))
     classes = described.filter("set_low IS NOT NULL").groupBy(*keys, "n_shingles").agg(
-        F.min("doc_id").alias("first_id"), F.min("row").alias("row"), F.first("sample").alias("sample"), F.count("*").alias("copies")
+        F.min("doc_id").alias("first_id"), F.min("row").alias("row"), F.count("*").alias("copies")
     )
     classes = scratch.keep(classes.withColumn("set_id", F.monotonically_increasing_id()))
-    links = set_links(classes, docs, percent, size, scratch)
+    links = set_links(described, classes, docs, percent, size, scratch)
     found = connected_components(links, "a", "b").select(F.col("node").alias("set_id"), "component")
     named = classes.select("set_id", *keys, "first_id", "copies").join(found, "set_id", "left")
     named = scratch.keep(named.withColumn("component", F.coalesce("component", "set_id")))

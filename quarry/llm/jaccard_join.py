@@ -38,8 +38,8 @@ from quarry.llm.near_duplicates import digests, plain_texts, shingle_sets, signe
 from quarry.operators.components import connected_components
 
 SAMPLE_SHARE = 3
-# A region above this weight is split; a member weighs its shingles and MEMBER_WEIGHT.
-LEAF_WEIGHT, MEMBER_WEIGHT = 200_000, 50
+# A region above this weight is split, so that a task holds some megabytes; a member weighs its shingles and MEMBER_WEIGHT.
+LEAF_WEIGHT, MEMBER_WEIGHT = 500_000, 50
 PIVOTS, CORE, LEVELS, REPEATED = 16, 0.5, 4, 2
 BROADCAST_ROWS = 1_000_000
 
@@ -88,10 +88,10 @@ def least_shared(n, percent):
 
 
 def with_shared_counts(rows, scratch):
-    """`rows` of (set_id, shingle, ...) whose shingle is in several sets, with `n_sets`."""
+    """`rows` of (set_id, shingle) whose shingle is in several sets, with `n_sets`."""
     counts = rows.groupBy("shingle").agg(F.count("*").alias("n_sets")).filter("n_sets > 1")
     counts = scratch.keep(counts.withColumn("n", F.col("n_sets")))
-    return attach(rows.withColumnRenamed("n", "_n"), counts, ["shingle"], ["set_id"]).withColumnRenamed("_n", "n").filter("n_sets IS NOT NULL")
+    return attach(rows, counts, ["shingle"], ["set_id"]).filter("n_sets IS NOT NULL")
 
 
 def with_partners_possible(described, classes, percent, scratch):
@@ -101,7 +101,7 @@ def with_partners_possible(described, classes, percent, scratch):
     """
     keys = ["row", "set_low", "set_high"]
     firsts = described.join(broadcast_up_to(classes.select(*keys, "set_id"), BROADCAST_ROWS), keys)
-    parts = firsts.select("set_id", F.col("n_shingles").alias("n"), F.explode("sample").alias("shingle"))
+    parts = firsts.select("set_id", F.explode("sample").alias("shingle"))
     hits = with_shared_counts(parts, scratch).groupBy("set_id").agg(F.count("*").alias("hits"))
     sizes = firsts.groupBy("set_id").agg(F.max(F.size("sample")).alias("size"))
     least = F.col("size") - (F.col("n_shingles") - least_shared(F.col("n_shingles"), percent))
@@ -113,9 +113,9 @@ def rare_shingles(sets, percent, scratch):
 
     Ties are ordered by the hash, alike in all sets. `alone` counts the shingles that no other set has; they come first.
     """
-    rows = sets.select("set_id", "n", F.explode("shingles").alias("shingle"))
-    shared = with_shared_counts(rows, scratch)
-    lists = shared.groupBy("set_id", "n").agg(F.sort_array(F.collect_list(F.struct("n_sets", "shingle"))).alias("shared"))
+    shared = with_shared_counts(sets.select("set_id", F.explode("shingles").alias("shingle")), scratch)
+    lists = shared.groupBy("set_id").agg(F.sort_array(F.collect_list(F.struct("n_sets", "shingle"))).alias("shared"))
+    lists = lists.join(sets.select("set_id", "n"), "set_id")
     alone = F.col("n") - F.size("shared")
     left = F.col("n") - least_shared(F.col("n"), percent) + 1 - F.col("alone")
     prefix = lists.withColumn("alone", alone).filter(left > 0)

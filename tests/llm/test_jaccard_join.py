@@ -43,7 +43,7 @@ def clusters(rng):
     return texts
 
 
-@pytest.mark.parametrize("weight,pivots,levels", [(200_000, 16, 4), (4000, 4, 3), (3000, 2, 1), (2000, 16, 0)])
+@pytest.mark.parametrize("weight,pivots,levels", [(500_000, 16, 4), (4000, 4, 3), (3000, 2, 1), (2000, 16, 0)])
 def test_regions_are_split_exactly(spark, monkeypatch, weight, pivots, levels):
     monkeypatch.setattr(jj, "LEAF_WEIGHT", weight)
     monkeypatch.setattr(jj, "PIVOTS", pivots)

@@ -12,6 +12,7 @@ travels with the tasks; its size is that of the training pages' features.
 """
 
 import random
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -45,25 +46,52 @@ def bucket(n, edges):
     return sum(n >= e for e in edges)
 
 
-def path_features(path):
-    """Features of the ancestors, outermost first."""
-    out, markers = set(), []
-    for element in path:
-        out.add(f"tag:{element.tag}")
-        if element.tag in TELLING:
-            markers.append(element.tag)
-        families = dict.fromkeys(FAMILY[w] for w in element.words if w in FAMILY)
-        for word in element.words:
-            out.add(f"word:{word}")
-        for family in families:
-            out.add(f"family:{family}")
+class Around:
+    """What counts of an element and those around it; each is made from that of the parent."""
+
+    __slots__ = ("fresh", "families", "near", "second", "main", "value")
+
+    def __init__(self, parent, element, weights):
+        self.families, self.near, self.second, self.main = parent.families, parent.near, parent.second, parent.main
+        self.fresh = [f"tag:{element.tag}"] if element.fresh_tag else []
+        self.fresh += [f"word:{w}" for w in element.fresh_words]
+        markers = [element.tag] if element.tag in TELLING else []
+        for family in dict.fromkeys(FAMILY[w] for w in element.words if w in FAMILY):
             markers.append("." + family)
-    near = markers[-1] if markers else "none"
-    second = markers[-2] if len(markers) > 1 else "none"
-    out |= {f"near:{near}", f"near2:{second}>{near}", f"parent:{path[-1].tag if path else 'none'}"}
-    main = any(m in ("article", "main", ".main") for m in markers)
-    out |= {f"inside:{main}", f"inside:{main}>{near}", f"depth:{bucket(len(path), (3, 5, 7, 10))}"}
-    return out
+            if family not in self.families:
+                self.families = self.families | {family}
+                self.fresh.append(f"family:{family}")
+        for marker in markers:
+            self.near, self.second = marker, self.near
+            self.main = self.main or marker in ("article", "main", ".main")
+        self.value = parent.value + sum(weights.get(f, 0.0) for f in self.fresh)
+
+
+class Outside(Around):
+    """What is around a text that stands in no element."""
+
+    def __init__(self):
+        self.fresh, self.families, self.near, self.second, self.main, self.value = [], frozenset(), "none", "none", False, 0.0
+
+
+def around(element, known, weights):
+    """The `Around` of an element, kept in `known` together with those of its ancestors."""
+    chain = []
+    while element not in known:
+        chain.append(element)
+        element = element.parent
+    for node in reversed(chain):
+        known[node] = Around(known[node.parent], node, weights)
+    return known[chain[0] if chain else element]
+
+
+def place_features(element, state):
+    """Features of a block's place that are not added up along the way."""
+    tag, depth = (element.tag, element.depth) if element else ("none", 0)
+    return [
+        f"near:{state.near}", f"near2:{state.second}>{state.near}", f"parent:{tag}", f"inside:{state.main}",
+        f"inside:{state.main}>{state.near}", f"depth:{bucket(depth, (3, 5, 7, 10))}",
+    ]
 
 
 def text_features(block):
@@ -78,11 +106,15 @@ def text_features(block):
 
 
 def features(blocks):
-    known = {}
+    """All features of every block, those of its ancestors among them."""
+    known = {None: Outside()}
     for block in blocks:
-        if block.path not in known:
-            known[block.path] = path_features(block.path)
-        yield [*known[block.path], *text_features(block)]
+        out = [*place_features(block.element, around(block.element, known, {})), *text_features(block)]
+        element = block.element
+        while element:
+            out += known[element].fresh
+            element = element.parent
+        yield out
 
 
 class Writer:
@@ -240,8 +272,14 @@ def labelled_pages(count, seed=SEED):
     """(blocks, labels) of generated pages."""
     writer = Writer(seed)
     for _ in range(count):
-        blocks = leaf_blocks(writer.page())
-        yield blocks, [b.path[-1].label if b.path else 0 for b in blocks]
+        blocks = leaf_blocks(writer.page(), written_label)
+        yield blocks, [b.element.label if b.element else 0 for b in blocks]
+
+
+def written_label(attributes, surrounding):
+    """The label that the writer gave an element; without one, that of the element around it."""
+    found = re.search(r'data-main="([01])"', attributes)
+    return int(found[1]) if found else surrounding
 
 
 class Field:
@@ -255,11 +293,11 @@ class Field:
         if not blocks:
             return []
         get = self.weights.get
-        scores, known = [], {}
+        scores, known = [], {None: Outside()}
         for block in blocks:
-            if block.path not in known:
-                known[block.path] = sum(get(f, 0.0) for f in path_features(block.path))
-            scores.append(known[block.path] + sum(get(f, 0.0) for f in text_features(block)))
+            state = around(block.element, known, self.weights)
+            own = [*place_features(block.element, state), *text_features(block)]
+            scores.append(state.value + sum(get(f, 0.0) for f in own))
         (stay0, to1), (to0, stay1) = self.steps
         a, b, back = 0.0, self.first + scores[0], []
         for score in scores[1:]:

@@ -39,6 +39,11 @@ BASE64_RUN = re.compile(
     rf"""(?:{_GAP}*+[A-Za-z0-9+/]{{16,}}+(?!=))*+"""
     rf"""(?:{_GAP}*+[A-Za-z0-9+/]++(?:={{1,2}}|(?<![A-Za-z0-9+/]{{16}})(?=["']?(?:[\r\n]|\\[nr]|\Z))))?"""
 )
+# What may stand between both markers: the same, with a last chunk of any length.
+KEY_BODY = re.compile(
+    rf"""(?:{_GAP}*+(?:Proc-Type|DEK-Info):\x20*[A-Za-z0-9,-]+)*+"""
+    rf"""(?:{_GAP}*+[A-Za-z0-9+/]{{16,}}+(?!=))*+(?:{_GAP}*+[A-Za-z0-9+/]++={{0,2}})?{_GAP}*+"""
+)
 NOT_KEY = re.compile(r"\\[nrt]|[^A-Za-z0-9]")
 KINDS = (*BASE_KINDS, *ADDED, "key")
 MAX_OWNERS = 2
@@ -52,14 +57,14 @@ ARROW_SPANS = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), (
 def find_keys(text):
     """(start, end, value) of PEM private keys; the value is the body without line breaks and punctuation.
 
-    A key runs to its END marker, or to the end of the base64 run if another BEGIN or nothing
-    follows. A BEGIN marker without a body stands for itself.
+    A key runs to its END marker if only key material stands in between, else to the end of its
+    base64 run. A BEGIN marker without a body stands for itself.
     """
     markers = list(MARKER.finditer(text))
     for mark, after in zip(markers, [*markers[1:], None]):
         if mark[1] == "END":
             continue
-        if after and after[1] == "END":
+        if after and after[1] == "END" and KEY_BODY.fullmatch(text, mark.end(), after.start()):
             body, end = text[mark.end() : after.start()], after.end()
         else:
             end = BASE64_RUN.match(text, mark.end()).end()

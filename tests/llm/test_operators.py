@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -307,6 +308,31 @@ def test_broken_markup():
     assert texts("<div><script>never closed <p>x") == []
 
 
+def test_attributes_of_other_pages_are_no_labels():
+    for page in ('<div data-main="true"><p>x y</div>', '<div data-main=""><p>x y', '<article data-main="app"><p>x y</article>', "<p data-main=0>x y"):
+        assert [b.text for b in leaf_blocks(page)] == ["x y"] and all(b.element.label == 0 for b in leaf_blocks(page))
+
+
+def test_code_formulas_and_fallbacks_are_text():
+    page = "<article><p>One line.</p><xmp>if (a < b) &amp; <p>c</xmp><p>Two <math><mi>x</mi></math> and <object>what <b>falls</b></object> <noscript>back</noscript>.</p></article>"
+    want = ["One line.", "if (a < b) &amp; <p>c", "Two x and what falls back."]
+    assert [b.text for b in leaf_blocks(page)] == want and mt.main_text(page, mt.train()) == "\n".join(want)
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<a '" * 250_001, '<a ">"' * 150_000 + "'", "<div>x" * 100_000, "".join(f'<div class="c{k}">x' for k in range(50_000)),
+    "<blockquote>" * 30_000 + "<li></li>" * 30_000 + "</section>" * 30_000, "<li><div>" + "<blockquote>" * 30_000 + "<li></li>" * 30_000, "<!-- " * 200_000,
+], ids=["open tags", "open quotes", "quoted ends", "deep", "deep classes", "ends of nothing", "items in quotes", "comments"])
+def test_broken_pages_take_linear_time(page):
+    start = time.process_time()
+    mt.main_text(page, mt.train())
+    assert time.process_time() - start < 20
+
+
+def test_main_text_on_an_empty_table(spark):
+    assert mt.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
 def test_main_text_frame(spark):
     page = "<nav><a href=x>menu</a></nav><article><h1>T</h1><p>One &lt;two&gt;.</p><div class=ad>Buy now.</div><p>Three.</article><footer>f</footer>"
     rows = [(1, "u", page), (1, "u", page), (2, None, None), (3, "v", ""), (None, "w", "<p>" * 3000)]
@@ -363,6 +389,9 @@ def test_key_spans():
     header = "-----BEGIN PRIVATE KEY-----"
     assert spans(f"A key starts with {header} and goes on.") == [(18, 18 + len(header))]
     assert spans("-----END PRIVATE KEY-----") == []
+    for prose in (" marks the start, and after some prose of its own comes ", "\n" + "plain words between both lines " * 20 + "\n", " x. "):
+        assert spans(f"{header}{prose}-----END PRIVATE KEY-----") == [(0, len(header))]
+        assert spans(f"{cut}\n\n{prose}-----END RSA PRIVATE KEY-----") == [(0, len(cut))]
 
 
 def test_keys_of_several_owners(spark):

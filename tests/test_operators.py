@@ -3,6 +3,7 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -371,12 +372,85 @@ def test_chunks_join_to_rendered_and_masks(spark):
     assert all(len(r.input_ids) == len(r.loss_mask) and 0 < sum(r.loss_mask) < len(r.loss_mask) for r in coded)
 
 
+def plain_next_fit(lengths, capacity):
+    bins, current, used = [], 0, 0
+    for length in lengths:
+        if used + length > capacity:
+            current, used = current + 1, 0
+        bins.append(current)
+        used += length
+    return bins
+
+
+def expanded(plan):
+    """{(length, rank): (bin, pos)} of a run-length plan."""
+    out = {}
+    for length, start, stop, first, each, pos in plan:
+        for rank in range(start, stop):
+            out[length, rank] = (first + (rank - start) // each, pos + (rank - start) % each)
+    return out
+
+
 @pytest.mark.parametrize("lengths,bins", [([], 0), ([50], 1), ([100], 1), ([40, 60], 1), ([60, 60], 2), ([80, 20, 70, 30], 2)])
 def test_bin_counts(lengths, bins):
-    for algorithm in ("first_fit_decreasing", "first_fit_shuffle"):
-        order = packing.pack_order(lengths, algorithm, 1)
-        assert len(set(packing.first_fit([lengths[i] for i in order], 100))) == bins
-    assert len(set(packing.next_fit(lengths, 100))) == bins
+    order = sorted(lengths, reverse=True)
+    assert len(set(packing.first_fit(order, 100))) == bins
+    plan = packing.run_plan([x for x in dict.fromkeys(order)], [order.count(x) for x in dict.fromkeys(order)], 100)
+    assert len({b for b, _ in expanded(plan).values()}) == bins
+    assert len(set(plain_next_fit(lengths, 100))) == bins
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_run_plan_equals_first_fit(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice((10, 37, 100))
+    lengths = sorted((rng.randrange(0 if seed % 3 == 0 else 1, capacity + 1) for _ in range(rng.randrange(1, 900))), reverse=True)
+    counts = Counter(lengths)
+    plan = packing.run_plan(list(counts), list(counts.values()), capacity)
+    seen, held, want = Counter(), Counter(), {}
+    for length, number in zip(lengths, packing.first_fit(lengths, capacity)):
+        want[length, seen[length]] = (number, held[number])
+        seen[length] += 1
+        held[number] += 1
+    assert expanded(plan) == want
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_blocks_equal_next_fit(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice((10, 37, 100))
+    lengths = [rng.randrange(0, rng.choice((3, capacity + 1))) for _ in range(400)]
+    cuts = sorted({0, 400, *(rng.randrange(400) for _ in range(rng.randrange(12)))})
+    blocks = [np.array(lengths[a:b], dtype=np.int64) for a, b in zip(cuts, cuts[1:])]
+    states = packing.chain_entries([(k, packing.block_exits(b, capacity)) for k, b in enumerate(blocks)])
+    got = [pair for b, (_, *state) in zip(blocks, states) for pair in zip(*(x.tolist() for x in packing.fill_block(b, capacity, *state)))]
+    want = plain_next_fit(lengths, capacity)
+    held = Counter()
+    for (number, pos), expect in zip(got, want):
+        assert (number, pos) == (expect, held[expect])
+        held[expect] += 1
+
+
+def test_pack_across_blocks(spark, monkeypatch):
+    """One part, many blocks, ids that are text, one length with most of the rows."""
+    rng = random.Random(2)
+    monkeypatch.setattr(packing, "BLOCK_ROWS", 40)
+    rows = [(k % 2, f"s{k:04d}", rng.choice((50, 50, 50, 130, rng.randrange(1, 60)))) for k in range(900)]
+    df = frame(spark, rows, "shard int, seq_id string, length int")
+    for algorithm in ("concatenative", "first_fit_decreasing"):
+        got = {r.seq_id: (r.bin_id, r.pos, r.length) for r in packing.pack(df, 100, algorithm).collect()}
+        for shard in (0, 1):
+            mine = [(s, min(n, 100)) for k, s, n in rows if k == shard]
+            if algorithm == "first_fit_decreasing":
+                mine.sort(key=lambda x: (-x[1], x[0]))
+            lengths, held = [n for _, n in mine], Counter()
+            bins = packing.first_fit(lengths, 100) if algorithm == "first_fit_decreasing" else plain_next_fit(lengths, 100)
+            for (name, n), number in zip(mine, bins):
+                assert got[name] == (number, held[number], n)
+                held[number] += 1
+        assert packing.pack(df.filter("false"), 100, algorithm).count() == 0
+    with pytest.raises(ValueError):
+        packing.pack(df, 0)
 
 
 def test_first_fit_equals_linear_scan():

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from quarry.catalog.base import Catalog, strip_sql, table, token_count_sql
+from quarry.catalog.base import Catalog, TOKENS, hash_sql, strip_sql, table, token_count_sql
 from quarry.catalog.records import chats
 from quarry.operators import chat, packing
 
@@ -192,11 +192,27 @@ def _(spark, folder):
     return both.select("conv_id", "part", F.size("chunks").cast("bigint").alias("n"), (text == F.col("rendered")).alias("same"))
 
 
+# The whole arrays of every conversation.
+CONTENT_TOKENS = TOKENS.replace("(text", "(content")
+ARRAYS = f"""{SPLIT},
+a AS (SELECT conv_id, flatten(list(ids ORDER BY i)) AS ids, flatten(list(mask ORDER BY i)) AS mask FROM (
+  SELECT conv_id, i, list_transform({CONTENT_TOKENS}, lambda t: {hash_sql("t")} % 50000 + 3) AS ids,
+    list_transform({CONTENT_TOKENS}, lambda t: CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) AS mask FROM s) GROUP BY conv_id)"""
+
+
+def digest(column):
+    """md5 of all entries of an array, in order."""
+    return F.md5(F.array_join(F.col(column).cast("array<string>"), ","))
+
+
+def digest_sql(column):
+    return f"md5(array_to_string({column}, ','))"
+
+
 @CATALOG.add(
     "loss_mask",
-    f"""
-    WITH {SPLIT} SELECT conv_id, sum({token_count_sql("content")})::BIGINT AS n_tokens,
-      sum(CASE WHEN role = 'assistant' THEN {token_count_sql("content")} ELSE 0 END)::BIGINT AS n_loss FROM s GROUP BY conv_id""",
+    f"""WITH {ARRAYS} SELECT conv_id, len(ids) AS n_tokens, list_sum(mask)::BIGINT AS n_loss,
+      {digest_sql("ids")} AS ids_md5, {digest_sql("mask")} AS mask_md5 FROM a""",
 )
 def _(spark, folder):
     df = chat.chat_sequences(chats(spark, folder))
@@ -204,11 +220,11 @@ def _(spark, folder):
         "conv_id",
         F.size("input_ids").cast("bigint").alias("n_tokens"),
         F.aggregate("loss_mask", F.lit(0).cast("bigint"), lambda s, x: s + x).alias("n_loss"),
+        digest("input_ids").alias("ids_md5"), digest("loss_mask").alias("mask_md5"),
     )
 
 
 
-
 @CATALOG.add(
     "align_mask",
     "WITH m AS (SELECT conv_id, turn, lead(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END, 1, 0)"
@@ -275,16 +291,17 @@ def _(spark, folder):
 
 @CATALOG.add(
     "chat_truncation",
-    f"""WITH {SPLIT}, l AS (SELECT conv_id, i, role, {token_count_sql("content")} AS n FROM s),
-    r AS (SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY i) AS upto FROM l)
-    SELECT conv_id, least(sum(n), 64)::BIGINT AS n,
-      sum(CASE WHEN role = 'assistant' THEN greatest(0, least(upto, 64) - (upto - n)) ELSE 0 END)::BIGINT AS trained FROM r GROUP BY conv_id""",
+    f"""WITH {ARRAYS} SELECT conv_id, least(len(ids), 64) AS n, coalesce(list_sum(mask[1:64]), 0)::BIGINT AS trained,
+      {digest_sql("ids[1:64]")} AS ids_md5, {digest_sql("mask[1:64]")} AS mask_md5 FROM a""",
 )
 def _(spark, folder):
     """Conversations cut to 64 tokens, and the trained tokens among them."""
     out = chat.chat_sequences(chats(spark, folder), max_tokens=64)
     trained = F.aggregate("loss_mask", F.lit(0).cast("bigint"), lambda s, m: s + m)
-    return out.select("conv_id", F.size("input_ids").cast("bigint").alias("n"), trained.alias("trained"))
+    return out.select(
+        "conv_id", F.size("input_ids").cast("bigint").alias("n"), trained.alias("trained"),
+        digest("input_ids").alias("ids_md5"), digest("loss_mask").alias("mask_md5"),
+    )
 
 
 # --- packing -----------------------------------------------------------------
@@ -371,24 +388,29 @@ def packed(spark, folder):
 
 
 PACKED = f"""
-{SPLIT},
+{ARRAYS},
 q AS (SELECT (conv_id % 4)::INTEGER AS shard, {PART}, conv_id AS seq_id, least(sum({token_count_sql("content")}), 512)::BIGINT AS length
       FROM s GROUP BY conv_id)""" + NEXT_FIT[NEXT_FIT.index(",\no AS"):] + """,
-st AS (SELECT *, sum(length) OVER (PARTITION BY shard, part, bin_id ORDER BY pos) - length AS start FROM bins)"""
+st AS (SELECT *, sum(length) OVER (PARTITION BY shard, part, bin_id ORDER BY pos) - length AS start FROM bins),
+full_bins AS (SELECT shard, part, bin_id, sum(length)::BIGINT AS n, string_agg(start::BIGINT::VARCHAR, ',' ORDER BY pos) AS starts,
+  md5(string_agg(array_to_string(ids[1:512], ','), ',' ORDER BY pos)) AS ids_md5,
+  md5(string_agg(array_to_string(list_append(mask[2:512], 0), ','), ',' ORDER BY pos)) AS mask_md5
+  FROM st JOIN a ON a.conv_id = st.seq_id WHERE length > 0 GROUP BY ALL)"""
 
 
-@CATALOG.add(
-    "materialize_bins",
-    f"""WITH RECURSIVE {PACKED} SELECT shard, part, bin_id, sum(length)::BIGINT AS n,
-        string_agg(start::BIGINT::VARCHAR, ',' ORDER BY pos) AS starts FROM st GROUP BY ALL""",
-)
-def _(spark, folder):
-    return packed(spark, folder).select(
+def whole_bins(bins):
+    return bins.select(
         "shard", "part", "bin_id", F.size("input_ids").cast("bigint").alias("n"),
         F.array_join(F.col("seq_start_id").cast("array<string>"), ",").alias("starts"),
+        digest("input_ids").alias("ids_md5"), digest("loss_mask").alias("mask_md5"),
     )
 
 
+@CATALOG.add("materialize_bins", f"WITH RECURSIVE {PACKED} SELECT * FROM full_bins")
+def _(spark, folder):
+    return whole_bins(packed(spark, folder))
+
+
 @CATALOG.add(
     "unknown_sequences",
     "SELECT (conv_id % 4)::INTEGER AS shard, conv_id AS seq_id FROM conversations WHERE conv_id % 10 = 3 GROUP BY conv_id",

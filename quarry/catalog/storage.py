@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from quarry.catalog.base import Catalog, heavy, table, token_count_sql
-from quarry.catalog.chat import PACKED, packed
+from quarry.catalog.chat import PACKED, digest, packed
 from quarry.catalog.curation import BINS, BUCKET, SCORES, scored, scored_sql
 from quarry.functions.columns import token_count
 from quarry.operators import custom, quality, sharding, tokens
@@ -77,14 +77,16 @@ def _(spark, folder):
 
 @CATALOG.add(
     "packed_round_trip",
-    f"WITH RECURSIVE {PACKED} SELECT sum(length)::BIGINT AS n, sum(length)::BIGINT AS m, count(*) AS k FROM st GROUP BY shard, part, bin_id",
+    f"WITH RECURSIVE {PACKED} SELECT n, starts, ids_md5, mask_md5 FROM full_bins",
 )
 def _(spark, folder):
+    """The bins read back from the packed files, whole."""
     path = folder_for(spark)
     writers.write_packed(packed(spark, folder), path, "zstd", pack_size=512)
-    size = lambda c: F.size(c).cast("bigint")
-    return spark.read.parquet(path).select(
-        size("input_ids").alias("n"), size("loss_mask").alias("m"), size("seq_start_id").alias("k")
+    arrays = spark.read.parquet(path)
+    return arrays.select(
+        F.size("input_ids").cast("bigint").alias("n"), F.array_join(F.col("seq_start_id").cast("array<string>"), ",").alias("starts"),
+        digest("input_ids").alias("ids_md5"), digest("loss_mask").alias("mask_md5"),
     )
 
 

@@ -288,20 +288,19 @@ def unknown_sequences(sequences, assignment, keys=("shard", "seq_id")):
 def materialize_bins(sequences, assignment, capacity, shard="shard", seq="seq_id", ids="input_ids", mask="loss_mask"):
     """Concatenate sequences in bin order: input_ids, loss_mask, seq_start_id.
 
-    A bin holds at most `capacity` tokens, so a group stays small.
+    Starts come from ids and sizes alone; the arrays are shuffled to their sequence and then to
+    their bin, which holds at most `capacity` tokens.
     """
-    clipped = sequences.select(
-        shard, seq,
-        F.slice(ids, 1, capacity).alias("_ids"),
-        F.slice(mask, 1, capacity).alias("_mask"),
-    )
-    joined = assignment.select(shard, "part", "bin_id", "pos", seq).join(clipped, [shard, seq])
+    keys = [shard, seq]
+    size = F.least(F.size(ids), F.lit(capacity))
+    sized = assignment.select(shard, "part", "bin_id", "pos", seq).join(sequences.select(*keys, size.alias("_size")), keys)
     before = (
         Window.partitionBy(shard, "part", "bin_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     )
-    start = F.coalesce(F.sum(F.size("_ids")).over(before), F.lit(0)).cast("int")
-    placed = joined.withColumn("_start", start).withColumn("_room", F.lit(capacity) - F.col("_start"))
-    fitting = placed.filter((F.col("_room") > 0) & (F.size("_ids") > 0))
+    start = F.coalesce(F.sum("_size").over(before), F.lit(0)).cast("int")
+    placed = sized.withColumn("_start", start).withColumn("_room", F.lit(capacity) - F.col("_start"))
+    fitting = placed.filter((F.col("_room") > 0) & (F.col("_size") > 0)).drop("_size")
+    fitting = fitting.join(sequences.select(*keys, F.slice(ids, 1, capacity).alias("_ids"), F.slice(mask, 1, capacity).alias("_mask")), keys)
     entry = F.struct(
         "pos",
         F.col("_start").alias("start"),

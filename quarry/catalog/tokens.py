@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from quarry.catalog.base import Catalog, TOKENS, hash_sql, heavy, table, token_count_sql
 from quarry.functions.columns import token_count
-from quarry.operators import tokens
+from quarry.operators import bpe, tokens
 from quarry.plans.checkpoints import cut_lineage
 
 CATALOG = Catalog()
@@ -45,6 +45,47 @@ def _(spark, folder):
     return out.select("doc_id", F.size("input_ids").cast("bigint").alias("n"))
 
 
+# Where the vocabulary files of public tokenizers are.
+VOCABULARIES = "/opt/tokenizers"
+
+
+def byte_pair_round_trip(spark, folder, tokenizer):
+    """Ids of every text by merging, and the text that decoding makes of them."""
+    out = tokens.tokenize(heavy(spark, folder), tokenizer=tokenizer)
+    return out.select("doc_id", (F.size("input_ids") > 0).alias("coded"), F.md5(tokenizer.texts_of(F.col("input_ids"))).alias("decoded_md5"))
+
+
+DECODED = "SELECT doc_id, length(text) > 0 AS coded, md5(text) AS decoded_md5 FROM documents"
+
+
+@CATALOG.add("tokenize_rank_file", DECODED)
+def _(spark, folder):
+    return byte_pair_round_trip(spark, folder, bpe.RankFile(f"{VOCABULARIES}/byte_bpe_multi_50k.tiktoken"))
+
+
+@CATALOG.add("tokenize_merge_list", DECODED)
+def _(spark, folder):
+    return byte_pair_round_trip(spark, folder, bpe.MergeList(f"{VOCABULARIES}/byte_bpe_50k.json"))
+
+
+@CATALOG.add("tokenize_piece_model", DECODED)
+def _(spark, folder):
+    return byte_pair_round_trip(spark, folder, bpe.PieceModel(f"{VOCABULARIES}/piece_bpe_32k.model"))
+
+
+WORD_PATTERN = r"''s|''t|''re|''ve|''m|''ll|''d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+
+
+@CATALOG.add(
+    "tokenize_word_ends",
+    f"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(nfc_normalize(text)), '{WORD_PATTERN}') AS w FROM documents)
+    SELECT doc_id, len(w) > 0 AS coded, md5(array_to_string(w, ' ')) AS decoded_md5 FROM w""",
+)
+def _(spark, folder):
+    """Word-end merges keep words only: decoding gives them in lower case, with single spaces."""
+    return byte_pair_round_trip(spark, folder, bpe.MergeList(f"{VOCABULARIES}/word_bpe_49k.json"))
+
+
 @CATALOG.add(
     "tokenize_plugin",
     "SELECT doc_id, CASE WHEN length(text) >= 100 THEN len(string_split(text, ' ')) END AS n,"

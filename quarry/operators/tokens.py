@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F, types as T
 
 from quarry.functions.columns import EOS_ID, token_ids
+from quarry.operators.bpe import Tokenizer
 from quarry.plans.prefix import quantile_bucket, running_totals
 
 
@@ -48,7 +49,8 @@ def plugin_tokenizer(name, factory):
 
 
 def tokenize(df, text="text", tokenizer="regex", out="input_ids", on_error="fail"):
-    """Add token ids. `tokenizer` is "regex", "bytes" or the result of `plugin_tokenizer`.
+    """Add token ids. `tokenizer` is "regex", "bytes", one of the byte-pair tokenizers of
+    `operators.bpe`, or the result of `plugin_tokenizer`.
 
     With on_error="skip" a row that fails keeps null ids and its `error` text;
     `token_stats` counts it and `drop_empty` removes it.
@@ -57,6 +59,8 @@ def tokenize(df, text="text", tokenizer="regex", out="input_ids", on_error="fail
         return df.withColumn(out, token_ids(text))
     if tokenizer == "bytes":
         return df.withColumn(out, byte_ids(text))
+    if isinstance(tokenizer, Tokenizer):
+        return df.withColumn(out, tokenizer.ids_of(F.col(text)))
     done = df.withColumn("_t", tokenizer(F.col(text)))
     if on_error == "fail":
         checked = F.when(F.col("_t.error").isNotNull(), F.raise_error(F.col("_t.error")))

@@ -5,7 +5,7 @@ import pandas as pd
 from pyspark.sql import Window, functions as F, types as T
 
 from quarry.functions.columns import col, let
-from quarry.plans.checkpoints import cut_lineage
+from quarry.plans.checkpoints import cut_lineage, drop_stored
 from quarry.plans.skew import HOT_ROWS, join_groups
 
 # Fixed value: a token with the white space before it, so that joining gives the text back.
@@ -16,33 +16,68 @@ def pieces(text="text"):
     return F.regexp_extract_all(col(text), F.lit(PIECE), F.lit(0))
 
 
-def window_hashes(k):
-    """Arrow function: two 64-bit hashes of every run of k token hashes.
+def rolling(values, width, base):
+    """Polynomials modulo 2^64 over every run of `width` (already random) token hashes, for all runs at once."""
+    values = np.asarray(values, dtype=np.int64).view(np.uint64)
+    n = len(values) - width + 1
+    total = np.zeros(max(n, 0), dtype=np.uint64)
+    for j in range(width if n > 0 else 0):
+        total *= np.uint64(base)
+        total += values[j : j + n]
+    return total
 
-    Polynomials modulo 2^64 over the (already random) token hashes; numpy
-    computes one coefficient for all windows of a document at a time.
+
+BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+CHUNK = 1 << 18
+
+
+def winnowed(hashes, k):
+    """(grams, chosen): hashes of the runs of k // 2 tokens, and for every k-token window the place of its smallest one.
+
+    Windows with equal text choose the same place inside of them, and neighbours mostly choose the same gram.
     """
-    shape = T.StructType(
-        [T.StructField("a", T.ArrayType(T.LongType())), T.StructField("b", T.ArrayType(T.LongType()))]
-    )
-    bases = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+    width = max(k // 2, 1)
+    grams = rolling(hashes, width, BASES[0])
+    count, span = len(hashes) - k + 1, k - width + 1
+    if count < 1:
+        return grams, np.zeros(0, np.int64)
+    chosen = np.empty(count, np.int64)
+    for at in range(0, count, CHUNK):
+        part = grams[at : min(at + CHUNK, count) + span - 1]
+        chosen[at : at + CHUNK] = np.lib.stride_tricks.sliding_window_view(part, span).argmin(axis=1)
+    return grams, chosen + np.arange(count)
+
+
+def sample_grams(k):
+    """Arrow function: hash and place of every gram that a window of the document chooses."""
+    shape = T.StructType([T.StructField("key", T.ArrayType(T.LongType())), T.StructField("pos", T.ArrayType(T.LongType()))])
 
     @F.pandas_udf(shape)
-    def run(first: pd.Series, second: pd.Series) -> pd.DataFrame:
-        def one(hashes, base):
-            values = np.asarray(hashes, dtype=np.int64).view(np.uint64)
-            n = len(values) - k + 1
-            if n < 1:
-                return np.empty(0, dtype=np.int64)
-            total = np.zeros(n, dtype=np.uint64)
-            for j in range(k):
-                total *= np.uint64(base)
-                total += values[j : j + n]
-            return total.view(np.int64)
-
-        return pd.DataFrame(
-            {"a": first.map(lambda h: one(h, bases[0])), "b": second.map(lambda h: one(h, bases[1]))}
-        )
+    def run(hashes: pd.Series) -> pd.DataFrame:
+        def one(values):
+            grams, chosen = winnowed(values, k)
+            places = np.unique(chosen)
+            return grams[places].view(np.int64), places
+
+        found = [one(h) if h is not None else (None, None) for h in hashes]
+        return pd.DataFrame({"key": [f[0] for f in found], "pos": [f[1] for f in found]})
+
+    return run
+
+
+def candidate_windows(k):
+    """Arrow function: place and two 64-bit hashes of every window whose chosen gram is among the hits."""
+    shape = T.StructType([T.StructField(c, T.ArrayType(T.LongType())) for c in ("pos", "a", "b")])
+
+    @F.pandas_udf(shape)
+    def run(first: pd.Series, second: pd.Series, hits: pd.Series) -> pd.DataFrame:
+        def one(values, others, places):
+            _, chosen = winnowed(values, k)
+            pos = np.flatnonzero(np.isin(chosen, np.asarray(places)))
+            return pos, rolling(values, k, BASES[0])[pos].view(np.int64), rolling(others, k, BASES[1])[pos].view(np.int64)
+
+        found = [one(*row) for row in zip(first, second, hits)]
+        return pd.DataFrame({c: [f[j] for f in found] for j, c in enumerate(("pos", "a", "b"))})
 
     return run
 
@@ -50,16 +85,23 @@ def window_hashes(k):
 def repeated_windows(tokens, k=50, keep="first", id="doc_id", column="tokens", hot_rows=HOT_ROWS):
     """(id, pos) of every k-token window to remove: its text occurs twice or more.
 
-    Only 16-byte hashes and positions are shuffled. Windows that occur once are
-    dropped by a map-side-combined count; the few that repeat are stored before
-    the join back.
+    `column` holds token arrays or texts. Two passes. The first shuffles winnowed samples only, about one gram of k / 2 tokens for
+    every k / 4 tokens: a window that occurs twice chooses a gram that occurs twice. The second
+    takes the documents with such grams and shuffles 16-byte hashes of the windows that chose
+    them; the hashes of whole windows decide.
     """
-    hashed = window_hashes(k)(
-        F.transform(column, lambda t: F.xxhash64(t)), F.transform(column, lambda t: F.xxhash64(F.lit(1), t))
-    )
-    spots = tokens.select(id, hashed.alias("h")).select(
-        id, F.posexplode_outer(F.arrays_zip("h.a", "h.b")).alias("pos", "key")
-    ).filter("pos is not null")
+    # A text is cut into tokens in both passes, so that no token array is shuffled.
+    words = pieces(column) if dict(tokens.dtypes)[column] == "string" else F.col(column)
+    first, second = (F.transform(words, f) for f in (lambda t: F.xxhash64(t), lambda t: F.xxhash64(F.lit(1), t)))
+    sampled = tokens.select(id, sample_grams(k)(first).alias("s"))
+    grams = cut_lineage(sampled.select(id, F.explode(F.arrays_zip("s.key", "s.pos")).alias("g")).select(id, "g.key", "g.pos"))
+    often = cut_lineage(grams.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
+    hits = join_groups(grams, often, ["key"], [id, "pos"], hot_rows=hot_rows, null_keys=False)
+    hits = cut_lineage(hits.groupBy(id).agg(F.collect_list("pos").alias("_hits")))
+    drop_stored(grams)
+    near = tokens.join(hits, id).select(id, candidate_windows(k)(first, second, F.col("_hits")).alias("h"))
+    zipped = near.select(id, F.explode(F.arrays_zip("h.pos", "h.a", "h.b")).alias("w"))
+    spots = cut_lineage(zipped.select(id, "w.pos", F.struct("w.a", "w.b").alias("key")))
     # One number for (id, pos) keeps the aggregation a hash aggregation; structs would sort.
     place = F.struct(id, "pos")
     if dict(tokens.dtypes)[id] in ("bigint", "int"):
@@ -173,8 +215,7 @@ def substring_dedup(df, k=50, keep="first", id="doc_id", text="text"):
     Tokens never leave the row: the small span table meets the rows once, and only texts with
     a span are cut into tokens again. A null text becomes empty.
     """
-    tokens = df.select(id, pieces(text).alias("tokens"))
-    joined = with_spans(df, repeated_spans(tokens, k, keep, id), id)
+    joined = with_spans(df, repeated_spans(df.select(id, text), k, keep, id, text), id)
     cut = let(pieces(text), lambda t: F.array_join(without(t, F.col("_spans")), ""))
     whole = F.coalesce(F.col(text), F.lit(""))
     return joined.withColumn(text, F.when(F.col("_spans").isNull(), whole).otherwise(cut)).select(*df.columns)

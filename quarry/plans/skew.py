@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+# So many keys at most are sliced: a key that isn't among them has fewer than total rows / MOST_HOT.
+MOST_HOT = 10_000
 
 
 def join_groups(members, groups, keys, spread, size="n", hot_rows=HOT_ROWS, null_keys=True):
@@ -13,19 +15,21 @@ def join_groups(members, groups, keys, spread, size="n", hot_rows=HOT_ROWS, null
     null. A group of more than `hot_rows` rows is cut
     into slices of about that many rows by a hash of `spread` (columns that differ
     between rows), so no task receives more than about `hot_rows` rows of one key.
-    The table of hot keys is broadcast: it has at most total_rows / hot_rows entries.
+    The table of hot keys is broadcast: it holds the `MOST_HOT` largest groups at most.
     """
     keys = list(keys)
 
     def equal(left, right):
         return F.col(left).eqNullSafe(F.col(right)) if null_keys else F.col(left) == F.col(right)
 
-    slices = F.ceil(F.col(size) / F.lit(hot_rows)).cast("int")
-    sliced = groups.withColumn("_slices", F.greatest(slices, F.lit(1)))
-    hot = sliced.filter(F.col("_slices") > 1).select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_slices")
+    hot = groups.filter(F.col(size) > hot_rows).orderBy(F.desc(size), *keys).limit(MOST_HOT)
+    slices = F.ceil(F.col(size) / F.lit(hot_rows)).cast("int").alias("_slices")
+    hot = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], slices)
     same = F.lit(True)
     for k in keys:
         same = same & equal(k, f"_hot_{k}")
+    sliced = groups.join(F.broadcast(hot), same, "left").drop(*[f"_hot_{k}" for k in keys])
+    sliced = sliced.withColumn("_slices", F.coalesce("_slices", F.lit(1)))
     slot = F.pmod(F.xxhash64(*spread), F.col("_slices")).cast("int")
     marked = members.join(F.broadcast(hot), same, "left").withColumn("_slice", F.coalesce(slot, F.lit(0)))
     marked = marked.drop("_slices", *[f"_hot_{k}" for k in keys])

@@ -639,3 +639,32 @@ def test_read_jsonl_fails_on_bad_line(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text('{"a": 1}\nnot json\n')
     with pytest.raises(Exception):
         readers.read_jsonl(spark, str(tmp_path / "x.jsonl"), "a int").collect()
+
+
+def plain_windows(texts, k):
+    """(id, pos) of all windows of k tokens but the first of each text."""
+    import re
+
+    seen, out = set(), set()
+    for key in sorted(texts):
+        tokens = re.findall(spans.PIECE, texts[key] or "")
+        for pos in range(len(tokens) - k + 1):
+            window = tuple(tokens[pos : pos + k])
+            if window in seen:
+                out.add((key, pos))
+            seen.add(window)
+    return out
+
+
+@pytest.mark.parametrize("k", [1, 2, 7, 20])
+def test_windows_against_plain_python(spark, k):
+    rng = random.Random(k)
+    base = " ".join(f"w{rng.randrange(60)}" for _ in range(300))
+    words = base.split()
+    texts = {0: base, 1: base, 2: None, 3: "", 4: "a " * 90, 5: "one"}
+    for key in range(6, 60):
+        at = rng.randrange(250)
+        texts[key] = " ".join([f"x{rng.randrange(99)}" for _ in range(rng.randrange(20))] + words[at : at + rng.randrange(60)] + [f"y{rng.randrange(99)}"] * rng.randrange(9))
+    df = frame(spark, list(texts.items()), "doc_id long, text string").select("doc_id", spans.pieces().alias("tokens"))
+    got = {(r.doc_id, r.pos) for r in spans.repeated_windows(df, k, hot_rows=50).collect()}
+    assert got == plain_windows(texts, k)

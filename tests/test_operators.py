@@ -571,18 +571,37 @@ def test_circular_pairs(spark):
 # --- retrieval, layout, tabular ----------------------------------------------
 
 
-def test_knn_many_passes(spark):
-    import numpy as np
-
+@pytest.mark.parametrize("cosine", [True, False])
+def test_knn_in_tiles(spark, cosine):
+    """Many blocks on both sides, norms of very different size, ties, null vectors."""
     rng = np.random.default_rng(0)
-    vectors = rng.normal(size=(60, 8)).astype("float32")
-    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    vectors = (rng.normal(size=(300, 8)) * rng.choice([0.01, 1, 20], (300, 1))).astype("float32")
+    vectors[100:110] = vectors[7]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)] + [(900, None)]
     q, i = frame(spark, rows, "query_id long, vector array<float>"), frame(spark, rows, "item_id long, vector array<float>")
-    out = retrieval.knn(q, i, 4, query_bytes=600)
-    unit = vectors.astype("float64") / np.linalg.norm(vectors.astype("float64"), axis=1, keepdims=True)
-    best = np.argsort(-(unit @ unit.T), axis=1, kind="stable")[:, :4]
+    out = retrieval.knn(q, i, 4, cosine=cosine, query_bytes=600, item_bytes=1500)
+    exact = vectors.astype("float64")
+    if cosine:
+        exact = exact / np.linalg.norm(exact, axis=1, keepdims=True)
+    scores = np.round(exact @ exact.T, 9)
+    best = np.array([np.lexsort((np.arange(300), -row))[:4] for row in scores])
     got = {(r.query_id, r["rank"]): r.item_id for r in out.collect()}
-    assert got == {(a, k + 1): best[a, k] for a in range(60) for k in range(4)}
+    assert got == {(a, k + 1): best[a, k] for a in range(300) for k in range(4)}
+    assert retrieval.knn(q, i.filter("false"), 4, cosine=cosine).count() == 0
+    assert retrieval.knn(q.filter("false"), i, 4, cosine=cosine).count() == 0
+
+
+def test_norms_bound_the_bands(spark):
+    """Queries that find k large items don't meet the small ones."""
+    rows = [(i, [1000.0 if i < 40 else 0.001, float(i % 7)]) for i in range(400)]
+    q, i = frame(spark, [(0, [1.0, 0.0])], "query_id long, vector array<float>"), frame(spark, rows, "item_id long, vector array<float>")
+    met, plain = [], retrieval.tiles
+    try:
+        retrieval.tiles = lambda x, y, *rest: (met.append(x), plain(x, y, *rest))[1]
+        assert [r.item_id for r in retrieval.knn(q, i, 3, cosine=False, item_bytes=200).orderBy("rank").collect()] == [0, 1, 2]
+    finally:
+        retrieval.tiles = plain
+    assert met[0].count() > 0 and met[1].count() < 4
 
 
 def test_chunks_cover_the_text(spark):

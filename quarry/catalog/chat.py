@@ -362,6 +362,27 @@ def _(spark, folder):
     return packing.pack(lengths(spark, folder), 512, "first_fit_decreasing", parts=PARTS)
 
 
+@CATALOG.add(
+    "pack_first_fit_shuffle_check",
+    f"""WITH q AS (SELECT (conv_id % 4)::INTEGER AS shard, {PART}, conv_id AS seq_id, least(sum({token_count_sql()}), 512)::BIGINT AS length
+      FROM conversations GROUP BY conv_id)
+    SELECT shard, part, count(*) AS sequences, sum(length)::BIGINT AS tokens, md5(string_agg(seq_id::VARCHAR, ',' ORDER BY seq_id)) AS ids_md5,
+      0::BIGINT AS too_full, true AS at_most_one_half_full, true AS in_order FROM q GROUP BY ALL""",
+)
+def _(spark, folder):
+    """What holds for any first-fit packing: every sequence once, no bin too full, at most one bin no more than half full."""
+    out = packing.pack(lengths(spark, folder), 512, "first_fit_shuffle", seed=42, parts=PARTS)
+    bins = out.groupBy("shard", "part", "bin_id").agg(
+        F.count("*").alias("n"), F.sum("length").alias("t"), F.collect_list("seq_id").alias("ids"), F.max("pos").alias("last"),
+    )
+    return bins.groupBy("shard", "part").agg(
+        F.sum("n").alias("sequences"), F.sum("t").alias("tokens"),
+        F.md5(F.array_join(F.sort_array(F.flatten(F.collect_list("ids"))).cast("array<string>"), ",")).alias("ids_md5"),
+        F.count_if(F.col("t") > 512).alias("too_full"), (F.count_if(2 * F.col("t") <= 512) <= 1).alias("at_most_one_half_full"),
+        (F.max("bin_id") + 1 == F.count("*")).alias("in_order"),
+    )
+
+
 @CATALOG.add("pack_first_fit_shuffle")
 def _(spark, folder):
     return packing.pack(lengths(spark, folder), 512, "first_fit_shuffle", seed=42, parts=PARTS)

@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from quarry.catalog.base import Catalog, heavy, table, token_count_sql
+from quarry.catalog.base import Catalog, hash_sql, heavy, table, token_count_sql
+from quarry.functions.columns import base_hash, words
 from quarry.functions.text import split_thinking
 from quarry.operators import layout, retrieval, safety, text2sql
+from quarry.plans.once import compute_once
 
 CATALOG = Catalog()
 
@@ -19,31 +21,37 @@ def _(spark, folder):
 VEC = "list_transform(embedding, lambda x: x::DOUBLE)"
 
 
+def rounded(column):
+    """All coordinates, as text with six digits."""
+    return F.array_join(F.transform(column, lambda x: F.round(x * 1_000_000).cast("bigint").cast("string")), ",")
+
+
+def rounded_sql(column):
+    return f"array_to_string(list_transform({column}, lambda x: round(x * 1000000)::BIGINT), ',')"
+
+
 @CATALOG.add(
     "l2_normalize",
     f"""WITH v AS (SELECT vec_id, {VEC} AS v FROM embeddings),
     n AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS n FROM v)
-    SELECT vec_id, round(v[1] / n, 6) AS first, round(v[64] / n, 6) AS last FROM n""",
+    SELECT vec_id, {rounded_sql("list_transform(v, lambda x: x / n)")} AS unit FROM n""",
 )
 def _(spark, folder):
     unit = table(spark, folder, "embeddings").select("vec_id", retrieval.l2_normalize("embedding").alias("u"))
-    return unit.select(
-        "vec_id", F.round(F.get("u", F.lit(0)), 6).alias("first"), F.round(F.get("u", F.lit(63)), 6).alias("last")
-    )
+    return unit.select("vec_id", rounded("u").alias("unit"))
 
 
 @CATALOG.add(
     "mean_pool",
     f"""WITH v AS (SELECT vec_id, {VEC} AS v FROM embeddings)
-    SELECT vec_id, round((v[1] + v[17] + v[33] + v[49]) / 4, 6) AS first, round((v[8] + v[24] + v[40] + v[56]) / 4, 6) AS last FROM v""",
+    SELECT vec_id, {rounded_sql("list_transform(range(1, 9), lambda j: (v[j] + v[16 + j] + v[32 + j] + v[48 + j]) / 4)")} AS pooled FROM v""",
 )
 def _(spark, folder):
     """Each embedding as eight token vectors of eight numbers; every second token is masked out."""
     tokens = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice("embedding", i * 8 + 1, 8).cast("array<double>"))
     mask = F.array(*[F.lit(1 - i % 2) for i in range(8)])
     df = table(spark, folder, "embeddings").select("vec_id", tokens.alias("t"), mask.alias("m"))
-    out = df.withColumn("p", retrieval.mean_pool("t", "m"))
-    return out.select("vec_id", F.round(F.get("p", F.lit(0)), 6).alias("first"), F.round(F.get("p", F.lit(7)), 6).alias("last"))
+    return df.select("vec_id", rounded(retrieval.mean_pool("t", "m")).alias("pooled"))
 
 
 def vectors(spark, folder, id):
@@ -76,7 +84,13 @@ def _(spark, folder):
     return out.select("query_id", "item_id", F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("score"))
 
 
-RERANK = f"""{near_sql(COSINE, 6).replace("FROM embeddings)", "FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents))")},
+# Every document gets a vector of its text: one more than its number of words per class of hashes.
+CLASSES = 16
+TEXT_VECTOR = (
+    f"(SELECT doc_id AS vec_id, list_transform(range({CLASSES}), lambda j: (1 + len(list_filter(h, lambda x: x = j)))::DOUBLE) AS embedding FROM ("
+    f"SELECT doc_id, list_transform(regexp_extract_all(lower(text), '[A-Za-z0-9_À-ÿ]+'), lambda w: {hash_sql('w')} % {CLASSES}) AS h FROM documents))"
+)
+RERANK = f"""{near_sql(COSINE, 6).replace("FROM embeddings)", f"FROM {TEXT_VECTOR})")},
 w AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '[A-Za-z0-9_À-ÿ]+')) AS w FROM documents),
 sc AS (SELECT query_id, item_id, CASE WHEN len(a.w) > 0 THEN len(list_intersect(a.w, b.w))::DOUBLE / len(a.w) ELSE 0 END AS s
        FROM near JOIN w a ON a.doc_id = query_id JOIN w b ON b.doc_id = item_id),
@@ -85,9 +99,12 @@ best AS (SELECT query_id, item_id, s, row_number() OVER (PARTITION BY query_id O
 
 
 def texts(spark, folder, id):
-    """Embeddings with the document of the same number as their text."""
-    docs = table(spark, folder, "documents").select(F.col("doc_id").alias(id), "text", "lang")
-    return vectors(spark, folder, id).join(docs, id)
+    """All documents with a vector of their text."""
+    docs = heavy(spark, folder).select(F.col("doc_id").alias(id), "text", "lang")
+    classes = F.transform(words(F.lower("text")), lambda w: base_hash(w) % CLASSES)
+    count = lambda j: 1 + F.size(F.filter("_h", lambda x: x == j))
+    vector = F.array(*[count(j).cast("float") for j in range(CLASSES)])
+    return compute_once(docs, _h=classes).withColumn("vector", vector).drop("_h")
 
 
 def reranked(spark, folder):

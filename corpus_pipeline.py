@@ -11,7 +11,7 @@ from quarry.llm.common import stored
 
 
 def language(spark, docs, sf_dir):
-    """Drop documents without letters."""
+    """Drop documents in no learned language: no letters, or explained worse than by a background model."""
     model = language_id.train(docs)
     return language_id.keep_known_languages(docs, model)
 

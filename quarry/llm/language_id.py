@@ -8,21 +8,24 @@ a text is the product over its words. A character that no piece spells costs `UN
 
 Probabilities are learned by expectation maximisation from a bounded sample of labelled rows
 (`SAMPLE_ROWS` per language, chosen by a hash of the id): the expected uses of pieces come
-from the forward-backward algorithm. The counts are summed by Spark; the model has at most
-languages x pieces numbers, and it travels inside the tasks.
+from the forward-backward algorithm. A language is a group of its own, so languages train in
+parallel, and only the pieces that a language uses come to the driver. The number of languages
+has no limit of its own; a model of more than `MOST_NUMBERS` numbers is refused.
 
 Scoring is row-local: no shuffle. A task scores each distinct word of a batch once, all words
-together, position by position.
+together, position by position, for a block of at most `BLOCK_LANGUAGES` languages at a time.
 """
 
+import math
 import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window, functions as F
 
-from quarry.llm.common import free_name, stored
+from quarry.llm.common import broadcast_up_to, free_name, stored
 from quarry.llm.pieces import MARK, VOCABULARY, vocabulary
+from quarry.plans.checkpoints import drop_stored
 
 SAMPLE_ROWS = 1000
 ROUNDS = 3
@@ -30,7 +33,10 @@ WORD_CHARS = 40
 UNKNOWN = 1e-7
 SMOOTHING = 0.1
 BLOCK_WORDS = 8192
-MAX_LANGUAGES = 1000
+BLOCK_LANGUAGES = 64
+MOST_NUMBERS = 20_000_000
+CACHED_WORDS = 300_000
+BROADCAST_ROWS = 100_000
 LETTERS = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
 
@@ -125,8 +131,9 @@ def word_scores(words, lattice, probabilities):
     """log P(word) per language: [word, language]."""
     out = np.empty((len(words), probabilities.shape[1]))
     order = sorted(range(len(words)), key=lambda i: len(words[i]))
-    for at in range(0, len(words), BLOCK_WORDS):
-        block = order[at : at + BLOCK_WORDS]
+    step = max(1, 4 * BLOCK_WORDS // max(probabilities.shape[1], 4))
+    for at in range(0, len(words), step):
+        block = order[at : at + step]
         lengths, edges = lattice.edges([words[i] for i in block])
         alpha = forward(lengths, edges, probabilities)
         out[block] = np.log(alpha[lengths, np.arange(len(block))])
@@ -169,17 +176,12 @@ def sample_per_language(rows, most):
 
     The share of each language is cut by a hash bound first, so that ranking sees few rows.
     """
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    bounds = {r["lang"]: min(1.0, 1.5 * most / r["n"]) for r in counts.limit(MAX_LANGUAGES + 1).collect()}
-    if len(bounds) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} values of lang")
-    if not bounds:
-        return rows.select("lang", "text"), []
-    share = F.create_map(*[F.lit(x) for item in bounds.items() for x in item])
+    counts = rows.groupBy("lang").agg(F.count("*").alias("_rows"))
+    counted = rows.join(broadcast_up_to(counts, BROADCAST_ROWS), "lang")
     number = F.xxhash64(F.col("doc_id").cast("string"))
-    near = rows.filter(F.pmod(number, F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30))
+    near = counted.filter(F.pmod(number, F.lit(1 << 30)) < 1.5 * most / F.col("_rows") * (1 << 30))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(number, F.lit(1 << 30)), number, "text"))
-    return near.withColumn("rank", rank).filter(F.col("rank") <= most).select("lang", "text"), sorted(bounds)
+    return near.withColumn("rank", rank).filter(F.col("rank") <= most).select("lang", "text")
 
 
 def count_words(sample):
@@ -206,15 +208,15 @@ def starting_probabilities(pieces):
     return start / start.sum()
 
 
-class Model:
-    """Languages, and the probabilities of the pieces that training used (others are unknown)."""
+class Block:
+    """Some languages: the pieces that they use and their probabilities [piece, language]."""
 
-    def __init__(self, languages, pieces, probabilities):
-        self.languages, self.pieces, self.probabilities = languages, pieces, probabilities
+    def __init__(self, pieces, probabilities):
+        self.pieces, self.probabilities = pieces, probabilities
         self.trie = None
 
     def __getstate__(self):
-        return (self.languages, self.pieces, self.probabilities)
+        return (self.pieces, self.probabilities)
 
     def __setstate__(self, state):
         self.__init__(*state)
@@ -225,26 +227,32 @@ class Model:
         return self.trie
 
 
-def expectation_step(words, languages, probabilities, path):
-    """{(language, piece number): expected uses}, summed by Spark from the word counts."""
-    place = {lang: k for k, lang in enumerate(languages)}
+class Model:
+    """Languages by name, in blocks, and the number of letters of their pieces."""
 
-    def run(batches):
+    def __init__(self, languages, blocks):
+        self.languages, self.blocks = languages, blocks
+        self.letters = len({c for b in blocks for p in b.pieces for c in p})
+
+
+def piece_uses(words, rounds, path):
+    """(lang, piece number, uses) after `rounds` of expectation maximisation, one group per language.
+
+    A group holds the distinct words of at most `SAMPLE_ROWS` texts.
+    """
+
+    def run(table):
         lattice = full_lattice(path)
-        for batch in batches:
-            langs = np.array([place[x] for x in batch.column("lang").to_pylist()], np.int64)
-            texts, weights = batch.column("word").to_pylist(), batch.column("n").to_numpy().astype(float)
-            for k in np.unique(langs):
-                rows = np.flatnonzero(langs == k)
-                uses = expected_uses([texts[i] for i in rows], weights[rows], lattice, probabilities[:, k : k + 1])
-                used = np.flatnonzero(uses > 1e-9)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(used), k, np.int64)), pa.array(used, pa.int64()), pa.array(uses[used])],
-                    names=["language", "piece", "uses"],
-                )
+        texts, weights = table["word"].to_pylist(), table["n"].to_numpy().astype(float)
+        probabilities = starting_probabilities(lattice.pieces)[:, None]
+        for _ in range(rounds):
+            uses = expected_uses(texts, weights, lattice, probabilities)
+            probabilities = ((uses + 1e-12) / (uses + 1e-12).sum())[:, None]
+        used = np.flatnonzero(uses > 1e-3)
+        lang = pa.array([table["lang"][0].as_py()] * len(used), pa.string())
+        return pa.table([lang, pa.array(used, pa.int64()), pa.array(uses[used])], names=["lang", "piece", "uses"])
 
-    counts = words.mapInArrow(run, "language long, piece long, uses double")
-    return counts.groupBy("language", "piece").agg(F.sum("uses").alias("uses")).collect()
+    return words.groupBy("lang").applyInArrow(run, "lang string, piece long, uses double")
 
 
 _LATTICES = {}
@@ -258,29 +266,31 @@ def full_lattice(path):
 
 def train(docs, sample_rows=SAMPLE_ROWS, rounds=ROUNDS, path=VOCABULARY):
     """The model of all languages that label training rows of (doc_id, text, lang)."""
-    sample, languages = sample_per_language(training_rows(docs), sample_rows)
-    if not languages:
-        return Model([], [], np.zeros((0, 0)))
-    pieces = list(vocabulary(path).ids)
-    words = stored(count_words(sample).repartition("lang", "word"))
-    probabilities = np.repeat(starting_probabilities(pieces)[:, None], len(languages), axis=1)
-    for _ in range(rounds):
-        uses = np.zeros_like(probabilities)
-        for row in sorted(expectation_step(words, languages, probabilities, path)):
-            uses[row["piece"], row["language"]] = row["uses"]
-        probabilities = (uses + 1e-12) / (uses + 1e-12).sum(axis=0)
-    used = np.flatnonzero((uses > 1e-3).any(axis=1))
-    smooth = uses[used] + SMOOTHING
-    return Model(languages, [pieces[i] for i in used], smooth / smooth.sum(axis=0))
-
-
-def score_texts(texts, model, cache):
-    """(language, score) per text; `cache` maps words that were scored before to their row."""
-    lists = [marked_words(t) if t else [] for t in texts]
+    sample = sample_per_language(training_rows(docs), sample_rows)
+    uses = stored(piece_uses(count_words(sample), rounds, path))
+    if uses.count() > MOST_NUMBERS:
+        raise ValueError(f"the model has more than {MOST_NUMBERS} numbers")
+    found = uses.orderBy("lang", "piece").toArrow()
+    drop_stored(uses)
+    names, pieces = found["lang"].to_numpy(), list(vocabulary(path).ids)
+    languages, place = np.unique(names.astype(str), return_inverse=True)
+    numbers, weights = found["piece"].to_numpy(), found["uses"].to_numpy()
+    blocks = []
+    for first in range(0, len(languages), BLOCK_LANGUAGES):
+        mine = (place >= first) & (place < first + BLOCK_LANGUAGES)
+        used, row = np.unique(numbers[mine], return_inverse=True)
+        dense = np.full((len(used), min(BLOCK_LANGUAGES, len(languages) - first)), SMOOTHING)
+        dense[row, place[mine] - first] += weights[mine]
+        blocks.append(Block([pieces[i] for i in used], dense / dense.sum(axis=0)))
+    return Model(languages.tolist(), blocks)
+
+
+def block_totals(lists, block, cache):
+    """log P of every list of words: [text, language]; `cache` maps words that were scored before to their row."""
     fresh = sorted({w for words in lists for w in words} - cache["place"].keys())
     if fresh:
-        scores = word_scores(fresh, model.lattice(), model.probabilities)
-        if len(cache["place"]) > 300_000:  # the cache only saves time
+        scores = word_scores(fresh, block.lattice(), block.probabilities)
+        if len(cache["place"]) > CACHED_WORDS:  # the cache only saves time
             known = sorted({w for words in lists for w in words} & cache["place"].keys())
             cache["rows"] = cache["rows"][[cache["place"][w] for w in known]]
             cache["place"] = {w: k for k, w in enumerate(known)}
@@ -288,51 +298,77 @@ def score_texts(texts, model, cache):
         cache["place"].update({w: first + k for k, w in enumerate(fresh)})
         cache["rows"] = np.concatenate([cache["rows"], scores])
     place, rows = cache["place"].__getitem__, cache["rows"]
-    for words in lists:
-        if not words or not model.languages:
-            yield UNDETERMINED, 0.0
+    out = np.zeros((len(lists), rows.shape[1]))
+    for k, words in enumerate(lists):
+        if words:
+            out[k] = rows[np.fromiter(map(place, words), np.int64, len(words))].sum(axis=0)
+    return out
+
+
+def new_cache(block):
+    return {"place": {}, "rows": np.zeros((0, block.probabilities.shape[1]))}
+
+
+def score_texts(texts, model, caches=None):
+    """(language, score, evidence) per text; `caches` keeps scored words of a model with one block.
+
+    The evidence is the mean over the characters of what the best language's log probability
+    is above that of a background model, in which all letters of the model's pieces are alike.
+    """
+    lists = [marked_words(t) if t else [] for t in texts]
+    keep = caches is not None and len(model.blocks) == 1
+    if keep and not caches:
+        caches.append(new_cache(model.blocks[0]))
+    parts = [block_totals(lists, b, caches[0] if keep else new_cache(b)) for b in model.blocks]
+    totals = np.concatenate(parts, axis=1) if parts else None
+    for k, words in enumerate(lists):
+        if not words or totals is None:
+            yield UNDETERMINED, 0.0, None
             continue
-        total = rows[np.fromiter(map(place, words), np.int64, len(words))].sum(axis=0)
+        total = totals[k]
         best = int(total.argmax())
-        yield model.languages[best], float(1 / np.exp(total - total[best]).sum())
+        evidence = total[best] / sum(map(len, words)) + math.log(model.letters)
+        yield model.languages[best], float(1 / np.exp(total - total[best]).sum()), float(evidence)
 
 
 def identify(docs, model, text="text", out=("lang_pred", "score")):
-    """`docs` with the columns `out`: the predicted language and its score, row by row.
+    """`docs` with the columns `out`: the predicted language, its score and, if named, its evidence, row by row.
 
     The score is the posterior of the predicted language under equal priors, 0 to 1. A text
-    without a letter, or null, gets 'und' with score 0, as does every text if the model knows no
-    language. Ties go to the language that comes first by name. Input columns with these two
-    names are replaced.
+    without a letter, or null, gets 'und' with score 0 and no evidence, as does every text if the
+    model knows no language. Ties go to the language that comes first by name. Input columns with
+    these names are replaced.
     """
     kept = [c for c in docs.columns if c not in out]
     docs = docs.select(*kept)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    kinds = [pa.string(), pa.float64(), pa.float64()][: len(out)]
 
     def run(batches):
-        cache = {"place": {}, "rows": np.zeros((0, len(model.languages)))}
+        caches = []
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                found = list(score_texts(part.column(text).to_pylist(), model, cache))
-                columns = [*part.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+                found = list(score_texts(part.column(text).to_pylist(), model, caches))
+                columns = [*part.columns, *[pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)]]
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *out])
 
-    return docs.mapInArrow(run, f"{fields}, `{out[0]}` string, `{out[1]}` double")
+    added = ", ".join(f"`{name}` {kind}" for name, kind in zip(out, ("string", "double", "double")))
+    return docs.mapInArrow(run, f"{fields}, {added}")
 
 
-def keep_known_languages(docs, model, languages=None, least_score=0.0, text="text"):
-    """The rows of `docs` whose text has a language of `languages` with a score of at least `least_score`.
+def keep_known_languages(docs, model, languages=None, least_evidence=0.0, text="text"):
+    """The rows of `docs` whose text is in one of `languages` (all that the model knows, if not given).
 
-    Texts without letters are rejected; without `languages` and `least_score` no others are,
-    also if the model knows no language. The score is a posterior among the learned languages:
-    it is low for short texts and near 1 for long ones of any kind, so it doesn't tell clean from
-    foreign texts.
+    A text without letters is rejected, and so is one that its best language explains worse than
+    the background model does, per character by less than `least_evidence` nats: it is in no
+    language that was learned. Unlike the score, this does not depend on the text's length, so
+    short clean texts stay. If the model knows no language, all texts with letters stay.
     """
-    if not languages and not model.languages:
+    if not model.languages:
         return docs.filter(F.udf(lambda t: bool(t and marked_words(t)), "boolean")(F.col(text)))
-    wanted = list(languages or model.languages)
-    lang, score = free_name(docs, "lang_pred"), free_name(docs, "score")
-    scored = identify(docs, model, text, (lang, score))
-    found = scored.filter(F.col(lang).isin(*wanted) & (F.col(score) >= least_score))
+    names = [free_name(docs, c) for c in ("lang_pred", "score", "evidence")]
+    found = identify(docs, model, text, names).filter(F.col(names[2]) >= least_evidence)
+    if languages:
+        found = found.filter(F.col(names[0]).isin(*languages))
     return found.select(*docs.columns)

@@ -186,6 +186,61 @@ def test_short_texts_and_unlabelled_rows_are_kept(spark):
     assert sorted(r["doc_id"] for r in li.keep_known_languages(bare, li.train(bare)).collect()) == want
 
 
+def test_expected_uses_against_all_segmentations():
+    rng = np.random.default_rng(3)
+    pieces = ["▁", "a", "b", "c", "ab", "bc", "▁a", "abc", "aa"]
+    chances = rng.random((len(pieces), 1)) / 4
+    place = {p: k for k, p in enumerate(pieces)}
+
+    def segmentations(word):
+        if not word:
+            yield 1.0, []
+        for k in range(1, len(word) + 1):
+            number = place.get(word[:k])
+            own = [(chances[number, 0], [number])] if number is not None else []
+            if k == 1:
+                own.append((li.UNKNOWN, []))
+            for p, used in own:
+                for q, rest in segmentations(word[k:]):
+                    yield p * q, used + rest
+
+    words, weights = ["▁abc", "▁aab", "▁xab", "▁"], np.array([1.0, 2.5, 3.0, 1.0])
+    want = np.zeros(len(pieces))
+    for word, weight in zip(words, weights):
+        found = list(segmentations(word))
+        total = sum(p for p, _ in found)
+        for p, used in found:
+            for number in used:
+                want[number] += weight * p / total
+    assert np.allclose(li.expected_uses(words, weights, li.Lattice(pieces), chances), want)
+
+
+def test_texts_in_no_learned_language_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = li.train(docs)
+    odd = ["xqzv kjwq zzxv qpqp wvxk jjqz", "Hyvää huomenta kaikille ystäville", "こんにちは世界", "dgfhjk sdfgh " * 400, "Kuantum mekaniği parçacıkların davranışını açıklar"]
+    clean = ["no", "A.", "la casa", "the the"]
+    rows = [(-1 - k, t, None) for k, t in enumerate(odd)] + [(-100 - k, t, None) for k, t in enumerate(clean)]
+    kept = {r["doc_id"] for r in li.keep_known_languages(docs.unionByName(spark.createDataFrame(rows, docs.schema)), model).collect()}
+    lettered = {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")}
+    assert kept == lettered | {-100 - k for k in range(len(clean))}
+
+
+def test_thousands_of_languages(spark):
+    """More languages than fit one block; each has a word of its own."""
+    letters = "bcdfghjklmnpqrstvwxz"
+    name = lambda k: "".join(letters[k // 20**j % 20] for j in range(3))
+    rows = [(3 * k + j, f"{name(k)}a {name(k)}o {name(k)}a", f"x{k:04d}") for k in range(3500) for j in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "1 AS n", "'w' AS word", "2 AS rank")
+    model = li.train(docs)
+    known = set(model.languages)
+    assert len(known) > 3000 and len(model.blocks) == -(-len(known) // li.BLOCK_LANGUAGES)
+    some = docs.filter("doc_id % 333 = 0")
+    got = li.identify(some, model).collect()
+    assert got and np.mean([r["lang_pred"] == r["lang"] for r in got if r["lang"] in known]) > 0.9
+    assert li.keep_known_languages(some, model).columns == docs.columns
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(st.characters(exclude_categories=["Cs"]) | st.sampled_from(" ▁\n\tab"), max_size=40), max_size=6))
 def test_pieces_round_trip(texts):

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from quarry.catalog.base import Catalog, table
-from quarry.operators import tabular as tab
+from quarry.operators import search, tabular as tab
+from quarry.plans.checkpoints import cut_lineage
 
 CATALOG = Catalog()
 
@@ -139,14 +140,56 @@ def _(spark, folder):
     return rows
 
 
+FOLDS = """f AS (SELECT c_custkey, c_mktsegment, c_nationkey, c_acctbal,
+  ((row_number() OVER (PARTITION BY c_mktsegment ORDER BY md5('42:' || c_custkey), c_custkey) - 1) % 3)::INTEGER AS fold FROM customer)"""
+
+
+@CATALOG.add("stratified_folds", f"WITH {FOLDS} SELECT c_custkey, c_mktsegment, fold FROM f")
+def _(spark, folder):
+    return search.with_folds(table(spark, folder, "customer").select("c_custkey", "c_mktsegment"), 3, 42, "c_custkey", "c_mktsegment")
+
+
+STRENGTHS = [0.0, 10.0, 100.0, 1000.0]
+
+
+@CATALOG.add(
+    "search_shrinkage",
+    f"""WITH {FOLDS}, s AS (SELECT unnest({STRENGTHS}) AS strength), k AS (SELECT unnest(range(3)) AS fold),
+    n AS (SELECT k.fold, c_nationkey, sum(c_acctbal)::DOUBLE AS t, count(*) AS n FROM k JOIN f ON f.fold <> k.fold GROUP BY ALL),
+    g AS (SELECT k.fold, avg(c_acctbal) AS m FROM k JOIN f ON f.fold <> k.fold GROUP BY ALL),
+    e AS (SELECT strength, f.fold, -avg(power(c_acctbal - coalesce((t + strength * m) / nullif(n + strength, 0), m), 2)) AS v
+          FROM f JOIN g USING (fold) LEFT JOIN n USING (fold, c_nationkey), s GROUP BY ALL),
+    c AS (SELECT strength, avg(v) AS v FROM e GROUP BY ALL)
+    SELECT strength, round(v, 4) AS score, (SELECT count(*) FROM f WHERE fold = 0) AS first_fold FROM c ORDER BY v DESC LIMIT 1""",
+)
+def _(spark, folder):
+    """How far a nation's mean balance is drawn to that of all, chosen by cross-validation; the score is minus the squared error."""
+    rows = cut_lineage(search.with_folds(table(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_nationkey", F.col("c_acctbal").cast("double").alias("y")), 3, 42, "c_custkey", "c_mktsegment"))
+
+    def fit(train, params):
+        mean = train.agg(F.avg("y")).first()[0]
+        sums = train.groupBy("c_nationkey").agg(F.sum("y").alias("t"), F.count("*").alias("n"))
+        return mean, sums.select("c_nationkey", F.try_divide(F.col("t") + params["strength"] * mean, F.col("n") + params["strength"]).alias("guess"))
+
+    def score(model, test):
+        mean, guesses = model
+        error = F.col("y") - F.coalesce("guess", F.lit(mean))
+        return -test.join(guesses, "c_nationkey", "left").agg(F.avg(error * error)).first()[0]
+
+    best, trials = search.cross_validated_search(rows, fit, score, {"strength": STRENGTHS}, trials=12, startup=8)
+    value = max(t.value for t in trials if not t.pruned)
+    found = rows.filter("fold = 0").agg(F.count("*").alias("first_fold"))
+    return found.select(F.lit(best["strength"]).alias("strength"), F.round(F.lit(value), 4).alias("score"), "first_fold")
+
+
 @CATALOG.add("tune_and_predict")
 def _(spark, folder):
-    """Random search over a logistic regression, then class probabilities for the test rows."""
+    """Model-based search over a logistic regression, then class probabilities for the test rows."""
     train, test = parts(spark, folder)
     prepared = tab.Pipeline(stages=tab.features(["c_acctbal", "c_nationkey"], [], "c_mktsegment", True)).fit(train)
-    model = tab.tune(
-        prepared.transform(train), tab.LogisticRegression(maxIter=100),
-        {"regParam": (1e-3, 1.0), "elasticNetParam": [0.0, 0.5, 1.0]}, trials=5,
+    rows = prepared.transform(train).select("c_custkey", "c_mktsegment", "features", "label")
+    model, _ = tab.tune(
+        rows, tab.LogisticRegression(maxIter=100), {"regParam": (1e-3, 1.0), "elasticNetParam": [0.0, 0.5, 1.0]}, "c_custkey", "c_mktsegment", trials=5,
     )
     classes = prepared.stages[-1].labels
     return tab.predict(model, prepared.transform(test), classes, keep=["c_custkey"])

@@ -1,16 +1,14 @@
 """Tabular modelling: profile, preparation, training, scoring, experiment log."""
 
-import random
-
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
+from quarry.operators.search import LinearSVR, cross_validated_search, with_folds
 from quarry.plans.checkpoints import cut_lineage
 from quarry.plans.prefix import first_reaching, hash_rank
 from quarry.plans.skew import join_groups
@@ -190,7 +188,7 @@ def regressors(rows):
     return {
         "ridge_regression": LinearRegression(elasticNetParam=0.0, regParam=1 / max(rows, 1)),
         "random_forest": RandomForestRegressor(numTrees=100, maxDepth=10, seed=42),
-        "huber_regression": LinearRegression(loss="huber", maxIter=100),
+        "linear_svr": LinearSVR(),
     }
 
 
@@ -259,29 +257,26 @@ def regression_metrics(df, prediction, label):
     )
 
 
-def tune(train, estimator, ranges, trials=5, folds=3, seed=42, metric=None, classify=True, parallelism=4):
-    """Random search with cross-validation; returns the refitted best model.
+def tune(train, estimator, ranges, key, stratify, trials=5, folds=3, seed=42, metric=None, classify=True):
+    """Model-based search with stratified cross-validation: (best model refitted on all rows, trials).
 
-    `ranges`: parameter -> (low, high) sampled log-uniformly, or a list to choose from.
+    `ranges`: parameter -> (low, high) on a logarithmic scale, (low, high, "int"), or a list to
+    choose from. Folds deal the rows of every class of `stratify` in a seeded order of `key`.
     """
-    rng = random.Random(seed)
-
-    def draw(choice):
-        if isinstance(choice, list):
-            return rng.choice(choice)
-        low, high = choice
-        return low * (high / low) ** rng.random()
-
-    grid = [{estimator.getParam(p): draw(c) for p, c in ranges.items()} for _ in range(trials)]
     evaluator = (
-        MulticlassClassificationEvaluator(metricName=metric or "accuracy")
+        MulticlassClassificationEvaluator(metricName=metric or "weightedFMeasure")
         if classify
         else RegressionEvaluator(metricName=metric or "r2")
     )
-    search = CrossValidator(
-        estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, seed=seed, parallelism=parallelism
-    )
-    return search.fit(train)
+    dealt = cut_lineage(with_folds(train, folds, seed, key, stratify))
+    # As for the models above, fits work in a session of their own.
+    dealt = train.sparkSession.newSession().read.schema(dealt.schema).parquet(dealt.stored_path)
+
+    def fit(rows, params):
+        return estimator.copy({estimator.getParam(p): v for p, v in params.items()}).fit(rows)
+
+    best, done = cross_validated_search(dealt, fit, lambda model, rows: evaluator.evaluate(model.transform(rows)), ranges, folds, trials, seed)
+    return fit(dealt, best), done
 
 
 def predict(model, df, classes=None, keep=()):

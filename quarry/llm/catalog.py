@@ -90,14 +90,24 @@ parts AS (SELECT r, s, k, array_to_string(w[s : s + k - 1], ' ') AS t
   FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, (SELECT DISTINCT k FROM windows))),
 hits AS (SELECT r, s, k, item_id FROM parts JOIN windows USING (k, t)),
 n AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + k)) AS p FROM hits) GROUP BY r),
-i AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r)
+i AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r),
+o AS (SELECT r, unnest(w) AS t, unnest(range(len(w))) AS p FROM d),
+c AS (SELECT t, count(*) AS n FROM o GROUP BY t),
+rare AS (SELECT item_id, w, t, count(*) OVER (PARTITION BY item_id, w) AS need, min(n) OVER (PARTITION BY item_id, w) AS least FROM (
+  SELECT item_id, w, t, coalesce(n, 0) AS n FROM (SELECT DISTINCT item_id, w, unnest(w) AS t FROM b) LEFT JOIN c USING (t)
+  QUALIFY row_number() OVER (PARTITION BY item_id, w ORDER BY coalesce(n, 0), t) <= 3)),
+spots AS (SELECT r, p, t, item_id, w, need FROM o JOIN rare USING (t) WHERE least > 0),
+close AS (SELECT x.r, x.p, x.item_id, x.w FROM spots x JOIN spots y ON x.r = y.r AND x.item_id = y.item_id AND x.w = y.w AND y.p BETWEEN x.p AND x.p + 19
+  GROUP BY x.r, x.p, x.item_id, x.w, x.need HAVING count(DISTINCT y.t) >= x.need),
+near AS (SELECT r, count(DISTINCT item_id) AS n_near_items FROM close GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
-FROM d LEFT JOIN n USING (r) LEFT JOIN i USING (r)
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated,
+  coalesce(n_near_items, 0)::BIGINT AS n_near_items
+FROM d LEFT JOIN n USING (r) LEFT JOIN i USING (r) LEFT JOIN near USING (r)
 """,
 )
 def _(spark, folder):
-    report = decontamination.contamination_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    report = decontamination.contamination_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"), near_span=20)
     return report.drop("text_key")
 
 

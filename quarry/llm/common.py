@@ -61,9 +61,30 @@ def attach(members, groups, keys, spread, size="n"):
     return marked.join(copies, match, "left").drop("_slice", "_copy", *[f"_group_{k}" for k in keys])
 
 
+BROADCAST_BYTES = 128 << 20
+
+
+def row_bytes(df):
+    """About how many bytes a row takes, a column."""
+    total = F.lit(0).cast("bigint")
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            size = F.octet_length(c)
+        elif kind == "array<string>":
+            size = F.octet_length(F.array_join(c, "        "))
+        elif kind.startswith("array"):
+            size = F.size(c) * 8 * max(1, kind.count(":"))
+        else:
+            size = F.lit(8)
+        total = total + F.coalesce(size.cast("bigint"), F.lit(0))
+    return total
+
+
 def broadcast_up_to(df, rows):
-    """`df` marked for broadcast if it has at most `rows` rows (counted), else as it is."""
-    return F.broadcast(df) if df.count() <= rows else df
+    """`df` marked for broadcast if it has at most `rows` rows and `BROADCAST_BYTES` bytes (both counted), else as it is."""
+    found = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if found["n"] <= rows and found["bytes"] <= BROADCAST_BYTES else df
 
 
 class Scratch:

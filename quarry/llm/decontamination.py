@@ -11,10 +11,10 @@
    Only the rarest terms of windows are expanded, never the lists of frequent words.
 4. `verify_phrases` compares the words of candidate documents exactly, on whole texts.
 
-`proximity_matches` uses the same index for items whose rarest terms stand close together.
-All steps are built-in DataFrame functions. Tables that grow with the benchmark (terms,
-anchors, items) are broadcast only after a count of at most `BROADCAST_ROWS`; above that the
-joins shuffle.
+`proximity_matches` uses the same index for items whose rarest terms stand close together;
+the report counts them if asked for a span. All steps are built-in DataFrame functions. Tables
+that grow with the benchmark (terms, anchors, items) are broadcast only after their rows
+(`BROADCAST_ROWS`) and bytes have been counted; above that the joins shuffle.
 """
 
 from pyspark.sql import Window, functions as F
@@ -125,9 +125,11 @@ def verify_phrases(docs, items, candidates, window=WINDOW, doc_id="doc_id", text
     return matched.select("doc_id", "text_key", "item_id", F.array_distinct(spread).alias("hit_words"))
 
 
-def contamination_report(docs, benchmark, window=WINDOW, share=20, doc_id="doc_id", text="text", item_id="item_id"):
+def contamination_report(docs, benchmark, window=WINDOW, share=20, doc_id="doc_id", text="text", item_id="item_id", near_span=None):
     """One row per document: (doc_id, text_key, n_words, n_hit, n_items, items_sha256, contaminated).
 
+    With `near_span` also n_near_items: how many items have their rarest terms within so many words.
+
     A document is contaminated if at least one word in `share` is hit. Null and wordless texts
     have no words and are clean; items without words match nothing; an empty benchmark leaves
     every document clean. Repeated rows each get their row. Rows with the same id but other
@@ -135,7 +137,8 @@ def contamination_report(docs, benchmark, window=WINDOW, share=20, doc_id="doc_i
     """
     items = stored(prepare_items(benchmark, item_id, text))
     index = build_index(docs, items, doc_id, text)
-    anchors = stored(anchor_terms(items, term_counts(index), window))
+    counts = stored(term_counts(index))
+    anchors = stored(anchor_terms(items, counts, window))
     candidates = stored(phrase_candidates(index, anchors))
     phrases = verify_phrases(docs, items, candidates, window, doc_id, text)
     hits = phrases.groupBy("doc_id", "text_key").agg(
@@ -147,8 +150,13 @@ def contamination_report(docs, benchmark, window=WINDOW, share=20, doc_id="doc_i
         ends["doc_id"], ends["text_key"], "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
+    extra = []
+    if near_span:
+        near = stored(proximity_matches(index, items, counts, near_span).groupBy("doc_id", "text_key").agg(F.count_distinct("item_id").alias("n_near_items")))
+        joined = joined.join(near, same_document(joined, near), "left").drop(near["doc_id"], near["text_key"])
+        extra = [F.coalesce("n_near_items", F.lit(0).cast("bigint")).alias("n_near_items")]
     return joined.select(
-        "doc_id", "text_key", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        "doc_id", "text_key", "n_words", "n_hit", *extra, F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )

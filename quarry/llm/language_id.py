@@ -35,7 +35,7 @@ SMOOTHING = 0.1
 BLOCK_WORDS = 8192
 BLOCK_LANGUAGES = 64
 MOST_NUMBERS = 20_000_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 BROADCAST_ROWS = 100_000
 LETTERS = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -241,8 +241,12 @@ def piece_uses(words, rounds, path):
     A group holds the distinct words of at most `SAMPLE_ROWS` texts.
     """
 
+    lattices = []  # one per task, which must not outlive it in a reused worker
+
     def run(table):
-        lattice = full_lattice(path)
+        if not lattices:
+            lattices.append(Lattice(list(vocabulary(path).ids)))
+        lattice = lattices[0]
         texts, weights = table["word"].to_pylist(), table["n"].to_numpy().astype(float)
         probabilities = starting_probabilities(lattice.pieces)[:, None]
         for _ in range(rounds):
@@ -255,15 +259,6 @@ def piece_uses(words, rounds, path):
     return words.groupBy("lang").applyInArrow(run, "lang string, piece long, uses double")
 
 
-_LATTICES = {}
-
-
-def full_lattice(path):
-    if path not in _LATTICES:
-        _LATTICES[path] = Lattice(list(vocabulary(path).ids))
-    return _LATTICES[path]
-
-
 def train(docs, sample_rows=SAMPLE_ROWS, rounds=ROUNDS, path=VOCABULARY):
     """The model of all languages that label training rows of (doc_id, text, lang)."""
     sample = sample_per_language(training_rows(docs), sample_rows)

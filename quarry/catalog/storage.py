@@ -5,8 +5,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from quarry.catalog.base import Catalog, heavy, table, token_count_sql
-from quarry.catalog.chat import PACKED, digest, packed
+from quarry.catalog.chat import PACKED, digest, digest_sql, packed
 from quarry.catalog.curation import BINS, BUCKET, SCORES, scored, scored_sql
+from quarry.catalog.tokens import IDS, coded
 from quarry.functions.columns import token_count
 from quarry.operators import custom, quality, sharding, tokens
 from quarry.plans.checkpoints import shared_folder
@@ -107,6 +108,18 @@ def _(spark, folder):
     return files("idx").agg(F.sum(number).alias("sequences")).select("sequences", sizes.scalar().alias("tokens"))
 
 
+@CATALOG.add(
+    "token_index_round_trip",
+    f"SELECT len(ids) AS n, {digest_sql('ids')} AS ids_md5 FROM (SELECT {IDS} AS ids FROM documents) WHERE len(ids) > 0",
+)
+def _(spark, folder):
+    """All ids of every written sequence, found again by the pointers of the index."""
+    path = folder_for(spark)
+    writers.write_token_index(coded(spark, folder), path)
+    found = writers.read_token_index(spark, path)
+    return found.select(F.size("input_ids").cast("bigint").alias("n"), digest("input_ids").alias("ids_md5"))
+
+
 @CATALOG.add(
     "write_splits",
     "WITH r AS (SELECT p_partkey, row_number() OVER (ORDER BY md5('42:' || p_partkey), p_partkey) AS r FROM part)"

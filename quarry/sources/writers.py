@@ -3,15 +3,15 @@
 from pyspark.sql import Observation, functions as F
 
 from quarry.operators.blend import blend_manifest
-from quarry.sources.jsonl_zstd import JsonlZstd
+from quarry.sources import jsonl_zstd
 from quarry.sources.tokenidx import TokenIndex
 
 
 def write_jsonl(df, path, compression=None, skip=None, mode="overwrite"):
     """JSON lines in UTF-8. Returns {"written": n, "skipped": n}, counted while writing.
 
-    `skip` is a condition for rows to leave out. `compression="zstd"` uses the
-    Arrow-based source; gzip and the like are Spark's own.
+    `skip` is a condition for rows to leave out. `compression="zstd"` compresses in Arrow
+    batches (`jsonl_zstd`); gzip and the like are Spark's own.
     """
     condition = F.lit(False) if skip is None else F.coalesce(skip, F.lit(False))
     seen = Observation()
@@ -20,9 +20,7 @@ def write_jsonl(df, path, compression=None, skip=None, mode="overwrite"):
     )
     kept = watched.filter(~F.col("_skip")).drop("_skip")
     if compression == "zstd":
-        df.sparkSession.dataSource.register(JsonlZstd)
-        lines = kept.select(F.to_json(F.struct(*kept.columns)).alias("value"))
-        lines.write.format("jsonl_zstd").mode(mode).save(path)
+        jsonl_zstd.write_lines(kept.select(F.to_json(F.struct(*kept.columns)).alias("value")), path, mode)
     else:
         writer = kept.write.mode(mode)
         (writer.option("compression", compression) if compression else writer).json(path)
@@ -31,8 +29,7 @@ def write_jsonl(df, path, compression=None, skip=None, mode="overwrite"):
 
 def read_jsonl_zstd(spark, path, schema=None):
     """Lines (`value`), or parsed records when a schema is given."""
-    spark.dataSource.register(JsonlZstd)
-    lines = spark.read.format("jsonl_zstd").load(path)
+    lines = jsonl_zstd.read_lines(spark, path)
     return lines if schema is None else lines.select(F.from_json("value", schema).alias("r")).select("r.*")
 
 
@@ -69,6 +66,14 @@ def write_token_index(df, path, dtype="int32", column="input_ids"):
     kept.write.format("tokenidx").option("dtype", dtype).option("column", column).mode("overwrite").save(path)
 
 
+def read_token_index(spark, path, column="input_ids"):
+    """The sequences of the pairs in a folder, found by the pointers of their index, a task per pair:
+    (file, document, column). Index files whose counts, sizes, pointers or borders disagree are an error."""
+    spark.dataSource.register(TokenIndex)
+    found = spark.read.format("tokenidx").option("path", path).load()
+    return found.withColumnRenamed("input_ids", column)
+
+
 def write_splits(df, path, split="split", folder="splits"):
     """Folders `splits/split=train|valid|test`; an empty train split is an error.
 

@@ -15,7 +15,8 @@ from quarry.operators import (
 from quarry.plans.prefix import hash_rank, position, quantile_bucket, running_total
 from quarry.plans.skew import join_groups
 from quarry.sources import readers, writers
-from quarry.sources.tokenidx import index_bytes
+from quarry.sources import jsonl_zstd
+from quarry.sources.tokenidx import index_bytes, parse_index
 
 
 def frame(spark, rows, schema):
@@ -312,6 +313,75 @@ def test_token_index_sink(spark, tmp_path):
     assert open(idx_file, "rb").read() == index_bytes([3, 1], "int32")
 
 
+def test_token_index_reader(spark, tmp_path):
+    path = str(tmp_path / "out")
+    for top in (300, 1000):
+        # The second run overwrites the first.
+        df = frame(spark, [([i, i + 1][: i % 3],) for i in range(top)], "input_ids array<int>").repartition(4)
+        writers.write_token_index(df, path, "uint16")
+    rows = writers.read_token_index(spark, path).collect()
+    assert sorted(r.input_ids for r in rows) == sorted([i, i + 1][: i % 3] for i in range(1000) if i % 3)
+    per_file = Counter(r.file for r in rows)
+    assert Counter((r.file, r.document) for r in rows) == Counter((f, d) for f, n in per_file.items() for d in range(n))
+    (tmp_path / "out" / "_SUCCESS").unlink()
+    with pytest.raises(Exception, match="no finished token index"):
+        writers.read_token_index(spark, path).collect()
+
+
+@pytest.mark.parametrize(
+    "change, message",
+    [
+        (lambda d: b"X" + d[1:], "known version"),
+        (lambda d: d[:-8], "as long as"),
+        (lambda d: d[:20], "shorter than its header"),
+        (lambda d: d[:34] + (99).to_bytes(4, "little") + d[38:], "outside of the data"),
+        (lambda d: d[:-8] + bytes(8), "borders"),
+    ],
+)
+def test_broken_index(change, message):
+    good = index_bytes([3, 1], "int32")
+    assert parse_index(good, 16)[0] == "int32"
+    with pytest.raises(ValueError, match=message):
+        parse_index(change(good), 16)
+
+
+def test_jsonl_zstd_frames(spark, tmp_path):
+    """Lines of all lengths, separators inside of texts, small splits, and files of other tools."""
+    import random
+
+    import zstandard
+
+    draw, path = random.Random(1), str(tmp_path / "out")
+    text = lambda n: "".join(draw.choice("P*M\x18\x00ab\nü\r") for _ in range(n))
+    rows = [(i, text(draw.choice([0, 5, 400, 3000]))) for i in range(400)] + [(400, "x" * 3_000_000), (401, None)]
+    df = frame(spark, rows, "id long, t string").repartition(3)
+    assert writers.write_jsonl(df, path, compression="zstd") == {"written": 402, "skipped": 0}
+    plain = b"".join(
+        zstandard.ZstdDecompressor().stream_reader(f.open("rb"), read_across_frames=True).read()
+        for f in (tmp_path / "out").glob("part-*")
+    )
+    assert plain.count(b"\n") == 402
+    (tmp_path / "out" / "other.jsonl.zst").write_bytes(zstandard.compress(b'{"id":-1,"t":"q"}\r\n\n{"id":-2}'))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        back = {r.id: r.t for r in writers.read_jsonl_zstd(spark, path, df.schema).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert back == dict(rows) | {-1: "q", -2: None}
+    writers.write_jsonl(df.filter("false"), path, compression="zstd")
+    assert writers.read_jsonl_zstd(spark, path, df.schema).count() == 0
+
+
+def test_frame_without_separator():
+    """Random bytes are stored as they are; with the separator among them another level or an error is due."""
+    import os
+
+    data = os.urandom(5000) + jsonl_zstd.EMPTY_FRAME.encode() + os.urandom(5000)
+    with pytest.raises(ValueError, match="separator"):
+        jsonl_zstd.compressed(data)
+
+
 CHAT = "messages array<struct<role:string,content:string,reasoning_content:string,tool_calls:array<struct<name:string,arguments:map<string,string>>>>>"
 
 

@@ -1,48 +1,111 @@
 """Shard assignment, samples, splits and source fingerprints."""
 
-import heapq
-
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from quarry.plans.checkpoints import cut_lineage
 from quarry.plans.prefix import hash_rank, position
+from quarry.plans.skew import join_groups
 
 # Hex digits of the path hash that name a part of a listing.
 PREFIX_DIGITS = 3
+# Entries (files times shards) that a task compares at once.
+LEVEL_CELLS = 1 << 22
+
+
+def picks_below(loads, size, level):
+    """How many files of `size` the lightest-shard rule deals at loads below each level."""
+    return np.maximum(-((loads[None, :] - level[:, None]) // size), 0).sum(axis=1)
+
+
+def level_of(loads, size, rank):
+    """The load of the shard that takes the file of each rank, among files of one size.
+
+    A shard that starts at load l takes files at l, l + size, l + 2 * size, ...; the rule takes
+    these steps of all shards in order. So the level is the largest load with at most `rank` steps below it.
+    """
+    low = np.full(len(rank), loads.min())
+    high = loads.max() + size * (rank // len(loads) + 1)
+    while (low < high).any():
+        middle = low + (high - low + 1) // 2
+        fits = picks_below(loads, size, middle) <= rank
+        low, high = np.where(fits, middle, low), np.where(fits, high, middle - 1)
+    return low
+
+
+def shards_of(loads, size, rank):
+    """The shard of the file of each rank (0-based), for files of one size; ties go to the lowest shard."""
+    if size == 0:
+        return np.full(len(rank), loads.argmin(), np.int32)
+    chosen, step = np.empty(len(rank), np.int32), max(1, LEVEL_CELLS // len(loads))
+    for i in range(0, len(rank), step):
+        part = rank[i : i + step]
+        level = level_of(loads, size, part)
+        gap = level[:, None] - loads[None, :]
+        at = (gap >= 0) & (gap % size == 0)
+        place = part - picks_below(loads, size, level) + 1
+        chosen[i : i + step] = (np.cumsum(at, axis=1) == place[:, None]).argmax(axis=1)
+    return chosen
+
+
+def loads_after(loads, size, count):
+    """The loads when `count` files of one size are dealt."""
+    if size == 0:
+        return loads
+    level = level_of(loads, size, np.array([count]))
+    gap = level - loads
+    taken = np.maximum(-(-gap // size), 0)
+    rest = count - taken.sum()
+    at = np.flatnonzero((gap >= 0) & (gap % size == 0))[:rest]
+    taken[at] += 1
+    return loads + taken * size
 
 
 def balanced_shards(df, shards, key="path", size="size", by="dataset"):
     """Lightest-shard assignment of files: size descending, then path; ties go to
     the lowest shard. When no file of a data set has a size: round robin.
 
-    Rows are files of one data set (a listing), not records. The rule is sequential per
-    data set, so its files stream in sorted order; a task keeps one load per shard only.
+    Files of one size are a class. Only the classes of a data set are dealt one after the other, by their
+    counts: one load per shard is the state, one row per distinct size the result. Every file then finds its
+    shard from the loads before its class and its rank inside it, in any task. A size that is null or below 0 counts as 0.
     """
+    weight = F.greatest(F.coalesce(F.col(size).cast("bigint"), F.lit(0)), F.lit(0))
     slim = df.select(by, key, size)
-    names = slim.columns
+    slim = cut_lineage(slim.withColumn("_class", weight).withColumn("_missing", F.col(size).isNull().cast("int")))
+    classes = slim.groupBy(by, "_class").agg(F.count("*").alias("n"))
 
-    def assign(batches):
-        current, loads, step = object(), [], 0
+    def deal(batches):
+        current, loads = object(), None
         for batch in batches:
-            chosen = []
-            for dataset, weight in zip(batch.column(by).to_pylist(), batch.column(size).to_pylist()):
+            before = []
+            for dataset, weight, n in zip(*[batch.column(c).to_pylist() for c in (by, "_class", "n")]):
                 if dataset != current:
-                    # The largest file comes first: without a size nothing has one.
-                    current, step = dataset, 0
-                    loads = [(0, i) for i in range(shards)] if (weight or 0) > 0 else None
-                if loads is None:
-                    chosen.append(step % shards)
-                else:
-                    load, i = loads[0]
-                    heapq.heapreplace(loads, (load + (weight or 0), i))
-                    chosen.append(i)
-                step += 1
-            columns = [*batch.columns, pa.array(chosen, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "shard"])
-
-    ordered = slim.repartition(by).sortWithinPartitions(by, F.desc_nulls_last(size), key)
-    shape = ", ".join(f"`{name}` {kind}" for name, kind in slim.dtypes)
-    return ordered.mapInArrow(assign, f"{shape}, shard int")
+                    # The largest class comes first: without a size nothing has one.
+                    current, loads = dataset, np.zeros(shards, np.int64) if weight > 0 else None
+                before.append(loads)
+                if loads is not None:
+                    loads = loads_after(loads, weight, n)
+            columns = [*batch.columns, pa.array(before, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_loads"])
+
+    shape = ", ".join(f"`{name}` {kind}" for name, kind in classes.dtypes)
+    ordered = classes.repartition(by).sortWithinPartitions(by, F.desc("_class"))
+    plan = cut_lineage(ordered.mapInArrow(deal, f"{shape}, _loads array<bigint>"))
+
+    @F.pandas_udf("int")
+    def shard_of(dataset: pd.Series, weight: pd.Series, rank: pd.Series, loads: pd.Series) -> pd.Series:
+        out = pd.Series(0, index=rank.index, dtype="int32")
+        for (_, size), rows in rank.groupby([dataset, weight], dropna=False):
+            before = loads.loc[rows.index[0]]
+            ranks = rows.to_numpy(np.int64)
+            out.loc[rows.index] = ranks % shards if before is None else shards_of(np.asarray(before, np.int64), int(size), ranks)
+        return out
+
+    ranked = position(slim, "_missing", by=[by, "_class"], ties=[key], out="_rank")
+    placed = join_groups(ranked, plan, [by, "_class"], [key, "_rank"])
+    return placed.select(by, key, size, shard_of(by, "_class", "_rank", "_loads").alias("shard"))
 
 
 def round_robin(df, shards, order, by=()):

@@ -568,6 +568,53 @@ def test_balanced_shards(spark):
     assert out == {("d", "a"): 0, ("d", "b"): 1, ("d", "c"): 1, ("d", "e"): 1, ("z", "w"): 0, ("z", "x"): 1, ("z", "y"): 0}
 
 
+def plain_lightest_shard(files, shards):
+    """The rule in a loop: {(dataset, path): shard}."""
+    out = {}
+    for dataset in {d for d, _, _ in files}:
+        mine = sorted((f for f in files if f[0] == dataset), key=lambda f: (-(f[2] or 0), f[2] is None, f[1]))
+        loads = [0] * shards
+        for i, (_, path, size) in enumerate(mine):
+            best = loads.index(min(loads)) if mine[0][2] else i % shards
+            loads[best] += size or 0
+            out[dataset, path] = best
+    return out
+
+
+@pytest.mark.parametrize("shards", [1, 3, 7, 50])
+def test_balanced_shards_in_classes(spark, shards):
+    import random
+
+    draw = random.Random(shards)
+    files = [("few sizes", f"p{i:04d}", draw.choice([1, 2, 3, 1000])) for i in range(600)]
+    files += [("one size", f"p{i:04d}", 5) for i in range(300)]
+    files += [("all sizes", f"p{i:04d}", draw.randrange(10**12)) for i in range(200)]
+    files += [("gaps", f"p{i:04d}", draw.choice([0, None, 9, 9 * 10**9])) for i in range(200)]
+    files += [("without", f"p{i:04d}", draw.choice([0, None])) for i in range(100)]
+    files += [(None, f"p{i:04d}", 4) for i in range(20)]
+    df = frame(spark, files, "dataset string, path string, size long")
+    out = {(r.dataset, r.path): r.shard for r in sharding.balanced_shards(df, shards).collect()}
+    assert out == plain_lightest_shard(files, shards)
+    assert sharding.balanced_shards(df.filter("false"), shards).count() == 0
+
+
+def test_ranks_of_one_size():
+    """One giant file and a million small ones: ranks far below the top load, without a loop over files."""
+    import heapq
+
+    import numpy as np
+
+    loads, size, count = np.array([50_000, 3, 0, 7, 0]), 3, 40_000
+    heap, want = [(int(x), i) for i, x in enumerate(loads)], []
+    heapq.heapify(heap)
+    for _ in range(count):
+        load, i = heap[0]
+        want.append(i)
+        heapq.heapreplace(heap, (load + size, i))
+    assert sharding.shards_of(loads, size, np.arange(count)).tolist() == want
+    assert sharding.loads_after(loads, size, count).tolist() == [x for x, _ in sorted(heap, key=lambda h: h[1])]
+
+
 def test_splits(spark):
     shards = lambda n: spark.range(n).withColumnRenamed("id", "path")
     count = lambda df: {r.split: r["count"] for r in df.groupBy("split").count().collect()}

@@ -203,6 +203,39 @@ def _(spark, folder):
     return custom.modify(scored_docs, F.lower)
 
 
+WEIGHTED = """SELECT l_returnflag, count(*) AS n, round(sum(w * x) / sum(w), 9) AS mean,
+      round(sum(w * x * x) / sum(w) - (sum(w * x) / sum(w)) * (sum(w * x) / sum(w)), 9) AS variance
+    FROM (SELECT l_returnflag, l_discount::DOUBLE AS x, l_quantity::DOUBLE AS w FROM lineitem) GROUP BY l_returnflag"""
+
+
+def weighted_lines(spark, folder):
+    return table(spark, folder, "lineitem").select(
+        "l_returnflag", F.col("l_discount").cast("double").alias("x"), F.col("l_quantity").cast("double").alias("w")
+    )
+
+
+@CATALOG.add("user_aggregate", WEIGHTED)
+def _(spark, folder):
+    out = custom.aggregate(weighted_lines(spark, folder), custom.weighted_moments("x", "w"), ["l_returnflag"])
+    variance = F.round(F.col("squares") / F.col("weight"), 9).alias("variance")
+    return out.select("l_returnflag", "n", F.round("mean", 9).alias("mean"), variance)
+
+
+@CATALOG.add("user_aggregate_sql", WEIGHTED)
+def _(spark, folder):
+    """The registered form: slices of a group first, then their states."""
+    custom.register_aggregate(spark, "moments", custom.weighted_moments("x", "w"))
+    table(spark, folder, "lineitem").createOrReplaceTempView("moment_lines")
+    return spark.sql(
+        """WITH slices AS (
+          SELECT l_returnflag, moments_partial(CAST(l_discount AS DOUBLE), CAST(l_quantity AS DOUBLE)) AS state
+          FROM moment_lines GROUP BY l_returnflag, pmod(hash(l_orderkey), 64)),
+        merged AS (
+          SELECT l_returnflag, from_json(moments_merge(state), 'array<double>') AS s FROM slices GROUP BY l_returnflag)
+        SELECT l_returnflag, CAST(s[0] AS BIGINT) AS n, round(s[2], 9) AS mean, round(s[3] / s[1], 9) AS variance FROM merged"""
+    )
+
+
 @CATALOG.add("block_stage", "SELECT o_orderkey, upper(o_orderpriority) AS priority FROM orders")
 def _(spark, folder):
     def stage(block):

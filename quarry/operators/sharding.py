@@ -100,7 +100,8 @@ def balanced_shards(df, shards, key="path", size="size", by="dataset"):
         for (_, size), rows in rank.groupby([dataset, weight], dropna=False):
             before = loads.loc[rows.index[0]]
             ranks = rows.to_numpy(np.int64)
-            out.loc[rows.index] = ranks % shards if before is None else shards_of(np.asarray(before, np.int64), int(size), ranks)
+            chosen = ranks % shards if before is None else shards_of(np.asarray(before, np.int64), int(size), ranks)
+            out.loc[rows.index] = chosen.astype(np.int32)
         return out
 
     ranked = position(slim, "_missing", by=[by, "_class"], ties=[key], out="_rank")

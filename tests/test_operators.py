@@ -568,6 +568,24 @@ def test_balanced_shards(spark):
     assert out == {("d", "a"): 0, ("d", "b"): 1, ("d", "c"): 1, ("d", "e"): 1, ("z", "w"): 0, ("z", "x"): 1, ("z", "y"): 0}
 
 
+def test_user_aggregate(spark, monkeypatch):
+    """Null keys, null values, groups without any, many keys in one task, and a hot key."""
+    monkeypatch.setattr(custom, "HELD_KEYS", 3)
+    rows = [("hot", i % 5, float(i % 17), 1.0 + i % 3) for i in range(3000)] + [(f"k{i}", 1, float(i), 2.0) for i in range(40)]
+    rows += [(None, None, 4.0, 1.0), (None, None, 6.0, 1.0), ("none", 2**60 + 1, None, 1.0), ("none", 2**60 + 1, 3.0, 0.0)]
+    df = frame(spark, rows, "k string, j long, x double, w double").repartition(6)
+    out = custom.aggregate(df, custom.weighted_moments("x", "w"), ["k", "j"], slices=2).collect()
+    got = {(r.k, r.j): (r.n, round(r.weight, 6), round(r.mean, 6), round(r.squares, 4)) for r in out}
+    want = {}
+    for key in {(k, j) for k, j, _, _ in rows}:
+        mine = [(x, w) for k, j, x, w in rows if (k, j) == key and x is not None and w > 0]
+        total = sum(w for _, w in mine)
+        mean = sum(x * w for x, w in mine) / total if mine else 0.0
+        want[key] = (len(mine), round(total, 6), round(mean, 6), round(sum(w * (x - mean) ** 2 for x, w in mine), 4))
+    assert got == want and len(out) == len(want)
+    assert custom.aggregate(df.filter("false"), custom.weighted_moments("x", "w"), ["k"]).count() == 0
+
+
 def plain_lightest_shard(files, shards):
     """The rule in a loop: {(dataset, path): shard}."""
     out = {}

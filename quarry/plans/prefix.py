@@ -92,25 +92,26 @@ def first_reaching(sums, by, value, weight, wanted):
     return hit.groupBy(by, F.col("_name").alias("name")).agg(F.min(value).alias("value"))
 
 
-def range_buckets(df, order, rows=1_000_000, out="_bucket"):
-    """`df` stored in ranges of the order columns, with the range's number in `out`.
+def range_buckets(df, order, rows=1_000_000, out="_bucket", buckets=0):
+    """`df` stored in ranges of the order columns, at least `buckets`, with the range's number in `out`.
 
     Borders are tuples of all order columns, sampled by Spark, so rows that tie in the first
     column are cut by the next; with a unique last column no range holds many more than `rows`
     rows. Their number grows with the table. Any orderable type will do, nulls come first.
     """
     spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows))
+    parts = max(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows))
     return cut_lineage(df.repartitionByRange(parts, *order).withColumn(out, F.spark_partition_id()))
 
 
-def position(df, order, by=(), ties=(), rows=1_000_000, out="position"):
+def position(df, order, by=(), ties=(), rows=1_000_000, out="position", buckets=0):
     """0-based position by a column of any orderable type, then by `ties`, per `by`.
 
-    Rows that tie in all of them get positions in any order. `df` is read three times (count,
-    borders, rows), so store it if it is costly.
+    The order is cut into ranges of about `rows` rows, at least `buckets` (default: the shuffle
+    partitions). Rows that tie in all of them get positions in any order. `df` is read three times
+    (count, borders, rows), so store it if it is costly.
     """
-    cut = range_buckets(df.withColumn("_one", F.lit(1).cast("bigint")), [*by, order, *ties], rows)
+    cut = range_buckets(df.withColumn("_one", F.lit(1).cast("bigint")), [*by, order, *ties], rows, buckets=buckets)
     ranked = running_total(cut, "_one", [order, *ties], by=by, out=out)
     return ranked.withColumn(out, F.col(out) - 1).drop("_one", "_bucket")
 

@@ -726,6 +726,36 @@ def test_knn_in_tiles(spark, cosine):
     assert retrieval.knn(q.filter("false"), i, 4, cosine=cosine).count() == 0
 
 
+@pytest.mark.parametrize("cosine", [True, False])
+def test_tiles_are_bounded_by_rows(spark, cosine, monkeypatch):
+    """Narrow vectors: blocks of bytes alone would meet in one task."""
+    monkeypatch.setattr(retrieval, "TILE_QUERIES", 50)
+    monkeypatch.setattr(retrieval, "TILE_ITEMS", 100)
+    met, plain = [], retrieval.tiles
+    monkeypatch.setattr(retrieval, "tiles", lambda x, y, *rest: (met.append(rest[-1]), plain(x, y, *rest))[1])
+    rows = [(i, [float(i % 17), float(i % 5)]) for i in range(300)]
+    q, i = frame(spark, rows, "query_id long, vector array<float>"), frame(spark, rows, "item_id long, vector array<float>")
+    assert retrieval.knn(q, i, 2, cosine=cosine).count() == 600 and met == [18]
+
+
+def test_two_passes_find_what_all_scores_find():
+    """Copies, ties by rounding, tiny and zero vectors, scores that are nearly all alike."""
+    rng = np.random.default_rng(2)
+    cases = [rng.normal(size=(5000, 8)), rng.integers(0, 3, (5000, 4)).astype(float), rng.normal(size=(300, 4)) * 1e-6,
+             np.ones((5000, 4)), np.zeros((50, 4)), 1 + rng.normal(size=(5000, 4)) * 1e-5, rng.normal(size=(3, 4))]
+    for vectors in cases:
+        ids, queries = rng.permutation(len(vectors)), vectors[:60]
+        got = retrieval._scan(ids, vectors, queries, 5)
+        want = retrieval._scan_all(ids, vectors, queries, 5)
+        assert all((a == b).all() for a, b in zip((got[0], ids[got[1]]), (want[0], ids[want[1]]))) and np.allclose(got[2], want[2], 0, 2e-9)
+
+
+def test_lexical_score_of_missing_texts(spark):
+    rows = [(None, "a b"), ("a", None), ("", None), ("", "a"), ("A b b", "a c")]
+    pairs = frame(spark, rows, "q string, p string").coalesce(1)
+    assert [r.s for r in pairs.select(retrieval.lexical_score(F.col("q"), F.col("p")).alias("s")).collect()] == [0.0, None, 0.0, 0.0, 0.5]
+
+
 def test_norms_bound_the_bands(spark):
     """Queries that find k large items don't meet the small ones."""
     rows = [(i, [1000.0 if i < 40 else 0.001, float(i % 7)]) for i in range(400)]

@@ -2,10 +2,10 @@
 
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import functions as F, types as T
 
 from quarry.functions.columns import col, strip
+from quarry.plans.slices import in_slices
 
 
 def remove_markdown(c):
@@ -51,11 +51,10 @@ def split_thinking(c):
     return F.struct(reasoning.alias("reasoning"), F.when(has, strip(tail)).otherwise(c).alias("answer"))
 
 
-@F.pandas_udf(T.StringType())
-def fix_unicode(texts: pd.Series) -> pd.Series:
+def fix_unicode(c):
     """Undo UTF-8 read as Latin-1, compose characters, drop control characters."""
 
-    def repair(text):
+    def repaired(text):
         if text is None:
             return None
         try:
@@ -66,4 +65,4 @@ def fix_unicode(texts: pd.Series) -> pd.Series:
         text = unicodedata.normalize("NFC", text)
         return "".join(ch for ch in text if ch in "\n\t\r" or unicodedata.category(ch) != "Cc")
 
-    return texts.map(repair)
+    return in_slices(lambda texts: [repaired(text) for text in texts], T.StringType())(c)

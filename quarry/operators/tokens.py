@@ -2,13 +2,16 @@
 
 import sys
 import types
+from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
 from quarry.functions.columns import EOS_ID, token_ids
 from quarry.operators.bpe import Tokenizer
 from quarry.plans.prefix import quantile_bucket, running_totals
+from quarry.plans.slices import in_slices
 
 
 def worker_resource(name, factory):
@@ -19,9 +22,18 @@ def worker_resource(name, factory):
     return getattr(store, name)
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def byte_ids(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda x: None if x is None else list(x.encode("utf-8")))
+# Rows of a batch whose bytes become numbers at a time.
+BYTE_ROWS = 256
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def byte_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        for at in range(0, len(batch), BYTE_ROWS):
+            texts = batch.slice(at, BYTE_ROWS).cast(pa.large_binary())
+            ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+            data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+            yield pa.ListArray.from_arrays(pa.array((ends - ends[0]).astype(np.int32)), pa.array(data.astype(np.int32)), mask=texts.is_null())
 
 
 def plugin_tokenizer(name, factory):
@@ -34,18 +46,17 @@ def plugin_tokenizer(name, factory):
         [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("error", T.StringType())]
     )
 
-    @F.pandas_udf(shape)
-    def run(texts: pd.Series) -> pd.DataFrame:
+    def run(texts):
         encode = worker_resource(name, factory)
         rows = []
         for text in texts:
             try:
-                rows.append((list(encode(text)), None))
+                rows.append({"ids": list(encode(text)), "error": None})
             except Exception as error:
-                rows.append((None, f"{type(error).__name__}: {error}"))
-        return pd.DataFrame(rows, columns=["ids", "error"])
+                rows.append({"ids": None, "error": f"{type(error).__name__}: {error}"})
+        return rows
 
-    return run
+    return in_slices(run, shape)
 
 
 def tokenize(df, text="text", tokenizer="regex", out="input_ids", on_error="fail"):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 # Token pattern, special ids and hash modulus of the built-in tokenizer.
 WORD = r"[A-Za-z0-9_À-ÿ]+"
 TOKEN = r"[A-Za-z0-9_À-ÿ]+|[^A-Za-z0-9_À-ÿ\s]"
+LETTERS = "A-Za-z0-9_À-ÿ"
 PRIME31 = 2147483647
 VOCAB = 50000
 PAD_ID, BOS_ID, EOS_ID, FIRST_ID = 0, 1, 2, 3
@@ -14,22 +15,29 @@ def col(c):
     return F.col(c) if isinstance(c, str) else c
 
 
+def spelled(pattern):
+    """The same pattern with every letter of LETTERS listed: Java looks single characters up in a
+    bit set, but tests ranges one after another, which takes four times as long."""
+    ranges = ("AZ", "az", "09", "__", "Àÿ")
+    return pattern.replace(LETTERS, "".join(chr(c) for first, last in ranges for c in range(ord(first), ord(last) + 1)))
+
+
 def base_hash(c):
     """31-bit hash: the first 8 hex digits of md5, modulo 2^31 - 1."""
     return F.conv(F.substring(F.md5(col(c)), 1, 8), 16, 10).cast("bigint") % PRIME31
 
 
 def words(c):
-    return F.regexp_extract_all(col(c), F.lit(WORD), F.lit(0))
+    return F.regexp_extract_all(col(c), F.lit(spelled(WORD)), F.lit(0))
 
 
 def token_strings(c):
-    return F.regexp_extract_all(col(c), F.lit(TOKEN), F.lit(0))
+    return F.regexp_extract_all(col(c), F.lit(spelled(TOKEN)), F.lit(0))
 
 
 def token_count(c):
     """Number of regex tokens; counts without building the array."""
-    return F.regexp_count(col(c), F.lit(TOKEN)).cast("bigint")
+    return F.regexp_count(col(c), F.lit(spelled(TOKEN))).cast("bigint")
 
 
 def token_ids(c):

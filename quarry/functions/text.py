@@ -4,17 +4,22 @@ import unicodedata
 
 from pyspark.sql import functions as F, types as T
 
-from quarry.functions.columns import col, strip
+from quarry.functions.columns import col, let, strip
 from quarry.plans.slices import in_slices
 
 
 def remove_markdown(c):
-    """Bold, italics, underline and links to plain text."""
-    c = F.regexp_replace(col(c), r"\*\*([^*]*)\*\*", "$1")
-    c = F.regexp_replace(c, r"\*([^*]*)\*", "$1")
-    c = F.regexp_replace(c, r"__([^_]*)__", "$1")
-    c = F.regexp_replace(c, r"_([^_]*)_", "$1")
-    return F.regexp_replace(c, r"\[([^\]]*)\]\([^)]*\)", "$1")
+    """Bold, italics, underline and links to plain text; only texts with a mark meet its patterns."""
+
+    def plain(c, mark, *patterns):
+        out = c
+        for pattern in patterns:
+            out = F.regexp_replace(out, pattern, "$1")
+        return F.when(F.contains(c, F.lit(mark)), out).otherwise(c)
+
+    stars = let(col(c), lambda x: plain(x, "*", r"\*\*([^*]*)\*\*", r"\*([^*]*)\*"))
+    lines = let(stars, lambda x: plain(x, "_", r"__([^_]*)__", r"_([^_]*)_"))
+    return let(lines, lambda x: plain(x, "](", r"\[([^\]]*)\]\([^)]*\)"))
 
 
 def remove_lines(c, patterns):

@@ -1,5 +1,6 @@
 """Preparation and post-processing around text generation on good documents."""
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F, types as T
 
@@ -7,6 +8,8 @@ from quarry.functions.columns import TOKEN, token_count
 from quarry.functions.text import remove_lines, remove_markdown, slice_after, unquote
 from quarry.operators.filters import substring_filter, token_count_filter
 from quarry.operators.tokens import worker_resource
+from quarry.plans.checkpoints import cut_lineage
+from quarry.plans.once import compute_once
 
 # Limits per task (tokens) and the lines and prefix removed afterwards.
 LIMITS = {
@@ -18,6 +21,9 @@ LIMITS = {
 PASSAGE_LINES = ["Passage:", "Passage 1:", "Passage 2:", "Passage 3:"]
 PARAPHRASE = "Paraphrased Text:"
 
+# The number of tokens of a reply, which `generate` can add.
+REPLY_COUNT = "rephrased_segment_token_count"
+
 # Prompts of this package; `{text}` is replaced by the segment.
 SYSTEM = "You are a careful assistant. Answer only from the given text."
 TEMPLATES = {
@@ -44,17 +50,25 @@ def split_documents(df, text="text", id="doc_id", sep="\n"):
     return df.select(id, F.posexplode_outer(F.split(text, sep)).alias("segment_id", text))
 
 
+def counted_lines(df, text="text", id="doc_id", sep="\n"):
+    """(id, lines): the lines of a document with their numbers of tokens, which later filters don't count again."""
+    lines = F.transform(F.split("_text", sep), lambda s: F.struct(s.alias("text"), token_count(s).alias("n")))
+    return compute_once(df.select(id, F.col(text).alias("_text")), lines=lines).select(id, "lines")
+
+
 def join_segments(df, max_tokens, text="text", id="doc_id", sep="\n"):
     """(id, segment_id, text, segment_token_count): neighbouring lines of a document
     joined while the sum stays within `max_tokens`; longer lines are left out.
 
     A fold over the lines of one row, so documents are neither exploded nor shuffled.
     """
+    return join_lines(counted_lines(df, text, id, sep), max_tokens, text, id, sep)
+
+
+def join_lines(counted, max_tokens, text="text", id="doc_id", sep="\n"):
+    """As `join_segments`, from the rows of `counted_lines`."""
     piece = "struct<text:string,n:bigint>"
-    lines = F.filter(
-        F.transform(F.split(text, sep), lambda s: F.struct(s.alias("text"), token_count(s).alias("n"))),
-        lambda s: s["n"] <= max_tokens,
-    )
+    lines = F.filter("lines", lambda s: s["n"] <= max_tokens)
     start = F.struct(
         F.array().cast(f"array<{piece}>").alias("done"), F.lit(None).cast(piece).alias("open")
     )
@@ -76,16 +90,23 @@ def join_segments(df, max_tokens, text="text", id="doc_id", sep="\n"):
             F.concat(state["done"], F.array(state["open"]))
         )
 
-    folded = df.select(id, F.posexplode_outer(F.aggregate(lines, start, step, finish)).alias("segment_id", "s"))
+    folded = counted.select(id, F.posexplode_outer(F.aggregate(lines, start, step, finish)).alias("segment_id", "s"))
     return folded.filter("s is not null").select(
         id, "segment_id", F.col("s.text").alias(text), F.col("s.n").alias("segment_token_count")
     )
 
 
 def prepare_segments(df, task, text="text", id="doc_id"):
+    """Segments of one task, from documents."""
+    return task_segments(counted_lines(df, text, id), task, text, id)
+
+
+def task_segments(counted, task, text="text", id="doc_id"):
+    """Segments of one task, from the rows of `counted_lines`. No token crosses a line break, so a
+    document has the tokens of its lines."""
     limits = LIMITS[task]
-    docs = token_count_filter(df, text, min=limits["min_document"], out="document_token_count")
-    parts = join_segments(docs, max_segment_tokens(task), text, id)
+    total = F.aggregate("lines", F.lit(0).cast("bigint"), lambda n, line: n + line["n"])
+    parts = join_lines(counted.filter(total >= limits["min_document"]), max_segment_tokens(task), text, id)
     return parts.filter(F.col("segment_token_count") >= limits["min_segment"])
 
 
@@ -94,15 +115,36 @@ def build_prompts(df, task, text="text", out="prompt"):
     return df.withColumn(out, F.concat(F.lit(SYSTEM + "\n"), filled))
 
 
-def generate(df, client_factory, prompt="prompt", out="generated", concurrency=4, retries=3, delay=1.0):
+# What a byte of UTF-8 is for TOKEN: a letter, a token by itself (first bytes of other characters
+# too), or nothing (white space, later bytes). U+00C0 to U+00FF are all that begins with 0xC3.
+_LETTER, _ALONE = 1, 2
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[33:127], _KINDS[127], _KINDS[192:] = _ALONE, _ALONE, _ALONE
+_KINDS[:9], _KINDS[14:32] = _ALONE, _ALONE
+_KINDS[[c for c in range(128) if chr(c).isalnum() or chr(c) == "_"] + [0xC3]] = _LETTER
+
+
+def count_tokens(text):
+    """As `token_count`, for a Python string: without a match for every token."""
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    kinds = _KINDS[data]
+    letters = kinds == _LETTER
+    # The later byte of a letter.
+    letters[1:] |= data[:-1] == 0xC3
+    return int((kinds == _ALONE).sum() + letters[:1].sum() + (letters[1:] & ~letters[:-1]).sum())
+
+
+def generate(df, client_factory, prompt="prompt", out="generated", concurrency=4, retries=3, delay=1.0, count=None):
     """Call a text generator for every row with bounded concurrency and retries.
 
     `client_factory()` returns a callable prompt -> text and runs once per worker.
-    A row that still fails after the retries raises.
+    A row that still fails after the retries raises. Replies are not repeatable, so no later
+    filter asks for them again. `count` names a column for their numbers of tokens.
     """
+    shape = T.StructType([T.StructField("reply", T.StringType()), T.StructField("n", T.LongType())])
 
-    @F.pandas_udf(T.StringType())
-    def run(prompts: pd.Series) -> pd.Series:
+    @F.pandas_udf(shape)
+    def run(prompts: pd.Series) -> pd.DataFrame:
         import time
         from concurrent.futures import ThreadPoolExecutor
 
@@ -118,16 +160,21 @@ def generate(df, client_factory, prompt="prompt", out="generated", concurrency=4
                     time.sleep(delay * 2**attempt)
 
         with ThreadPoolExecutor(concurrency) as pool:
-            return pd.Series(list(pool.map(one, prompts)), dtype="object")
+            replies = pd.Series(list(pool.map(one, prompts)), dtype="object")
+        sizes = [count_tokens(r) if count and r is not None else None for r in replies]
+        return pd.DataFrame({"reply": replies, "n": pd.Series(sizes, dtype="Int64")})
 
-    return df.withColumn(out, run(F.col(prompt)))
+    asked = df.withColumn("_reply", run.asNondeterministic()(F.col(prompt)))
+    added = {out: F.col("_reply.reply")} | ({count: F.col("_reply.n")} if count else {})
+    return asked.withColumns(added).drop("_reply")
 
 
 def limit_output(df, task, column):
     """Drop outputs that reached the output limit (2 tokens are kept free)."""
-    return token_count_filter(
-        df, column, max=LIMITS[task]["max_output"] - 2, out="rephrased_segment_token_count"
-    )
+    most = LIMITS[task]["max_output"] - 2
+    if REPLY_COUNT in df.columns:
+        return df.filter(F.col(REPLY_COUNT) <= most)
+    return token_count_filter(df, column, max=most, out=REPLY_COUNT)
 
 
 def clean_qa(column, text, tokens_per_pair=50):
@@ -182,11 +229,16 @@ POST = {
 }
 
 
+def run_segments(segments, task, client_factory, **settings):
+    prompts = build_prompts(segments, task)
+    return POST[task](generate(prompts, client_factory, out=task, count=REPLY_COUNT, **settings)).drop("prompt")
+
+
 def run_task(df, task, client_factory, **settings):
-    prompts = build_prompts(prepare_segments(df, task), task)
-    return POST[task](generate(prompts, client_factory, out=task, **settings)).drop("prompt")
+    return run_segments(prepare_segments(df, task), task, client_factory, **settings)
 
 
 def run_tasks(df, client_factory, tasks=tuple(LIMITS), **settings):
-    """task name -> DataFrame."""
-    return {task: run_task(df, task, client_factory, **settings) for task in tasks}
+    """task name -> DataFrame. The lines are counted once for all tasks, and stored."""
+    counted = cut_lineage(counted_lines(df))
+    return {task: run_segments(task_segments(counted, task), task, client_factory, **settings) for task in tasks}

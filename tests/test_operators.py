@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.functions import text as modify
+from quarry.functions import columns, text as modify
 from quarry.operators import (
     blend, chat, components, custom, exact_dedup, extraction, filters, layout, minhash, packing, quality, records,
     retrieval, rollouts, sharding, spans, synthetic, tabular, tokens,
@@ -819,6 +819,50 @@ def test_generation_retries(spark):
     assert {r.retry_test for r in out.collect()} == {"ba", "dc"}
 
 
+def test_generation_asks_once_per_prompt(spark, tmp_path):
+    def factory():
+        def client(prompt):
+            with open(tmp_path / "calls", "a") as calls:
+                calls.write("x\n")
+            return "Paraphrased Text: " + "word " * 80
+
+        return client
+
+    df = frame(spark, [(i, f"text {i} " * 60) for i in range(9)] + [(9, None), (9, "short")], "doc_id long, text string")
+    done = synthetic.run_tasks(df, factory, tasks=("distill",))["distill"]
+    rows = done.collect()
+    assert {(r.doc_id, r.segment_id, r.segment_token_count, r.rephrased_document_token_count) for r in rows} == {(i, 0, 120, 80) for i in range(9)}
+    assert len((tmp_path / "calls").read_text().split()) == 9
+
+
+def test_token_counts_agree(spark):
+    import re
+
+    texts = ["", "a", " a b\t", "é×ÿÀ-ß", "ªºµ a\u00a0b", "日本 語x😀é", "a\x0b\x1c\x1f\x7fb_9", "“q” … x", "ÿ", "Āaé", None]
+    texts += ["".join(chr(c) + "a" * (c % 3) for c in range(1, 0x250, step)) for step in (1, 2, 3)]
+    plan = filters.token_count_filter(frame(spark, [(t,) for t in texts], "t string"), "t", min=0)
+    got = {r.t: r.token_count for r in plan.collect()}
+    want = {t: len(re.findall(columns.TOKEN, t, re.ASCII)) for t in texts if t is not None}
+    assert got == want == {t: synthetic.count_tokens(t) for t in texts if t is not None}
+    cut = frame(spark, [(t,) for t in texts], "t string").select("t", columns.token_strings("t").alias("tokens"), spans.pieces("t").alias("pieces"))
+    for r in cut.filter("t is not null").collect():
+        assert r.tokens == re.findall(columns.TOKEN, r.t, re.ASCII) and r.pieces == re.findall(spans.PIECE, r.t, re.ASCII)
+
+
+def test_markdown_by_marks(spark):
+    texts = ["*a* _b_", "**a*b**", "__a__ *c", "[x](y) [z] (q)", "*[a_b](c_d)*", "_*x*_", "]( [", "", None]
+
+    def plain(t):
+        import re
+
+        for p in (r"\*\*([^*]*)\*\*", r"\*([^*]*)\*", r"__([^_]*)__", r"_([^_]*)_", r"\[([^\]]*)\]\([^)]*\)"):
+            t = re.sub(p, r"\1", t)
+        return t
+
+    out = frame(spark, [(t,) for t in texts], "t string").select("t", modify.remove_markdown("t").alias("out")).collect()
+    assert {r.t: r.out for r in out} == {t: None if t is None else plain(t) for t in texts}
+
+
 def test_read_jsonl_fails_on_bad_line(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text('{"a": 1}\nnot json\n')
     with pytest.raises(Exception):

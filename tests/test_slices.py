@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
 from quarry.operators import bpe, tokens
+from quarry.plans import slices
 from quarry.plans.slices import SLICE, in_slices
 
 
@@ -23,6 +24,24 @@ def test_functions_see_few_rows_at_a_time(spark):
     assert len(seen) == 1000 and max(seen) == SLICE
 
 
+def test_results_leave_before_the_batch_ends(monkeypatch):
+    monkeypatch.setattr(slices, "OUT_BYTES", 1000)
+    double = in_slices(lambda values: [v and v * 2 for v in values], T.StringType())
+    texts = pa.array(["aé", None, "", "x" * 300] * 200)
+    parts = list(double.func(iter([texts, texts.slice(0, 0), texts.slice(1, 5)])))
+    assert len(parts) > 20 and max(p.nbytes for p in parts) < 1000 + 40 * 600
+    want = [t and t * 2 for t in texts.to_pylist()]
+    assert [t for p in parts for t in p.to_pylist()] == want + want[1:6]
+
+
+def test_texts_are_encoded_once_for_two_columns(spark):
+    letters = Letters()
+    ids = tokens.tokenize(spark.createDataFrame([("ab c",), (None,)], "text string"), tokenizer=letters)
+    out = ids.select(F.size("input_ids").alias("n"), letters.ids_of(F.array_join(F.col("input_ids").cast("array<string>"), " ")).alias("more"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("run(text#") == 1 and {(r.n, r.more and len(r.more)) for r in out.collect()} == {(3, 6), (None, None)}
+
+
 def test_bytes_come_in_small_batches():
     texts = pa.array(["aé", None, "", "𝄞"] * 300)
     parts = list(tokens.byte_ids.func(iter([texts, texts.slice(1, 5), texts.slice(0, 0)])))

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Window, functions as F, types as T
 
-from quarry.functions.columns import col, let
+from quarry.functions.columns import col, let, spelled
 from quarry.plans.checkpoints import cut_lineage, drop_stored
 from quarry.plans.skew import HOT_ROWS, join_groups
 
@@ -13,18 +13,23 @@ PIECE = r"\s*(?:[A-Za-z0-9_À-ÿ]+|[^A-Za-z0-9_À-ÿ\s])|\s+$"
 
 
 def pieces(text="text"):
-    return F.regexp_extract_all(col(text), F.lit(PIECE), F.lit(0))
+    return F.regexp_extract_all(col(text), F.lit(spelled(PIECE)), F.lit(0))
 
 
 def rolling(values, width, base):
     """Polynomials modulo 2^64 over every run of `width` (already random) token hashes, for all runs at once."""
     values = np.asarray(values, dtype=np.int64).view(np.uint64)
     n = len(values) - width + 1
-    total = np.zeros(max(n, 0), dtype=np.uint64)
-    for j in range(width if n > 0 else 0):
-        total *= np.uint64(base)
-        total += values[j : j + n]
-    return total
+    if n < 1:
+        return np.zeros(0, dtype=np.uint64)
+    # Running sums of values over powers of the base, which is odd and so has an inverse modulo
+    # 2^64: a run is the difference of two sums, times a power, whatever its width.
+    falling, rising = (np.full(len(values), b, np.uint64) for b in (pow(base, -1, 1 << 64), base))
+    falling[0] = rising[0] = 1
+    sums = np.cumsum(values * np.cumprod(falling), dtype=np.uint64)
+    total = sums[width - 1 :].copy()
+    total[1:] -= sums[: n - 1]
+    return total * np.cumprod(rising)[width - 1 :]
 
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -101,20 +106,32 @@ def repeated_windows(tokens, k=50, keep="first", id="doc_id", column="tokens", h
     drop_stored(grams)
     near = tokens.join(hits, id).select(id, candidate_windows(k)(first, second, F.col("_hits")).alias("h"))
     zipped = near.select(id, F.explode(F.arrays_zip("h.pos", "h.a", "h.b")).alias("w"))
-    spots = cut_lineage(zipped.select(id, "w.pos", F.struct("w.a", "w.b").alias("key")))
-    # One number for (id, pos) keeps the aggregation a hash aggregation; structs would sort.
-    place = F.struct(id, "pos")
-    if dict(tokens.dtypes)[id] in ("bigint", "int"):
-        place = F.col(id).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("pos")
+    # Two longs as keys sort by their first bytes, which structs don't.
+    hashes = ["_a", "_b"]
+    spots = cut_lineage(zipped.select(id, "w.pos", F.col("w.a").alias("_a"), F.col("w.b").alias("_b")))
+    place = places(hits, id)
     groups = cut_lineage(
-        spots.groupBy("key").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1")
+        spots.groupBy(*hashes).agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1")
     )
-    found = join_groups(spots, groups, ["key"], [id, "pos"], hot_rows=hot_rows, null_keys=False)
+    found = join_groups(spots, groups, hashes, [id, "pos"], hot_rows=hot_rows, null_keys=False)
     if keep == "first":
         found = found.filter(place != F.col("first"))
     return found.select(id, "pos")
 
 
+def places(hits, id):
+    """One number for (id, pos), in their order, which keeps an aggregation a hash aggregation; structs would sort.
+
+    A long, if the ids of `hits` lie within 2^32; else a decimal, which takes several times as long.
+    """
+    if dict(hits.dtypes)[id] not in ("bigint", "int"):
+        return F.struct(id, "pos")
+    low, high = hits.agg(F.min(id), F.max(id)).first()
+    if low is None or high - low < 1 << 32:
+        return F.shiftleft(F.col(id).cast("bigint") - F.lit(low or 0).cast("bigint"), 31) + F.col("pos")
+    return F.col(id).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("pos")
+
+
 def repeated_spans(tokens, k=50, keep="first", id="doc_id", column="tokens", hot_rows=HOT_ROWS):
     """(id, start, end) half-open token ranges: the union of repeated windows."""
     found = repeated_windows(tokens, k, keep, id, column, hot_rows)
@@ -203,10 +220,14 @@ def with_spans(df, spans, id):
 
 
 def remove_spans(tokens, spans, id="doc_id", column="tokens"):
-    """Token arrays without the spans. Documents that lose all tokens stay, empty."""
+    """Token arrays without the spans. Documents that lose all tokens stay, empty.
+
+    `column` holds token arrays or texts; texts are joined as they are and cut into tokens after it.
+    """
     joined = with_spans(tokens, spans, id)
-    cut = without(F.col(column), F.col("_spans"))
-    return joined.withColumn(column, F.when(F.col("_spans").isNull(), F.col(column)).otherwise(cut)).drop("_spans")
+    words = pieces(column) if dict(tokens.dtypes)[column] == "string" else F.col(column)
+    cut = let(words, lambda t: F.when(F.col("_spans").isNull(), t).otherwise(without(t, F.col("_spans"))))
+    return joined.withColumn(column, cut).drop("_spans")
 
 
 def substring_dedup(df, k=50, keep="first", id="doc_id", text="text"):

@@ -899,6 +899,28 @@ def plain_windows(texts, k):
     return out
 
 
+def test_rolling_hashes_are_polynomials():
+    values = np.random.default_rng(3).integers(-(1 << 63), 1 << 63, 40, dtype=np.int64)
+    for width in (1, 2, 7, 40, 41):
+        got = spans.rolling(values, width, spans.BASES[0])
+        want = [sum(int(v) * spans.BASES[0] ** (width - 1 - j) for j, v in enumerate(values[i : i + width])) % (1 << 64) for i in range(40 - width + 1)]
+        assert got.tolist() == want
+    assert len(spans.rolling([], 3, spans.BASES[1])) == 0
+
+
+@pytest.mark.parametrize("ids", [(5, 6, 7), (-(1 << 62), 0, 1 << 62), (-(1 << 63), 6, (1 << 63) - 1), (-9, -8, (1 << 32) - 10), (-9, -8, (1 << 32) - 9)])
+def test_spans_with_ids_far_apart(spark, ids):
+    text = " ".join(f"w{i}" for i in range(30))
+    df = frame(spark, [(ids[2], text), (ids[0], "x y " + text), (ids[1], "z " + text), (None, text)], "doc_id long, text string")
+    found = spans.repeated_spans(df, 10, column="text")
+    # The first token of the last text has no space before it, so its first window differs.
+    assert {tuple(r) for r in found.collect()} == {(ids[2], 1, 30), (ids[1], 1, 31)}
+    left = spans.remove_spans(df, found, column="text")
+    assert Counter((r.doc_id, len(r.text)) for r in left.collect())[(ids[0], 32)] == 1
+    near = 1 << 32 > ids[2] - ids[0]
+    assert ("decimal" in spans.places(df.filter("doc_id is not null"), "doc_id")._jc.toString().lower()) != near
+
+
 @pytest.mark.parametrize("k", [1, 2, 7, 20])
 def test_windows_against_plain_python(spark, k):
     rng = random.Random(k)

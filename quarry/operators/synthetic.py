@@ -1,7 +1,6 @@
 """Preparation and post-processing around text generation on good documents."""
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F, types as T
 
 from quarry.functions.columns import TOKEN, token_count
@@ -10,6 +9,7 @@ from quarry.operators.filters import substring_filter, token_count_filter
 from quarry.operators.tokens import worker_resource
 from quarry.plans.checkpoints import cut_lineage
 from quarry.plans.once import compute_once
+from quarry.plans.slices import SLICE, in_slices
 
 # Limits per task (tokens) and the lines and prefix removed afterwards.
 LIMITS = {
@@ -143,8 +143,7 @@ def generate(df, client_factory, prompt="prompt", out="generated", concurrency=4
     """
     shape = T.StructType([T.StructField("reply", T.StringType()), T.StructField("n", T.LongType())])
 
-    @F.pandas_udf(shape)
-    def run(prompts: pd.Series) -> pd.DataFrame:
+    def run(prompts):
         import time
         from concurrent.futures import ThreadPoolExecutor
 
@@ -160,11 +159,12 @@ def generate(df, client_factory, prompt="prompt", out="generated", concurrency=4
                     time.sleep(delay * 2**attempt)
 
         with ThreadPoolExecutor(concurrency) as pool:
-            replies = pd.Series(list(pool.map(one, prompts)), dtype="object")
-        sizes = [count_tokens(r) if count and r is not None else None for r in replies]
-        return pd.DataFrame({"reply": replies, "n": pd.Series(sizes, dtype="Int64")})
+            replies = list(pool.map(one, prompts))
+        return [{"reply": r, "n": count_tokens(r) if count and r is not None else None} for r in replies]
 
-    asked = df.withColumn("_reply", run.asNondeterministic()(F.col(prompt)))
+    # A worker holds the prompts and replies of a few rows per thread.
+    ask = in_slices(run, shape, max(SLICE, 16 * concurrency))
+    asked = df.withColumn("_reply", ask.asNondeterministic()(F.col(prompt)))
     added = {out: F.col("_reply.reply")} | ({count: F.col("_reply.n")} if count else {})
     return asked.withColumns(added).drop("_reply")
 

@@ -12,10 +12,10 @@ SLICE = 32
 OUT_BYTES = 1 << 20
 
 
-def in_slices(function, kind):
+def in_slices(function, kind, rows=SLICE):
     """Arrow function of one column: `function` maps a list of values to a list of values of the type `kind`.
 
-    Only SLICE rows of a batch are Python objects at a time; the others stay in Arrow's buffers.
+    Only `rows` rows of a batch are Python objects at a time; the others stay in Arrow's buffers.
     Results leave the worker in batches of about OUT_BYTES, so that it never holds those of a
     whole batch, and once more while they are put together.
     """
@@ -25,8 +25,8 @@ def in_slices(function, kind):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for values in batches:
             parts, held = [], 0
-            for at in range(0, len(values), SLICE):
-                parts.append(pa.array(function(values.slice(at, SLICE).to_pylist()), shape))
+            for at in range(0, len(values), rows):
+                parts.append(pa.array(function(values.slice(at, rows).to_pylist()), shape))
                 held += parts[-1].nbytes
                 if held >= OUT_BYTES:
                     yield pa.concat_arrays(parts)

@@ -1,6 +1,7 @@
 """Golden values, invariants and brute-force comparisons on small fixtures."""
 
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -12,6 +13,7 @@ from quarry.operators import (
     blend, chat, components, custom, exact_dedup, extraction, filters, layout, minhash, packing, quality, records,
     retrieval, rollouts, sharding, spans, synthetic, tabular, tokens,
 )
+from quarry.plans.checkpoints import cut_lineage_and_shuffles
 from quarry.plans.prefix import hash_rank, position, quantile_bucket, running_total
 from quarry.plans.skew import join_groups
 from quarry.sources import readers, writers
@@ -738,6 +740,75 @@ def test_tiles_are_bounded_by_rows(spark, cosine, monkeypatch):
     assert retrieval.knn(q, i, 2, cosine=cosine).count() == 600 and met == [18]
 
 
+@pytest.mark.parametrize("cosine", [True, False])
+def test_rows_are_shuffled_to_one_block(spark, cosine, monkeypatch):
+    """More blocks on one side don't mean more rows to write for the other, and few rows leave a task."""
+    monkeypatch.setattr(retrieval, "TILE_QUERIES", 50)
+    monkeypatch.setattr(retrieval, "TILE_ITEMS", 20)
+    monkeypatch.setattr(retrieval, "LEAST_TASKS", 1)
+    met, plain = [], retrieval.tiles
+    monkeypatch.setattr(retrieval, "tiles", lambda x, y, *rest: met.append((x.count(), y.count(), plain(x, y, *rest))) or met[-1][2])
+    rng = np.random.default_rng(4)
+    vectors = rng.integers(0, 4, (200, 3)).astype("float32")
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    q, i = frame(spark, rows, "query_id long, vector array<float>"), frame(spark, rows, "item_id long, vector array<float>")
+    got = {(r.query_id, r["rank"]): r.item_id for r in retrieval.knn(q, i, 3, cosine=cosine).collect()}
+    exact = vectors.astype("float64")
+    if cosine:
+        exact = exact / np.maximum(np.linalg.norm(exact, axis=1, keepdims=True), 1e-12)
+    best = [np.lexsort((np.arange(200), -row))[:3] for row in np.round(exact @ exact.T, 9)]
+    assert got == {(a, k + 1): best[a][k] for a in range(200) for k in range(3)}
+    assert [m[:2] for m in met] == [(200, 200)] and met[0][2].count() == 600
+
+
+def test_least_scores_leave_out_lower_items_only():
+    rng = np.random.default_rng(5)
+    ids, vectors = rng.permutation(6000), rng.integers(0, 3, (6000, 4)).astype(float)
+    queries = vectors[:700]
+    whole = retrieval._scan_all(ids, vectors, queries, 5)
+    best = retrieval._scan(ids[:3000], vectors[:3000], queries, 5)
+    best = [best[0], ids[best[1]], best[2]]
+    found = retrieval._scan(ids[3000:], vectors[3000:], queries, 5, retrieval._least(best, 5, 700))
+    both = retrieval._better(best, [found[0], ids[3000:][found[1]], found[2]], 5, 700)
+    order = np.lexsort((both[1], -both[2], both[0]))
+    assert (both[0][order] == whole[0]).all() and (both[1][order] == ids[whole[1]]).all() and np.allclose(both[2][order], whole[2], 0, 2e-9)
+
+
+@pytest.mark.parametrize("hot", [1_000_000, 3])
+def test_rerank_in_rounds(spark, hot, monkeypatch):
+    """As in one go, with repeated texts, items near to many queries and a null text."""
+    texts = [(i, f"a{i % 5} b{i % 7} c" if i else None, [1.0, float(i % 5), float(i % 7)]) for i in range(60)]
+    q, i = (frame(spark, texts, f"{c} long, text string, vector array<float>") for c in ("query_id", "item_id"))
+    kinds = frame(spark, [(n, [n, -n]) for n in range(50)], "item_id long, kinds array<long>")
+    monkeypatch.setattr(retrieval, "HOT_ROWS", hot)
+    rows = {}
+    for pairs in (1000, 100):
+        monkeypatch.setattr(retrieval, "RERANK_PAIRS", pairs)
+        seen = []
+        out = retrieval.retrieve_and_rerank(q, i, 2, about=kinds, each=lambda hits: seen.append(hits) or hits.drop("score"))
+        rows[pairs] = sorted(map(repr, out.collect()))
+        assert len(seen) == (1 if pairs == 1000 else 3)
+    assert rows[1000] == rows[100] and len(rows[100]) == 120
+    one = out.filter("query_id = 8").orderBy("rerank").collect()
+    assert [(r.item_id, r.query, r.passage, r.rerank_score, r.kinds) for r in one] == [(8, "a3 b1 c", "a3 b1 c", 1.0, [8, -8]), (43, "a3 b1 c", "a3 b1 c", 1.0, [43, -43])]
+    assert retrieval.retrieve_and_rerank(q.filter("false"), i, 2).count() == 0
+
+
+def test_shuffles_go_with_their_job(spark):
+    def files():
+        return {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+            spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+
+    before = files()
+    kept = cut_lineage_and_shuffles(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count())
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before and kept.count() == 10
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
 def test_two_passes_find_what_all_scores_find():
     """Copies, ties by rounding, tiny and zero vectors, scores that are nearly all alike."""
     rng = np.random.default_rng(2)

@@ -1,6 +1,7 @@
 """Golden values, invariants and brute-force comparisons on small fixtures."""
 
 import random
+import re
 import time
 from collections import Counter, defaultdict
 
@@ -821,6 +822,12 @@ def test_two_passes_find_what_all_scores_find():
         assert all((a == b).all() for a, b in zip((got[0], ids[got[1]]), (want[0], ids[want[1]]))) and np.allclose(got[2], want[2], 0, 2e-9)
 
 
+def test_words_are_those_of_the_pattern():
+    texts = ["".join(map(chr, range(0x300))), "na\u00efve\u2019s \u00d7\u00f7 a\u00a0b\x85c \x00d\x1fe ?f? \u4e2dg\U0001f600h \u0178i _1", "", "\u4e2d"]
+    for text in texts:
+        assert [w.decode("latin-1") for w in retrieval.words_of(text)] == re.findall(columns.WORD, text)
+
+
 def test_lexical_score_of_missing_texts(spark):
     rows = [(None, "a b"), ("a", None), ("", None), ("", "a"), ("A b b", "a c")]
     pairs = frame(spark, rows, "q string, p string").coalesce(1)

@@ -793,6 +793,8 @@ def test_rerank_in_rounds(spark, hot, monkeypatch):
     one = out.filter("query_id = 8").orderBy("rerank").collect()
     assert [(r.item_id, r.query, r.passage, r.rerank_score, r.kinds) for r in one] == [(8, "a3 b1 c", "a3 b1 c", 1.0, [8, -8]), (43, "a3 b1 c", "a3 b1 c", 1.0, [43, -43])]
     assert retrieval.retrieve_and_rerank(q.filter("false"), i, 2).count() == 0
+    twice = retrieval.retrieve_and_rerank(q, i.unionByName(i), 10, fetch=4).filter("query_id = 8")
+    assert sorted(r.item_id for r in twice.collect()) == [8] * 4 + [43] * 4
 
 
 def test_shuffles_go_with_their_job(spark):
